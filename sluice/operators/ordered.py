@@ -18,8 +18,10 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
-from sluice.functions.values import col
+from sluice.functions.times import micros
+from sluice.functions.values import col, money, ratio, spread
 
 SLICE = "_slice"
 KIND = "_kind"
@@ -113,6 +115,33 @@ def moving_sums(
     return scanned.filter(F.col("_leave") == 0).drop("_at", "_leave", *names.values())
 
 
+def moving_statistics(
+    df: DataFrame, keys: list[str], ts: str, value: str, seconds: int, slice_seconds: int
+) -> DataFrame:
+    """Moving count, mean and sample deviation of an amount over the preceding seconds."""
+    million = 1_000_000
+    amount = money(value)
+    scanned = moving_sums(
+        df.withColumn("_us", micros(ts)),
+        keys,
+        "_us",
+        seconds * million,
+        slice_seconds * million,
+        {
+            "_n": F.when(amount.isNotNull(), 1).otherwise(0),
+            "_sum": F.coalesce(amount, F.lit(0).cast("decimal(18,2)")),
+            "_squares": F.coalesce(amount * amount, F.lit(0)).cast("decimal(28,4)"),
+        },
+    )
+    return scanned.withColumns(
+        {
+            "moving_count": F.col("_n"),
+            "moving_mean": ratio("_sum", "_n"),
+            "moving_stddev": F.when(F.col("_n") > 1, spread(F.col("_n"), F.col("_sum"), F.col("_squares"))),
+        }
+    ).drop("_us", "_n", "_sum", "_squares")
+
+
 def value_slices(df: DataFrame, by: str, tie: str | None = None, parts: int = 64) -> Column:
     """Slice number for ranking on a numeric column, from sketched quantiles.
 
@@ -148,12 +177,22 @@ def _bucket(value: Column, edges: list[float]) -> Column:
 
 
 def row_numbers(
-    df: DataFrame, by: str, tie: str, descending: bool = False, parts: int = 64, name: str = "position"
+    df: DataFrame,
+    by: str,
+    ties: list[str],
+    descending: bool = False,
+    parts: int = 64,
+    name: str = "position",
 ) -> DataFrame:
-    """Number all rows of a table from 1, ordered by ``by`` and then by the unique ``tie``."""
+    """Number all rows of a table from 1, ordered by the numeric ``by`` and then by ``ties``.
+
+    ``ties`` must make the order unique. When its first column is numeric, a value shared by
+    very many rows is cut by that column.
+    """
     keyed = df.withColumn("_by", -F.col(by) if descending else F.col(by))
+    cut = ties[0] if isinstance(df.schema[ties[0]].dataType, NumericType) else None
     numbered = ordered_scan(
-        keyed, [], ["_by", tie], value_slices(keyed, "_by", tie, parts), sums={name: F.lit(1)}
+        keyed, [], ["_by", *ties], value_slices(keyed, "_by", cut, parts), sums={name: F.lit(1)}
     )
     return numbered.drop("_by")
 

@@ -40,10 +40,10 @@ def filter_notnull(spark, folder):
        AND hour(ts) BETWEEN 10 AND 12""",
 )
 def filter_between(spark, folder):
-    on_day = (F.year("ts") == 2024) & (F.month("ts") == 1) & (F.dayofmonth("ts") == 15)
-    return (
-        t.table(spark, folder, "events").filter(on_day & F.hour("ts").between(10, 12)).select("event_id", "ts")
-    )
+    """The hour range as bounds on the raw column, so the scan can skip row groups."""
+    first = F.lit("2024-01-15 10:00:00").cast("timestamp_ntz")
+    last = F.lit("2024-01-15 12:59:59.999999").cast("timestamp_ntz")
+    return t.table(spark, folder, "events").filter(F.col("ts").between(first, last)).select("event_id", "ts")
 
 
 @query(

@@ -76,7 +76,7 @@ def main() -> int:
     from sluice.session import tuned_session
 
     folder, keys = sys.argv[1], sys.argv[2:]
-    spark = tuned_session("check", "local[8]", 8, {"spark.ui.enabled": "false", "spark.driver.memory": "12g"})
+    spark = tuned_session("check", "local[8]", 8, {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     con, sql, failed = connect(folder), oracle_sql(), 0
     for key, fn in queries().items():

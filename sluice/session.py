@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job starts from. Sizes are per task, so they hold at any data volume.
 PROFILE = {
@@ -65,3 +65,14 @@ def working_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the working folder; nothing is ever overwritten there."""
     return f"{working_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Compute a DataFrame once and read it back from the shared folder from then on.
+
+    For results that several later steps use. The copy outlives the executors that made it.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(working_folder(df.sparkSession))
+    return df.checkpoint()

@@ -98,7 +98,8 @@ SELECT event_id, "timestamp" AS received_at,
   CASE WHEN event_id % 20 = 18 THEN NULL ELSE event_type END AS event_type,
   CASE WHEN event_id % 20 = 19 THEN NULL ELSE user_id END AS user_id,
   CASE WHEN event_id % 20 = 19 THEN 'invalid_user_id' ELSE CAST(user_id AS VARCHAR) END AS user_text,
-  event_id % 20 = 19 AS bad_user, session_id, ip_address, amount AS value, m
+  event_id % 20 = 19 AS bad_user, event_id % 20 AS turn, event_id % 20 < 16 AS good, session_id, ip_address, log_type,
+  amount AS value, m
 FROM ev""",
     ),
     "web": (

@@ -193,7 +193,7 @@ def raw_records(spark: SparkSession, folder: str) -> DataFrame:
     return (
         events(spark, folder)
         .withColumn("_body", body)
-        .select("event_id", F.col("timestamp").alias("received_at"), record.alias("record"))
+        .select("event_id", F.col("timestamp").alias("received_at"), "log_type", record.alias("record"))
     )
 
 
@@ -229,3 +229,19 @@ def raw_app_lines(spark: SparkSession, folder: str) -> DataFrame:
     return app.select("event_id", line.alias("line"))
 
 
+
+
+def versioned_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Event records of three schema versions, in the columns of the newest."""
+    turn = F.col("event_id") % 3
+    text = F.get_json_object("props", "$.k")
+    return events(spark, folder).select(
+        "event_id",
+        F.when(turn == 0, "v1.0").when(turn == 1, "v1.1").otherwise("v1.2").alias("version"),
+        "timestamp",
+        "event_type",
+        "user_id",
+        F.col("amount").cast("string").alias("value"),
+        F.when(turn > 0, F.col("session_id")).alias("session_id"),
+        F.when(turn > 1, F.create_map(F.lit("k"), text)).alias("properties"),
+    )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.times import parse_access_time, parse_iso
 from sluice.functions.values import col, percent, rows
+from sluice.operators.project import computed_once
 
 # The two access log formats and the columns of their nine groups.
 APACHE = (
@@ -39,7 +40,7 @@ def parse_access(df: DataFrame, line: str, pattern: str, log_type: str, received
 
     A time that cannot be read becomes ``received_at`` (null when not given).
     """
-    found = df.withColumn("_parts", access_fields(line, pattern)).filter(F.col("_parts").isNotNull())
+    found = computed_once(df, "_parts", access_fields(line, pattern)).filter(F.col("_parts").isNotNull())
     part = {name: F.col("_parts")[i] for i, name in enumerate(GROUPS)}
     when = parse_access_time(part["time_text"])
     return found.withColumns(
@@ -65,7 +66,7 @@ def parse_nginx(df: DataFrame, line: str = "line", received_at: Column | None =
 
 def parse_application(df: DataFrame, line: str = "line", received_at: Column | None = None) -> DataFrame:
     """JSON application log lines with defaults; anything else is kept as a text message."""
-    read = df.withColumn("_json", F.try_parse_json(F.trim(line)))
+    read = computed_once(df, "_json", F.try_parse_json(F.trim(line)))
     is_record = F.coalesce(F.schema_of_variant("_json").startswith("OBJECT"), F.lit(False))
 
     def field(name: str, default: str | None = None) -> Column:

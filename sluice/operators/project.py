@@ -38,6 +38,15 @@ def age_group(age: Column | str) -> Column:
     return band(age, AGE_BANDS, "senior")
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that is evaluated once per row.
+
+    The optimizer copies a column's expression into every filter and projection it can move
+    below; it does not do so for the output of a generator, so the value passes through one.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """One row per key, the first in ``order``.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sluice.functions.text import mask_ip
 from sluice.functions.times import parse_iso
 from sluice.functions.values import col, percent, rows
+from sluice.operators.project import computed_once
 
 # The labels of HTTP status classes, and the version stamp of standardized records.
 STATUS_CLASSES = ((200, "Success"), (400, "Client Error"), (500, "Server Error"))
@@ -44,7 +45,7 @@ def standardize(events: DataFrame, processed_at: Column) -> DataFrame:
 
 
 def parsed(records: DataFrame, text: str = "record") -> DataFrame:
-    return records.withColumn("json", F.try_parse_json(text))
+    return computed_once(records, "json", F.try_parse_json(text))
 
 
 def field(name: str, kind: str = "string", json: str = "json") -> Column:
@@ -157,7 +158,7 @@ def record_errors(json: str = "json") -> Column:
 
 def good_and_bad(records: DataFrame, failed_at: Column, text: str = "record") -> tuple[DataFrame, DataFrame]:
     """Split records in good ones and dead letters, which keep the original text and the reason."""
-    checked = parsed(records, text).withColumn("_errors", record_errors())
+    checked = computed_once(parsed(records, text), "_errors", record_errors())
     good = checked.filter(F.size("_errors") == 0).drop("_errors")
     bad = checked.filter(F.size("_errors") > 0).select(
         *[c for c in records.columns if c != text],

@@ -384,8 +384,8 @@ QUALITY_METRICS = {
     "invalid_records": ("InvalidRecords", "Count"),
     "quality_rate": ("DataQualityRate", "Percent"),
 }
-POINTS = f"""SELECT 'DataQuality/Streaming' AS namespace, at, metric, value, unit FROM (
-  SELECT time_bucket(INTERVAL 1 MINUTE, received_at) AS at, {METRICS} FROM rec GROUP BY 1) q, LATERAL (VALUES
+POINTS = f"""SELECT 'DataQuality/Streaming' AS namespace, "at", metric, value, unit FROM (
+  SELECT time_bucket(INTERVAL 1 MINUTE, received_at) AS "at", {METRICS} FROM rec GROUP BY 1) q, LATERAL (VALUES
     ('TotalRecords', CAST(q.total_records AS DOUBLE), 'Count'), ('ValidRecords', CAST(q.valid_records AS DOUBLE), 'Count'),
     ('InvalidRecords', CAST(q.invalid_records AS DOUBLE), 'Count'), ('DataQualityRate', q.quality_rate, 'Percent'))
     v(metric, value, unit)"""
@@ -401,7 +401,7 @@ def metric_table(spark, folder):
     return points(spark, folder)
 
 
-STATS = f"""SELECT namespace, metric, time_bucket(INTERVAL 5 MINUTE, at) AS period_start, round(sum(value), 6) AS sum,
+STATS = f"""SELECT namespace, metric, time_bucket(INTERVAL 5 MINUTE, "at") AS period_start, round(sum(value), 6) AS sum,
   round(avg(value), 6) AS average, min(value) AS minimum, max(value) AS maximum, count(*) AS samples
   FROM ({POINTS}) GROUP BY 1, 2, 3"""
 
@@ -463,7 +463,7 @@ def alarm_levels(spark, folder):
        SELECT strategy, bucket, coalesce(records, 0) AS records,
          coalesce(records, 0) * 100.0::DOUBLE / CAST(sum(coalesce(records, 0)) OVER w AS DOUBLE) AS percentage,
          round(stddev_pop(coalesce(records, 0)) OVER w / avg(coalesce(records, 0)) OVER w * 100, 6) AS variation
-       FROM (SELECT DISTINCT strategy FROM keys), (SELECT CAST(unnest(range(4)) AS INTEGER) AS bucket)
+       FROM (SELECT * FROM (SELECT DISTINCT strategy FROM keys) CROSS JOIN (SELECT CAST(unnest(range(4)) AS INTEGER) AS bucket)) a
        LEFT JOIN counted USING (strategy, bucket) WINDOW w AS (PARTITION BY strategy)""",
     "ev",
 )

@@ -13,7 +13,7 @@ from sluice.operators.ordered import SLICE, ordered_scan
 def sessions(
     events: DataFrame, key: str, ts: str, value: str, label: str, gap_seconds: int = 1800, slice_seconds: int = 86400
 ) -> DataFrame:
-    """Runs of events of a key with less than the gap between neighbours.
+    """Runs of events of a key with at most the gap between neighbours.
 
     A session ends one gap after its last event. First each (key, slice of time) is cut into
     partial sessions; only those, at most a few per slice, are then merged per key.
@@ -23,7 +23,7 @@ def sessions(
         SLICE, time_slice("_ts", slice_seconds)
     )
     local = Window.partitionBy(key, SLICE).orderBy("_us")
-    starts = F.coalesce(F.col("_us") - F.lag("_us").over(local) >= gap, F.lit(True))
+    starts = F.coalesce(F.col("_us") - F.lag("_us").over(local) > gap, F.lit(True))
     partial = (
         rows_in.withColumn("_new", starts.cast("int"))
         .withColumn("_run", F.sum("_new").over(local.rowsBetween(Window.unboundedPreceding, 0)))
@@ -39,7 +39,7 @@ def sessions(
         )
     )
     turn = Window.partitionBy(key).orderBy("_from")
-    apart = F.coalesce(F.col("_from") - F.lag("_to").over(turn) >= gap, F.lit(True))
+    apart = F.coalesce(F.col("_from") - F.lag("_to").over(turn) > gap, F.lit(True))
     merged = (
         partial.withColumn("_new", apart.cast("int"))
         .withColumn("_run", F.sum("_new").over(turn.rowsBetween(Window.unboundedPreceding, 0)))

@@ -72,7 +72,7 @@ def behavior_path(spark, folder):
 
 @query(
     "sessions",
-    f"""WITH marked AS (SELECT *, CASE WHEN "timestamp" - lag("timestamp") OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh
+    f"""WITH marked AS (SELECT *, CASE WHEN "timestamp" - lag("timestamp") OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh
           FROM ev WINDOW w AS (PARTITION BY user_id ORDER BY "timestamp", event_id)),
         runs AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY "timestamp", event_id
           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM marked)

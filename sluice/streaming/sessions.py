@@ -22,10 +22,10 @@ OUT = (
 
 
 def merge(sessions: list[tuple], gap_us: int) -> list[tuple]:
-    """Join sessions that lie less than a gap apart."""
+    """Join sessions that lie at most a gap apart."""
     out: list[tuple] = []
     for start, last, n, cents, types in sorted(sessions):
-        if out and start - out[-1][1] < gap_us:
+        if out and start - out[-1][1] <= gap_us:
             a = out[-1]
             kinds = ",".join(sorted(set(a[4].split(",")) | set(types.split(","))))
             out[-1] = (a[0], max(a[1], last), a[2] + n, a[3] + cents, kinds)
@@ -37,7 +37,7 @@ def merge(sessions: list[tuple], gap_us: int) -> list[tuple]:
 def runs(events: pd.DataFrame, gap_us: int) -> list[tuple]:
     """The sessions within one batch of a user's events."""
     ordered = events.sort_values("us")
-    run = (ordered["us"].diff() >= gap_us).cumsum()
+    run = (ordered["us"].diff() > gap_us).cumsum()
     grouped = ordered.groupby(run)
     return list(
         zip(

@@ -116,7 +116,7 @@ def test_late_rows_are_dropped_and_early_ones_kept(spark, folder):
 
     put(at("2024-01-01 10:00:00"), path, "1")
     put(at("2024-01-01 11:00:00"), path, "2")
-    put(at("2024-01-01 11:00:30"), path, "2b")  # late rows are judged by the batch before last
+    put(at("2024-01-01 11:00:02"), path, "2b")  # late rows are judged by the batch before last
     put(at("2024-01-01 10:01:00"), path, "3")  # older than the watermark by now
     put(at("2024-01-01 10:59:58"), path, "4")  # within the delay
     put(at("2024-01-02 00:00:00"), path, "5")

@@ -47,9 +47,9 @@ def micros(ts: Column | str) -> Column:
     return F.unix_micros(col(ts).cast("timestamp"))
 
 
-def time_slice(ts: Column | str, seconds: int) -> Column:
+def time_slice(ts: Column | str, seconds: float) -> Column:
     """Number of the fixed-width slice of time a row belongs to."""
-    return F.floor(F.unix_seconds(col(ts).cast("timestamp")) / F.lit(seconds))
+    return F.floor(micros(ts) / F.lit(max(int(seconds * 1_000_000), 1)))
 
 
 def partition_columns(ts: Column | str, granularity: str = "hour") -> dict[str, Column]:

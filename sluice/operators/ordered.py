@@ -23,11 +23,25 @@ from pyspark.sql.types import NumericType
 from sluice.functions.times import micros
 from sluice.functions.values import col, money, ratio, spread
 
+# How many rows a slice should hold: enough to sort in one task without trouble.
+SLICE_ROWS = 2_000_000
+MOST_SLICES = 4096
+
 SLICE = "_slice"
 KIND = "_kind"
 BEFORE, DATA, AFTER = 0, 1, 2
 
 
+def fitting_seconds(df: DataFrame, ts: str, slice_rows: int = SLICE_ROWS) -> float:
+    """Width of the time slices at which even a key with all rows fits, from one aggregated row."""
+    seen = df.agg(
+        F.min(micros(ts)).alias("first"), F.max(micros(ts)).alias("last"), F.count(F.lit(1)).alias("n")
+    ).first()
+    if not seen["n"] or seen["first"] is None:
+        return 1.0
+    return max((seen["last"] - seen["first"] + 1) / 1e6 * min(1.0, slice_rows / seen["n"]), 1e-3)
+
+
 def ordered_scan(
     df: DataFrame,
     keys: list[str],
@@ -116,17 +130,18 @@ def moving_sums(
 
 
 def moving_statistics(
-    df: DataFrame, keys: list[str], ts: str, value: str, seconds: int, slice_seconds: int
+    df: DataFrame, keys: list[str], ts: str, value: str, seconds: int, slice_seconds: float | None = None
 ) -> DataFrame:
     """Moving count, mean and sample deviation of an amount over the preceding seconds."""
     million = 1_000_000
+    width = slice_seconds or fitting_seconds(df, ts)
     amount = money(value)
     scanned = moving_sums(
         df.withColumn("_us", micros(ts)),
         keys,
         "_us",
         seconds * million,
-        slice_seconds * million,
+        max(int(width * million), 1),
         {
             "_n": F.when(amount.isNotNull(), 1).otherwise(0),
             "_sum": F.coalesce(amount, F.lit(0).cast("decimal(18,2)")),
@@ -142,13 +157,15 @@ def moving_statistics(
     ).drop("_us", "_n", "_sum", "_squares")
 
 
-def value_slices(df: DataFrame, by: str, tie: str | None = None, parts: int = 64) -> Column:
+def value_slices(df: DataFrame, by: str, tie: str | None = None, parts: int | None = None) -> Column:
     """Slice number for ranking on a numeric column, from sketched quantiles.
 
-    The driver receives the ``parts`` quantiles and nothing else. A value so frequent that it
-    covers several quantiles gets a slice of its own, cut further by the quantiles of ``tie``.
-    The slices only have to follow the order; sketch errors change their size, not the result.
+    The driver receives the ``parts`` quantiles (as many as the row count asks for) and
+    nothing else. A value so frequent that it covers several quantiles gets a slice of its
+    own, cut further by the quantiles of ``tie``. The slices only have to follow the order;
+    sketch errors change their size, not the result.
     """
+    parts = parts or max(2, min(df.count() // SLICE_ROWS + 1, MOST_SLICES))
     marks = [i / parts for i in range(1, parts)]
     columns = [by] if tie is None else [by, tie]
     numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
@@ -164,16 +181,28 @@ def value_slices(df: DataFrame, by: str, tie: str | None = None, parts: int = 64
     return (place * F.lit(len(tie_edges) + 1) + F.coalesce(inner, F.lit(0))).cast("bigint")
 
 
-def _bucket(value: Column, edges: list[float]) -> Column:
-    """Number of edges at or below the value, by a balanced tree of comparisons; nulls first."""
+def _bucket(value: Column, edges: list[float], block: int = 64) -> Column:
+    """Number of edges at or below the value; nulls first.
+
+    A balanced tree of comparisons finds a block of edges, which is then counted through, so
+    the expression stays small with thousands of edges.
+    """
+    blocks = [edges[i : i + block] for i in range(0, len(edges), block)]
+    heads = [b[0] for b in blocks[1:]]
+
+    def within(i: int) -> Column:
+        if not blocks:
+            return F.lit(0)
+        inside = F.filter(F.array(*[F.lit(e) for e in blocks[i]]), lambda e: e <= value)
+        return F.lit(i * block) + F.size(inside)
 
     def below(lo: int, hi: int) -> Column:
         if lo == hi:
-            return F.lit(lo)
+            return within(lo)
         mid = (lo + hi) // 2
-        return F.when(value < F.lit(edges[mid]), below(lo, mid)).otherwise(below(mid + 1, hi))
+        return F.when(value < F.lit(heads[mid]), below(lo, mid)).otherwise(below(mid + 1, hi))
 
-    return F.when(value.isNull(), F.lit(-1)).otherwise(below(0, len(edges)))
+    return F.when(value.isNull(), F.lit(-1)).otherwise(below(0, len(heads)))
 
 
 def row_numbers(
@@ -181,7 +210,7 @@ def row_numbers(
     by: str,
     ties: list[str],
     descending: bool = False,
-    parts: int = 64,
+    parts: int | None = None,
     name: str = "position",
 ) -> DataFrame:
     """Number all rows of a table from 1, ordered by the numeric ``by`` and then by ``ties``.
@@ -197,7 +226,7 @@ def row_numbers(
     return numbered.drop("_by")
 
 
-def value_ranks(df: DataFrame, by: str, descending: bool = False, parts: int = 64) -> DataFrame:
+def value_ranks(df: DataFrame, by: str, descending: bool = False, parts: int | None = None) -> DataFrame:
     """One row per distinct value with its rank, dense rank and percent rank in the table.
 
     Rows are counted per value first, so ties of any size shuffle as one row per task.

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.times import day, time_slice
 from sluice.functions.values import growth, money, percent, ratio, rows, total
-from sluice.operators.ordered import ordered_scan
+from sluice.operators.ordered import fitting_seconds, ordered_scan
 
 FIRST, LAST = Window.unboundedPreceding, Window.unboundedFollowing
 
@@ -147,13 +147,13 @@ def hourly_trend(events: DataFrame, ts: str, amount: str, n: int = 3) -> DataFra
     )
 
 
-def user_sequence(events: DataFrame, slice_seconds: int = 86400) -> DataFrame:
+def user_sequence(events: DataFrame, slice_seconds: float | None = None) -> DataFrame:
     """Each event's number within its user, what came before it, and the minutes in between."""
     scanned = ordered_scan(
         events,
         ["user_id"],
         ["timestamp", "event_id"],
-        time_slice("timestamp", slice_seconds),
+        time_slice("timestamp", slice_seconds or fitting_seconds(events, "timestamp")),
         sums={"event_sequence": F.lit(1)},
         previous={"previous_event": "event_type", "previous_amount": "amount", "_previous_time": "timestamp"},
     )

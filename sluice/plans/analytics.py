@@ -9,7 +9,7 @@ from sluice.functions.times import day, hour_label, month_label, time_slice
 from sluice.functions.values import mean, percent, ratio, rows, total
 from sluice.operators.aggregates import shares, weekday_hour_table
 from sluice.operators.joins import with_group_values
-from sluice.operators.ordered import ordered_scan, row_numbers, tiles
+from sluice.operators.ordered import fitting_seconds, ordered_scan, row_numbers, tiles
 from sluice.session import settled
 
 
@@ -44,13 +44,13 @@ def user_summary(events: DataFrame) -> DataFrame:
     )
 
 
-def transitions(events: DataFrame, slice_seconds: int = 86400) -> DataFrame:
+def transitions(events: DataFrame, slice_seconds: float | None = None) -> DataFrame:
     """How often one event type directly follows another within a user."""
     followed = ordered_scan(
         events.select("user_id", "event_id", "timestamp", "event_type"),
         ["user_id"],
         ["timestamp", "event_id"],
-        time_slice("timestamp", slice_seconds),
+        time_slice("timestamp", slice_seconds or fitting_seconds(events, "timestamp")),
         following={"_next": "event_type"},
     )
     pair = F.concat("event_type", F.lit("->"), "_next")

@@ -29,7 +29,7 @@ def join_inner(spark, folder):
     "ord det",
 )
 def join_left(spark, folder):
-    joined = t.orders(spark, folder).join(t.order_details(spark, folder), "order_id", "left")
+    joined = joins.keep_all(t.orders(spark, folder), t.order_details(spark, folder), "order_id")
     return joined.select("order_id", F.col("amount").cast("double").alias("amount"), "line", "product_id")
 
 
@@ -40,7 +40,7 @@ def join_left(spark, folder):
 )
 def join_right(spark, folder):
     events = t.table(spark, folder, "events").select("user_id", "event_id", "event_type")
-    return events.join(t.users(spark, folder).select("user_id", "name"), "user_id", "right")
+    return joins.keep_all(t.users(spark, folder).select("user_id", "name"), events, "user_id")
 
 
 @query(
@@ -195,7 +195,7 @@ def join_hint(spark, folder):
 @query("join_copart", LINE_PRICE)
 def join_copart(spark, folder):
     joined = joins.co_partitioned_join(
-        t.order_details(spark, folder), t.products(spark, folder), "product_id"
+        t.order_details(spark, folder), t.products(spark, folder), "product_id", spread_by="order_id"
     )
     return joined.select("order_id", "line", "name", "price")
 

@@ -280,14 +280,15 @@ def user_sequence(spark, folder):
 @query(
     "win_range_hour",
     """SELECT event_id, event_type, value, count(value) OVER w AS moving_count,
-         round(avg(value) OVER w, 6) AS moving_mean, round(stddev_samp(value) OVER w, 6) AS moving_stddev
+         CAST(sum(CAST(value AS DECIMAL(18,2))) OVER w AS DOUBLE) / count(value) OVER w AS moving_mean,
+         round(stddev_samp(value) OVER w, 6) AS moving_stddev
        FROM events
        WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)""",
 )
 def win_range_hour(spark, folder):
     raw = t.table(spark, folder, "events").select("event_id", "event_type", "ts", "value")
-    out = ordered.moving_statistics(raw, ["event_type"], "ts", "value", 3600, 21600)
+    out = ordered.moving_statistics(raw, ["event_type"], "ts", "value", 3600)
     return out.select(
-        "event_id", "event_type", "value", "moving_count",
-        F.round("moving_mean", 6).alias("moving_mean"), F.round("moving_stddev", 6).alias("moving_stddev"),
+        "event_id", "event_type", "value", "moving_count", "moving_mean",
+        F.round("moving_stddev", 6).alias("moving_stddev"),
     )

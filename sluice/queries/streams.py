@@ -90,13 +90,13 @@ def sessions(spark, folder):
 
 
 SCORED = """SELECT *, abs(amount - mu) / nullif(sd, 0) AS score FROM (
-  SELECT *, avg(amount) OVER w AS mu, stddev_samp(amount) OVER w AS sd FROM ev
+  SELECT *, CAST(sum(m) OVER w AS DOUBLE) / count(m) OVER w AS mu, stddev_samp(amount) OVER w AS sd FROM ev
   WINDOW w AS (PARTITION BY event_type ORDER BY "timestamp" RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW))"""
 
 
 @query(
     "anomaly_1h",
-    f"""SELECT event_id, event_type, amount AS current_value, round(mu, 6) AS moving_average,
+    f"""SELECT event_id, event_type, amount AS current_value, mu AS moving_average,
           round(score, 6) AS anomaly_score, coalesce(score > 2, false) AS is_anomaly FROM ({SCORED})""",
     "ev",
 )
@@ -105,7 +105,7 @@ def anomaly_1h(spark, folder):
     raw = t.events(spark, folder).select("event_id", "event_type", "timestamp", "amount")
     return windows.hourly_deviation(raw, limit=2.0).select(
         "event_id", "event_type", F.col("amount").alias("current_value"),
-        F.round("moving_mean", 6).alias("moving_average"),
+        F.col("moving_mean").alias("moving_average"),
         F.round("anomaly_score", 6).alias("anomaly_score"), "is_anomaly",
     )
 
@@ -113,13 +113,13 @@ def anomaly_1h(spark, folder):
 @query(
     "alerts",
     f"""SELECT "timestamp", 'ANOMALY_DETECTED' AS alert_type, event_type, round(score, 6) AS anomaly_score,
-          amount AS current_value, round(mu, 6) AS expected_range FROM ({SCORED}) WHERE score > 2""",
+          amount AS current_value, mu AS expected_range FROM ({SCORED}) WHERE score > 2""",
     "ev",
 )
 def alerts(spark, folder):
     raw = t.events(spark, folder).select("event_type", "timestamp", "amount")
     found = windows.alerts(windows.hourly_deviation(raw, limit=2.0))
-    return found.withColumns({c: F.round(c, 6) for c in ("anomaly_score", "expected_range")})
+    return found.withColumn("anomaly_score", F.round("anomaly_score", 6))
 
 
 @query(

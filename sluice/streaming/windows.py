@@ -96,7 +96,7 @@ def frequent_purchases(
 
 def hourly_deviation(events: DataFrame, ts: str = "timestamp", value: str = "amount", limit: float = 3.0) -> DataFrame:
     """Each value against the mean of its event type over the preceding hour. For tables only."""
-    scored = moving_statistics(events.filter(F.col(value).isNotNull()), ["event_type"], ts, value, 3600, 21600)
+    scored = moving_statistics(events.filter(F.col(value).isNotNull()), ["event_type"], ts, value, 3600)
     score = F.try_divide(F.abs(F.col(value) - F.col("moving_mean")), F.nullif("moving_stddev", F.lit(0.0)))
     return scored.withColumn("anomaly_score", score).withColumn(
         "is_anomaly", F.coalesce(F.col("anomaly_score") > limit, F.lit(False))

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from sluice.functions.times import time_slice
 from sluice.functions.values import money
 from sluice.operators import joins, ordered, project, sessions
 from sluice.plans import analytics
@@ -62,8 +63,6 @@ def test_scan_equals_window_for_any_slice_width(hot, width):
 
 
 def ordered_slice(width):
-    from sluice.functions.times import time_slice
-
     return time_slice("timestamp", width)
 
 
@@ -74,6 +73,22 @@ def test_scan_keeps_rows_without_a_key(spark):
     assert same(got, df.withColumn("pos", F.row_number().over(w).cast("bigint")))
 
 
+def test_slice_width_follows_the_row_count(hot):
+    n = hot.count()
+    whole = ordered.fitting_seconds(hot, "timestamp")
+    assert hot.select(ordered_slice(whole)).distinct().count() <= 2
+    narrow = ordered.fitting_seconds(hot, "timestamp", slice_rows=n // 20)
+    assert whole / 21 < narrow < whole / 19
+    assert ordered.fitting_seconds(hot.limit(0), "timestamp") == 1.0
+
+
+def test_many_edges(spark):
+    edges = [float(i) for i in range(0, 1000, 3)]
+    df = spark.range(-5, 1010).select(F.col("id").cast("double").alias("v"))
+    want = F.greatest(F.lit(0), F.least(F.lit(len(edges)), F.floor(F.col("v") / 3) + 1))
+    assert df.filter(ordered._bucket(F.col("v"), edges) != want).count() == 0
+
+
 def test_moving_sums_equal_range_frame(spark, hot):
     us = F.unix_micros("timestamp")
     df = hot.select("event_id", "user_id", "amount", us.alias("us"))
@@ -138,6 +153,18 @@ def test_hot_side_is_salted(hot, spark):
     assert joined.count() == hot.count()
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_co_partitioned_join(hot, spark, how):
+    other = spark.range(5, 40).select(F.col("id").alias("user_id"), F.col("id").alias("name"))
+    got = joins.co_partitioned_join(hot, other, "user_id", "event_id", how, share=0.1, parts=8)
+    assert same(got, hot.join(other, "user_id", how))
+
+
+def test_keep_all_equals_outer_join(hot, spark):
+    other = spark.range(-3, 40).select(F.when(F.col("id") >= 0, F.col("id")).alias("user_id"), F.col("id").alias("name"))
+    assert same(joins.keep_all(other, hot, "user_id"), other.join(hot, "user_id", "left"))
+
+
 def test_one_row_per_key_is_limited_before_the_shuffle(spark):
     raw = t.table(spark, SMALL, "events").select("user_id", "event_id")
     assert plan(project.first_per_key(raw, ["user_id"], ["event_id"])).count("WindowGroupLimit") == 2

@@ -95,13 +95,16 @@ def key_strategies(ts: str = "timestamp", buckets: int = 10) -> dict[str, Column
 
 
 def md5_bucket(key: Column, n: int) -> Column:
-    """The MD5 of a key, as one number, modulo n. The digest is taken in two halves of 64 bits."""
-    digest = F.md5(key)
+    """The MD5 of a key, as one number, modulo n. The digest is taken in four parts of 32 bits."""
+    return digest_bucket(F.md5(key), n)
 
-    def half(start: int) -> Column:
-        return F.conv(F.substring(digest, start, 16), 16, 10).cast("decimal(20,0)") % n
 
-    return ((half(1) * (2**64 % n) + half(17)) % n).cast("int")
+def digest_bucket(digest: Column, n: int) -> Column:
+    rest = F.lit(0).cast("bigint")
+    for start in (1, 9, 17, 25):
+        part = F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint")
+        rest = (rest * F.lit(2**32 % n) + part) % n
+    return rest.cast("int")
 
 
 def key_balance(df: DataFrame, strategies: dict[str, Column], buckets: int = 4) -> DataFrame:
@@ -109,10 +112,11 @@ def key_balance(df: DataFrame, strategies: dict[str, Column], buckets: int = 4)
 
     Buckets no key falls into count as zero.
     """
-    places = F.explode(
-        F.array(*[F.struct(F.lit(n).alias("strategy"), md5_bucket(k, buckets).alias("bucket")) for n, k in strategies.items()])
-    ).alias("place")
-    counted = df.select(places).groupBy("place.strategy", "place.bucket").agg(rows().alias("n"))
+    keys = F.array(
+        *[F.struct(F.lit(n).alias("strategy"), F.md5(k).alias("digest")) for n, k in strategies.items()]
+    )
+    placed = df.select(F.inline(keys)).select("strategy", digest_bucket(F.col("digest"), buckets).alias("bucket"))
+    counted = placed.groupBy("strategy", "bucket").agg(rows().alias("n"))
     wide = counted.groupBy("strategy").pivot("bucket", list(range(buckets))).agg(F.sum("n"))
     counts = F.array(*[F.coalesce(F.col(str(b)), F.lit(0)) for b in range(buckets)])
     lines = wide.select("strategy", F.posexplode(counts).alias("bucket", "records"))

@@ -41,25 +41,39 @@ def standardize(events: DataFrame, processed_at: Column) -> DataFrame:
     )
 
 
-# JSON records. A record is parsed once, into a VARIANT.
+# JSON records. A record is parsed once, into a VARIANT, and so is each field the rules look at.
+
+# The fields the rules look at.
+RULE_FIELDS = ("timestamp", "event_type", "user_id", "value")
 
 
 def parsed(records: DataFrame, text: str = "record") -> DataFrame:
-    return computed_once(records, "json", F.try_parse_json(text))
+    """Add ``json`` and, per rule field, its JSON type and its text under ``fields``."""
+
+    def facts(name: str) -> Column:
+        value = F.try_variant_get("json", f"$.{name}", "variant")
+        as_text = F.try_variant_get("json", f"$.{name}", "string")
+        return F.struct(F.schema_of_variant(value).alias("kind"), as_text.alias("text")).alias(name)
+
+    read = computed_once(records, "json", F.try_parse_json(text))
+    return computed_once(read, "fields", F.struct(*[facts(n) for n in RULE_FIELDS]))
 
 
-def field(name: str, kind: str = "string", json: str = "json") -> Column:
-    return F.try_variant_get(json, f"$.{name}", kind)
+def field(name: str, kind: str = "string") -> Column:
+    if name not in RULE_FIELDS:
+        return F.try_variant_get("json", f"$.{name}", kind)
+    text = F.col(f"fields.{name}.text")
+    return text if kind == "string" else text.try_cast(kind)
 
 
-def field_kind(name: str, json: str = "json") -> Column:
+def field_kind(name: str) -> Column:
     """JSON type of a field, for example STRING or BIGINT; null when it is absent."""
-    return F.schema_of_variant(F.try_variant_get(json, f"$.{name}", "variant"))
+    return F.col(f"fields.{name}.kind")
 
 
-def filled(name: str, json: str = "json") -> Column:
+def filled(name: str) -> Column:
     """Present and neither null, empty, zero nor false."""
-    kind, value = field_kind(name, json), field(name, json=json)
+    kind, value = field_kind(name), field(name)
     number = value.try_cast("double")
     full = (
         F.when(kind == "STRING", value != "")
@@ -71,13 +85,13 @@ def filled(name: str, json: str = "json") -> Column:
     return F.coalesce(full, F.lit(False))
 
 
-def whole_number(name: str, json: str = "json") -> Column:
-    return F.coalesce(field_kind(name, json).isin("BIGINT", "BOOLEAN"), F.lit(False))
+def whole_number(name: str) -> Column:
+    return F.coalesce(field_kind(name).isin("BIGINT", "BOOLEAN"), F.lit(False))
 
 
-def completeness_tag(json: str = "json") -> Column:
+def completeness_tag() -> Column:
     """``valid`` when both key fields exist, even if they are null."""
-    both = field_kind("timestamp", json).isNotNull() & field_kind("event_type", json).isNotNull()
+    both = field_kind("timestamp").isNotNull() & field_kind("event_type").isNotNull()
     return F.when(both, "valid").otherwise("incomplete")
 
 
@@ -86,19 +100,19 @@ VALID_NEEDS = ("timestamp", "event_type")
 SCORE_NEEDS = ("timestamp", "event_type", "user_id")
 
 
-def is_valid(json: str = "json") -> Column:
+def is_valid() -> Column:
     """Key fields filled, the time in ISO form, and a user id, if any, that is a number."""
-    rule = parse_iso(field("timestamp", json=json)).isNotNull()
-    rule = rule & (field_kind("timestamp", json) == "STRING")
+    rule = parse_iso(field("timestamp")).isNotNull()
+    rule = rule & (field_kind("timestamp") == "STRING")
     for name in VALID_NEEDS:
-        rule = rule & filled(name, json)
-    rule = rule & (~filled("user_id", json) | whole_number("user_id", json))
+        rule = rule & filled(name)
+    rule = rule & (~filled("user_id") | whole_number("user_id"))
     return F.coalesce(rule, F.lit(False))
 
 
-def type_errors(json: str = "json") -> Column:
+def type_errors() -> Column:
     """Names of the fields that are present with the wrong type."""
-    has = {n: field_kind(n, json) for n in ("timestamp", "event_type", "user_id", "value")}
+    has = {n: field_kind(n) for n in ("timestamp", "event_type", "user_id", "value")}
     wrong = [
         F.when(has["timestamp"] != "STRING", "timestamp"),
         F.when(has["event_type"] != "STRING", "event_type"),
@@ -113,17 +127,17 @@ def rule_errors(rules: dict[str, Column]) -> Column:
     return F.array_compact(F.array(*[F.when(~keeps, name) for name, keeps in rules.items()]))
 
 
-def missing_fields(names: tuple[str, ...], json: str = "json") -> Column:
-    absent = [F.when(field(n, json=json).isNull(), n) for n in names]
+def missing_fields(names: tuple[str, ...]) -> Column:
+    absent = [F.when(field(n).isNull(), n) for n in names]
     return F.array_compact(F.array(*absent))
 
 
-def default_rules(json: str = "json") -> dict[str, Column]:
+def default_rules() -> dict[str, Column]:
     """Format of the time and range of the value."""
-    stamp = field("timestamp", json=json)
+    stamp = field("timestamp")
     return {
         "timestamp_format": stamp.isNull() | parse_iso(stamp).isNotNull(),
-        "value_range": F.coalesce(field("value", "double", json) >= 0, F.lit(True)),
+        "value_range": F.coalesce(field("value", "double") >= 0, F.lit(True)),
     }
 
 
@@ -131,29 +145,29 @@ def default_rules(json: str = "json") -> dict[str, Column]:
 LOST = {"missing": 13, "type": 10, "rule": 10}
 
 
-def score(rules: dict[str, Column], json: str = "json") -> Column:
+def score(rules: dict[str, Column]) -> Column:
     """Quality of a record from 0 to 100."""
-    empty = sum((~filled(n, json)).cast("int") for n in SCORE_NEEDS)
+    empty = sum((~filled(n)).cast("int") for n in SCORE_NEEDS)
     lost = (
         empty * LOST["missing"]
-        + F.size(type_errors(json)) * LOST["type"]
+        + F.size(type_errors()) * LOST["type"]
         + F.size(rule_errors(rules)) * LOST["rule"]
     )
     return F.greatest(F.lit(0), F.lit(100) - lost)
 
 
-def record_errors(json: str = "json") -> Column:
+def record_errors() -> Column:
     """Everything wrong with a record, as ``kind:field`` entries; empty for a good record."""
 
     def labelled(kind: str, names: Column) -> Column:
         return F.transform(names, lambda n: F.concat(F.lit(f"{kind}:"), n))
 
     found = F.concat(
-        labelled("missing", missing_fields(SCORE_NEEDS, json)),
-        labelled("type", type_errors(json)),
-        labelled("rule", rule_errors(default_rules(json))),
+        labelled("missing", missing_fields(SCORE_NEEDS)),
+        labelled("type", type_errors()),
+        labelled("rule", rule_errors(default_rules())),
     )
-    return F.when(F.col(json).isNull(), F.array(F.lit("json:record"))).otherwise(found)
+    return F.when(F.col("json").isNull(), F.array(F.lit("json:record"))).otherwise(found)
 
 
 def good_and_bad(records: DataFrame, failed_at: Column, text: str = "record") -> tuple[DataFrame, DataFrame]:

@@ -329,7 +329,7 @@ def gold_kpi(spark, folder):
 
 def sql_masked(column: str) -> str:
     out = column
-    for pattern, replacement in text.PII_RULES:
+    for pattern, replacement, _ in text.PII_RULES:
         out = f"regexp_replace({out}, '{pattern}', '{replacement}', 'g')"
     return out
 

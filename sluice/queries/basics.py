@@ -238,9 +238,10 @@ def sort_multi(spark, folder):
     )
 
 
-@query("sort_limit")
+@query("sort_limit", "SELECT event_id, ts, value FROM events ORDER BY ts, event_id LIMIT 10")
 def sort_limit(spark, folder):
-    return t.table(spark, folder, "events").limit(10)
+    raw = t.table(spark, folder, "events").select("event_id", "ts", "value")
+    return raw.orderBy("ts", "event_id").limit(10)
 
 
 def top_by(df, key: str, measure, name: str, n: int):

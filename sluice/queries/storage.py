@@ -195,13 +195,28 @@ def geo_partition(spark, folder):
     return locate(raw, "ip_address", address_ranges(spark, folder)).drop("ip_address")
 
 
-@query("run_metadata")
+FIXED_TIME = "TIMESTAMP '2024-02-01'"
+
+
+def fixed_time():
+    return F.lit("2024-02-01").cast("timestamp_ntz")
+
+
+@query(
+    "run_metadata",
+    f"SELECT count(*) AS total_records, {FIXED_TIME} AS processing_timestamp FROM events",
+)
 def run_metadata(spark, folder):
+    """The place of the output is left out here, as it is new on every run."""
     path = scratch_path(spark, "run")
-    return writers.write_with_metadata(t.events(spark, folder), path, F.current_timestamp())
+    return writers.write_with_metadata(t.events(spark, folder), path, fixed_time()).drop("output_path")
 
 
-@query("sql_preview")
+@query(
+    "sql_preview",
+    """SELECT CAST(ts AS DATE) AS date, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS daily_sales FROM events
+       WHERE event_type = 'purchase' GROUP BY 1 ORDER BY 1 LIMIT 10""",
+)
 def sql_preview(spark, folder):
     """Files registered as a table of the catalog and read by SQL."""
     path = scratch_path(spark, "daily")
@@ -232,7 +247,16 @@ def multi_source(spark, folder):
     return people.join(summary, "user_id").join(per_user, "user_id", "left")
 
 
-@query("index_docs")
+@query(
+    "index_docs",
+    f"""SELECT event_type || '_' || CAST(floor(epoch("timestamp")) AS BIGINT) AS _id, event_type, amount,
+          'stream_analytics' AS processed_by, {FIXED_TIME} AS processed_at FROM ev""",
+    "ev",
+)
 def index_docs(spark, folder):
-    daily = t.events(spark, folder).select("event_type", "timestamp", "amount")
-    return writers.index_documents(daily, "timestamp", F.current_timestamp(), "stream_analytics")
+    raw = t.events(spark, folder).select("event_type", "timestamp", "amount")
+    docs = writers.index_documents(raw, "timestamp", fixed_time(), "stream_analytics")
+    got = F.from_json("document", "event_type STRING, amount DOUBLE, processed_by STRING, `@timestamp` TIMESTAMP_NTZ")
+    return docs.select("_id", got.alias("d")).select(
+        "_id", "d.event_type", "d.amount", "d.processed_by", F.col("d.`@timestamp`").alias("processed_at")
+    )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from sluice.functions.times import LAYOUTS, partition_columns
+from sluice.operators.metrics import alarms, metric_statistics, metric_table
 from sluice.operators.quality import good_and_bad, is_valid, parsed
 from sluice.sources.readers import MICROS
 
@@ -111,9 +112,10 @@ def rerun_touched_hours(
             held.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
                 *folders, "batch"
             ).parquet(lake)
-            hours = held.select(*folders).distinct()
+            # One entry per hour of the batch; as literals they prune the folders to read.
+            hours = [r["at"] for r in held.select(F.concat_ws(" ", *folders).alias("at")).distinct().collect()]
             stored = spark.read.schema(f"{schema}, day STRING, hour STRING, batch STRING").parquet(lake)
-            touched = stored.join(F.broadcast(hours), folders, "left_semi")
+            touched = stored.filter(F.concat_ws(" ", *folders).isin(hours))
             report(touched).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
                 *folders
             ).parquet(out)
@@ -136,6 +138,19 @@ def progress_table(query: StreamingQuery) -> DataFrame:
         took = float(p["durationMs"].get("triggerExecution", 0))
         out.append((p["timestamp"], p["batchId"], p["numInputRows"], took, watermark))
     columns = "at STRING, batch BIGINT, input_rows BIGINT, trigger_ms DOUBLE, watermark STRING"
-    return spark.createDataFrame(out, columns).withColumns(
-        {"at": F.to_timestamp("at"), "watermark": F.to_timestamp("watermark")}
+    times = {"at": F.to_timestamp("at"), "watermark": F.to_timestamp("watermark")}
+    lag = F.unix_millis("at") - F.unix_millis("watermark")
+    return spark.createDataFrame(out, columns).withColumns(times).withColumn("lag_ms", lag)
+
+
+# How far behind a consumer may fall, and for how many periods in a row.
+LAG_LIMIT_MS, LAG_PERIODS = 60_000, 2
+
+
+def lag_alarms(progress: DataFrame, period: str = "60 seconds") -> DataFrame:
+    """Alarm states of a consumer whose lag stays above the limit."""
+    points = metric_table(
+        progress.filter(F.col("lag_ms").isNotNull()), "Streaming", "at", {"lag_ms": ("ConsumerLag", "Milliseconds")}, []
     )
+    series = metric_statistics(points, period)
+    return alarms(series, "ConsumerLag", "maximum", "GreaterThanThreshold", LAG_LIMIT_MS, LAG_PERIODS)

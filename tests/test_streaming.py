@@ -209,3 +209,21 @@ def test_quality_metrics_of_a_stream(spark, folder):
     ).first()
     bad = raw.filter(F.col("event_id") % 20 >= 16).count()
     assert tuple(sums) == (raw.count(), raw.count() - bad, bad)
+
+
+def test_lag_alarm_needs_two_periods(spark):
+    lags = [10_000, 90_000, 70_000, 5_000, 61_000]
+    rows = [(dt.datetime(2024, 1, 1, 0, i), lag) for i, lag in enumerate(lags)]
+    progress = spark.createDataFrame([*rows, (dt.datetime(2024, 1, 1, 0, 9), None)], "at TIMESTAMP, lag_ms BIGINT")
+    states = sinks.lag_alarms(progress).orderBy("period_start").select("state")
+    assert [r[0] for r in states.collect()] == ["OK", "OK", "ALARM", "OK", "OK"]
+
+
+def test_start_positions_have_known_names():
+    assert source.START == {"LATEST": "latest", "TRIM_HORIZON": "earliest"}
+
+
+def test_json_records_with_a_declared_schema(spark):
+    df = spark.createDataFrame([('{"user_id": 1, "value": 2.5}',), ("broken",)], "record STRING")
+    got = source.json_fields(df, "user_id BIGINT, value DOUBLE").collect()
+    assert [tuple(r) for r in got] == [(1, 2.5), (None, None)]

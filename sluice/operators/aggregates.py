@@ -1,4 +1,4 @@
-"""Aggregations, driven by the schema where the reference point is a whole table."""
+"""Aggregations, driven by the schema where they cover a whole table."""
 
 from __future__ import annotations
 

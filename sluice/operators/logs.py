@@ -104,8 +104,11 @@ def parse_rate(lines: DataFrame, line: str = "line", log_type: str = "log_type")
     fits = F.when(F.col(log_type) == "nginx_access", access_fields(line, NGINX).isNotNull()).otherwise(
         access_fields(line, APACHE).isNotNull()
     )
-    return lines.groupBy(log_type).agg(
-        rows().alias("lines"), F.count_if(fits).alias("parsed"), percent(F.count_if(fits), rows()).alias("success_rate")
+    tried = computed_once(lines.select(log_type, line), "_fits", fits)
+    return tried.groupBy(log_type).agg(
+        rows().alias("lines"),
+        F.count_if("_fits").alias("parsed"),
+        percent(F.count_if("_fits"), rows()).alias("success_rate"),
     )
 
 

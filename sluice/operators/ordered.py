@@ -22,6 +22,7 @@ from pyspark.sql.types import NumericType
 
 from sluice.functions.times import micros
 from sluice.functions.values import col, money, ratio, spread
+from sluice.session import settled
 
 # How many rows a slice should hold: enough to sort in one task without trouble.
 SLICE_ROWS = 2_000_000
@@ -216,7 +217,8 @@ def row_numbers(
     """Number all rows of a table from 1, ordered by the numeric ``by`` and then by ``ties``.
 
     ``ties`` must make the order unique. When its first column is numeric, a value shared by
-    very many rows is cut by that column.
+    very many rows is cut by that column. The table is read several times; settle the result
+    of costly steps first.
     """
     keyed = df.withColumn("_by", -F.col(by) if descending else F.col(by))
     cut = ties[0] if isinstance(df.schema[ties[0]].dataType, NumericType) else None
@@ -232,7 +234,7 @@ def value_ranks(df: DataFrame, by: str, descending: bool = False, parts: int | N
     Rows are counted per value first, so ties of any size shuffle as one row per task.
     """
     counted = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-    counted = counted.withColumn("_by", -F.col(by) if descending else F.col(by))
+    counted = settled(counted.withColumn("_by", -F.col(by) if descending else F.col(by)))
     ranked = ordered_scan(
         counted,
         [],
@@ -240,7 +242,7 @@ def value_ranks(df: DataFrame, by: str, descending: bool = False, parts: int | N
         value_slices(counted, "_by", parts=parts),
         sums={"_through": F.col("_n"), "dense_rank": F.lit(1)},
     )
-    everyone = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    everyone = counted.agg(F.sum("_n").alias("n")).scalar()
     return ranked.select(
         by,
         (F.col("_through") - F.col("_n") + 1).alias("rank"),

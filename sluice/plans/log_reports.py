@@ -59,7 +59,7 @@ def problem_messages(logs: DataFrame) -> DataFrame:
     """
     problems = application(logs).filter(F.col("level").isin("ERROR", "WARN"))
     listed = value_list(problems, ["logger", "level"], "message").withColumnRenamed("count", "message_count")
-    counted = problems.groupBy("logger", "level").agg(rows().alias("error_count"))
+    counted = listed.groupBy("logger", "level").agg(F.sum("message_count").alias("error_count"))
     return listed.join(counted, ["logger", "level"])
 
 

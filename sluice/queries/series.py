@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluice.functions.values import rows
 from sluice.operators import ordered, windows
 from sluice.queries.registry import query
+from sluice.session import settled
 from sluice.sources import tables as t
 
 PLACE = ["salesperson", "region", "month"]
@@ -21,7 +22,7 @@ BY_SERIES = "PARTITION BY salesperson, region ORDER BY month"
     "sales",
 )
 def win_rownum(spark, folder):
-    return ordered.row_numbers(t.sales(spark, folder), "sales", PLACE, descending=True, name="overall_rank")
+    return ordered.row_numbers(settled(t.sales(spark, folder)), "sales", PLACE, descending=True, name="overall_rank")
 
 
 @query(
@@ -51,7 +52,7 @@ def win_dense_rank(spark, folder):
     "sales",
 )
 def win_percent_rank(spark, folder):
-    sales = t.sales(spark, folder)
+    sales = settled(t.sales(spark, folder))
     ranks = ordered.value_ranks(sales, "sales", descending=True)
     return sales.join(ranks.select("sales", "rank", "percent_rank"), "sales")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluice.functions.times import micros, time_slice
 from sluice.functions.values import money, rows
 from sluice.operators.ordered import SLICE, fitting_seconds, ordered_scan
+from sluice.session import settled
 
 
 def sessions(
@@ -87,8 +88,10 @@ def behavior_paths(
         )
         .withColumn("event_sequence", F.array_join("_kinds", " -> "))
     )
-    after = F.array(*[_advance(F.col("_kinds"), steps, F.lit(state)) for state in range(len(steps) + 1)])
-    parts = parts.withColumn("_after", after).drop("_kinds")
+    # A first segment is entered with no step done, so it needs one walk only.
+    first, *later = [_advance(F.col("_kinds"), steps, F.lit(state)) for state in range(len(steps) + 1)]
+    after = F.when(F.col("segment") == 0, F.array(first)).otherwise(F.array(first, *later))
+    parts = settled(parts.withColumn("_after", after).drop("_kinds"))
     states = F.transform(F.sort_array(F.collect_list(F.struct("segment", "_after"))), lambda s: s["_after"])
     whole = parts.groupBy(*keys).agg(
         F.min("_from").alias("_from"), F.max("_to").alias("_to"), F.sum("_value").alias("_value"), states.alias("_states")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import substring_dedup
+from sluice.llm import language, near_dedup, packing, personal_data, substring_dedup
 from sluice.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -38,3 +39,57 @@ FROM w LEFT JOIN lists USING (doc_id)
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = substring_dedup.remove_repeats(table(spark, folder, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP7_SQL = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [list_aggregate(words, 'string_agg', ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 1), lambda i: list_aggregate(words[i:i + 2], 'string_agg', ' ')))
+    END AS items
+  FROM w),
+sizes AS (SELECT doc_id, len(items) AS n FROM sets),
+places AS (SELECT doc_id, unnest(items) AS item FROM sets),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM places a JOIN places b ON a.item = b.item AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  WITH RECURSIVE r(a, b) AS (SELECT doc_id, doc_id FROM sets UNION SELECT r.a, s.b FROM r JOIN both_ways s ON r.b = s.a)
+  SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sizes JOIN reach ON doc_id = a
+"""
+
+
+@query("op7_near_dedup", OP7_SQL)
+def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), words=3, similar=85)
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    kept_out = language.held_out()
+    filters = language.fit(docs.where(~kept_out))
+    return language.identify(docs.select("doc_id", "text"), filters).select("doc_id", kept_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_packing")
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op9_personal_data")
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = personal_data.find(docs, personal_data.fit(docs))
+    digest = F.sha2(F.col("base_spans").cast("binary"), 256)
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", digest.alias("base_sha256"), "spans")

@@ -300,3 +300,17 @@ def masked(text: str | None, spans: str) -> str | None:
             out += [text[done:a], f"[{kind}]"]
         done = max(done, b)
     return "".join([*out, text[done:]])
+
+
+def redact(docs: DataFrame, field: Field, text: str = "text", belief: float = BELIEF) -> DataFrame:
+    """``docs`` with every span in ``text`` replaced by the name of its kind in brackets."""
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, text):
+            texts = batch.column(text).to_pylist()
+            clean = [masked(t, written(every)) for t, (_, every) in zip(texts, all_spans(texts, shared.value, belief))]
+            at = batch.schema.get_field_index(text)
+            yield batch.set_column(at, batch.schema.field(at), pa.array(clean, batch.schema.field(at).type))
+
+    return docs.mapInArrow(cover, docs.schema)

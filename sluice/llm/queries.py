@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import language, near_dedup, packing, personal_data, substring_dedup
+from sluice.llm import dropout_bpe, language, licenses, near_dedup, nearest, packing, personal_data, substring_dedup, vector_dedup, warc
 from sluice.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -93,3 +93,47 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = personal_data.find(docs, personal_data.fit(docs))
     digest = F.sha2(F.col("base_spans").cast("binary"), 256)
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", digest.alias("base_sha256"), "spans")
+
+
+OP6_SQL = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS response FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN response END AS refers_to
+FROM g
+"""
+
+
+@query("op6_warc", OP6_SQL)
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.summary(warc.round_trip(table(spark, folder, "pages")))
+
+
+@query("op1_license_scan")
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+@query("op3_merge_dropout")
+def op3_merge_dropout(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document the number and the checksum of its ids, and whether they decode to its text."""
+    docs, model = table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    encoded = dropout_bpe.encode(docs, model).withColumn("n_tokens", F.size("ids").cast("long"))
+    decoded = dropout_bpe.decode(encoded, model)
+    # Both sides by their digests; the texts themselves are not shuffled.
+    back = decoded.select("doc_id", "n_tokens", "ids_crc32", F.sha1(F.col("text").cast("binary")).alias("back"))
+    own = docs.select("doc_id", F.sha1(F.col("text").cast("binary")).alias("own"))
+    return back.join(own, "doc_id").select("doc_id", "n_tokens", "ids_crc32", F.col("back").eqNullSafe(F.col("own")).alias("lossless"))
+
+
+@query("op2_nearest_neighbours")
+def op2_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return nearest.search(rows, rows.where("vec_id % 50 = 0"))
+
+
+@query("op5_vector_dedup")
+def op5_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, folder, "embeddings"))

@@ -106,13 +106,22 @@ def scan(
             for n in sorted(of_length)
         ]
     )
-    windows = (
-        texts.withColumn("c", F.explode(classes))
-        .withColumn("first", F.explode(F.sequence(F.lit(0), F.size("w") - 1, F.col("c.step"))))
-        .select("doc_id", "first", F.col("c.length").alias("length"), F.slice("w", F.col("first") + 1, F.col("c.size")).alias("w"))
-        .withColumn("h", F.array_distinct(hashed(F.col("w"))))
-        .where(F.arrays_overlap("h", all_hashes))
-    )
+    texts = texts.withColumn("c", F.explode(classes))
+    size, step = F.col("c.size"), F.col("c.step")
+
+    def near(w: Column) -> Column:
+        """The windows that hold a shingle of a template, chosen on the hashes before any is cut out."""
+        starts = let(
+            hashed(w),
+            lambda h: F.filter(
+                F.sequence(F.lit(0), F.size(w) - 1, step),
+                lambda i: F.arrays_overlap(F.slice(h, i + 1, F.greatest(size - SHINGLE + 1, F.lit(1))), all_hashes),
+            ),
+        )
+        return F.transform(starts, lambda i: F.struct(i.alias("first"), F.slice(w, i + 1, size).alias("w")))
+
+    windows = texts.select("doc_id", F.col("c.length").alias("length"), F.explode(let(F.col("w"), near)).alias("at"))
+    windows = windows.select("doc_id", "length", "at.first", "at.w").withColumn("h", F.array_distinct(hashed(F.col("w"))))
     placed = windows.withColumn("key", F.explode(bands(F.col("h"))))
     index = known.select("template", "license", "parts", "length", F.explode(bands(F.array_distinct(hashed(F.col("w"))))).alias("key"))
     met = placed.join(F.broadcast(index), ["length", "key"]).dropDuplicates(["doc_id", "length", "first", "template", "w"])

@@ -11,7 +11,7 @@ from sluice.functions.values import col
 PII_RULES = (
     (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]", "@"),
     (r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b", "[IP]", "."),
-    (r"\+?[0-9]{1,3}[-. ]?\(?[0-9]{3}\)?[-. ][0-9]{3}[-. ][0-9]{4}\b", "[PHONE]", ""),
+    (r"(\+[0-9]{1,3}[-. ]?)?(\([0-9]{2,4}\) ?|\b[0-9]{2,4}[-. ])[0-9]{3,4}[-. ][0-9]{4}\b", "[PHONE]", ""),
 )
 
 # Spellings accepted as true and as false.

@@ -30,9 +30,13 @@ def month_label(ts: Column | str) -> Column:
     return F.date_format(col(ts), "yyyy-MM")
 
 
+# Fixed value: a whole date and a time to the minute or finer, with an optional fraction and zone.
+ISO_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?(Z|[+-][0-9]{2}(:?[0-9]{2})?)?$"
+
+
 def parse_iso(text: Column | str) -> Column:
-    """ISO-8601 text, with or without Z, to a timestamp; null when it does not parse."""
-    return F.try_to_timestamp(col(text))
+    """ISO-8601 date and time to a timestamp; null for anything else, also a date or a time alone."""
+    return F.when(col(text).rlike(ISO_TIME), F.try_to_timestamp(col(text)))
 
 
 def parse_access_time(text: Column | str) -> Column:

@@ -1,7 +1,7 @@
 """Column helpers for amounts, ratios and exact sums.
 
-Amounts carry two decimals. They are summed as DECIMAL, so a total does not depend on the
-order in which tasks finish, and are handed out as DOUBLE.
+Amounts are summed as wide DECIMAL, so a total does not depend on the order in which tasks
+finish, and are handed out as DOUBLE. Values that do not fit are summed as DOUBLE instead.
 """
 
 from __future__ import annotations
@@ -14,12 +14,24 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Ten decimals and twenty digits before them; sums have eight digits more.
+AMOUNT = "decimal(30,10)"
+
+
 def money(c: Column | str) -> Column:
+    """The value as an exact amount; null when it has more than twenty digits or is not finite."""
+    return col(c).try_cast(AMOUNT)
+
+
+def cents(c: Column | str) -> Column:
+    """Prices that are stored with two decimals."""
     return col(c).cast("decimal(18,2)")
 
 
 def total(c: Column | str) -> Column:
-    return F.sum(money(c)).cast("double")
+    """The exact sum, or the DOUBLE sum once a value or the sum does not fit."""
+    exact = F.when(F.count(money(c)) == F.count(col(c)), F.try_sum(money(c)).cast("double"))
+    return F.when(F.count(col(c)) > 0, F.coalesce(exact, F.sum(col(c).cast("double"))))
 
 
 def mean(c: Column | str) -> Column:

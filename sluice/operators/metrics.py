@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,18 +55,28 @@ COMPARE = {
 
 
 def alarms(
-    statistics: DataFrame, metric: str, statistic: str, comparison: str, threshold: float, periods: int = 1
+    statistics: DataFrame,
+    metric: str,
+    statistic: str,
+    comparison: str,
+    threshold: float,
+    periods: int = 1,
+    period_seconds: int = 300,
+    dimensions: Sequence[str] = (),
 ) -> DataFrame:
     """State of one alarm per period: ALARM once the limit is broken ``periods`` times in a row.
 
-    A series holds one row per period, so its windows follow the calendar.
+    Every combination of the dimensions has a state of its own. A period without data breaks
+    a row of breaches: the frame counts periods, not rows.
     """
     series = statistics.filter(F.col("metric") == metric)
-    breach = COMPARE[comparison](F.col(statistic), F.lit(threshold)).cast("int")
-    w = Window.partitionBy("namespace", "metric").orderBy("period_start").rowsBetween(1 - periods, 0)
-    state = F.when((F.min("_breach").over(w) == 1) & (F.count("_breach").over(w) == periods), "ALARM").otherwise("OK")
-    return series.withColumn("_breach", breach).select(
-        "namespace", "metric", "period_start", F.col(statistic).alias("value"), state.alias("state")
+    breach = COMPARE[comparison](F.col(statistic), F.lit(threshold))
+    number = F.floor(F.unix_timestamp(F.col("period_start").cast("timestamp")) / F.lit(period_seconds))
+    keys = ["namespace", "metric", *dimensions]
+    w = Window.partitionBy(*keys).orderBy("_period").rangeBetween(1 - periods, 0)
+    state = F.when(F.count_if("_breach").over(w) >= periods, "ALARM").otherwise("OK")
+    return series.withColumns({"_breach": breach, "_period": number}).select(
+        *keys, "period_start", F.col(statistic).alias("value"), state.alias("state")
     )
 
 

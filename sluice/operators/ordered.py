@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from sluice.functions.times import micros
-from sluice.functions.values import col, money, ratio, spread
+from sluice.functions.values import AMOUNT, col, money, ratio, spread
 from sluice.session import settled
 
 # How many rows a slice should hold: enough to sort in one task without trouble.
@@ -145,8 +145,8 @@ def moving_statistics(
         max(int(width * million), 1),
         {
             "_n": F.when(amount.isNotNull(), 1).otherwise(0),
-            "_sum": F.coalesce(amount, F.lit(0).cast("decimal(18,2)")),
-            "_squares": F.coalesce(amount * amount, F.lit(0)).cast("decimal(28,4)"),
+            "_sum": F.coalesce(amount, F.lit(0).cast(AMOUNT)),
+            "_squares": F.coalesce(amount * amount, F.lit(0)).cast("decimal(38,6)"),
         },
     )
     return scanned.withColumns(
@@ -182,6 +182,11 @@ def value_slices(df: DataFrame, by: str, tie: str | None = None, parts: int | No
     return (place * F.lit(len(tie_edges) + 1) + F.coalesce(inner, F.lit(0))).cast("bigint")
 
 
+def nulls_last(by: str, slices: Column) -> tuple[list[str], Column]:
+    """Order columns and slices for a descending order on ``_by``, in which rows without a value come last."""
+    return ["_none", "_by"], F.when(F.col(by).isNull(), F.lit(2**62)).otherwise(slices)
+
+
 def _bucket(value: Column, edges: list[float], block: int = 64) -> Column:
     """Number of edges at or below the value; nulls first.
 
@@ -216,30 +221,41 @@ def row_numbers(
 ) -> DataFrame:
     """Number all rows of a table from 1, ordered by the numeric ``by`` and then by ``ties``.
 
+    Rows without a value come first, on a descending order last, as Spark has it.
+
     ``ties`` must make the order unique. When its first column is numeric, a value shared by
     very many rows is cut by that column. The table is read several times; settle the result
     of costly steps first.
     """
-    keyed = df.withColumn("_by", -F.col(by) if descending else F.col(by))
+    keyed = df.withColumn("_by", -F.col(by) if descending else F.col(by)).withColumn("_none", F.col(by).isNull() & F.lit(descending))
     cut = ties[0] if isinstance(df.schema[ties[0]].dataType, NumericType) else None
-    numbered = ordered_scan(
-        keyed, [], ["_by", *ties], value_slices(keyed, "_by", cut, parts), sums={name: F.lit(1)}
-    )
-    return numbered.drop("_by")
+    order, slices = ["_by"], value_slices(keyed, "_by", cut, parts)
+    if descending:
+        order, slices = nulls_last(by, slices)
+    numbered = ordered_scan(keyed, [], [*order, *ties], slices, sums={name: F.lit(1)})
+    return numbered.drop("_by", "_none")
 
 
 def value_ranks(df: DataFrame, by: str, descending: bool = False, parts: int | None = None) -> DataFrame:
     """One row per distinct value with its rank, dense rank and percent rank in the table.
 
+    Null is a value too: the first one, on a descending order the last. Attach the ranks with
+    :func:`with_ranks`, which keeps rows without a value.
+
     Rows are counted per value first, so ties of any size shuffle as one row per task.
     """
     counted = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-    counted = settled(counted.withColumn("_by", -F.col(by) if descending else F.col(by)))
+    counted = settled(
+        counted.withColumn("_by", -F.col(by) if descending else F.col(by)).withColumn("_none", F.col(by).isNull() & F.lit(descending))
+    )
+    order, slices = ["_by"], value_slices(counted, "_by", parts=parts)
+    if descending:
+        order, slices = nulls_last(by, slices)
     ranked = ordered_scan(
         counted,
         [],
-        ["_by"],
-        value_slices(counted, "_by", parts=parts),
+        order,
+        slices,
         sums={"_through": F.col("_n"), "dense_rank": F.lit(1)},
     )
     everyone = counted.agg(F.sum("_n").alias("n")).scalar()
@@ -256,6 +272,12 @@ def value_ranks(df: DataFrame, by: str, descending: bool = False, parts: int | N
     )
 
 
+def with_ranks(df: DataFrame, ranks: DataFrame, by: str) -> DataFrame:
+    """Every row with the ranks of its value, also of a missing one."""
+    ranked = ranks.withColumnRenamed(by, "_ranked")
+    return df.join(ranked, F.col(by).eqNullSafe(F.col("_ranked"))).drop("_ranked")
+
+
 def tiles(position: Column, count: Column, n: int) -> Column:
     """The NTILE(n) number of a row from its position and the row count."""
     small = F.floor(count / F.lit(n))

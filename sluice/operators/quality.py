@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -184,12 +186,14 @@ def good_and_bad(records: DataFrame, failed_at: Column, text: str = "record") ->
     return good, bad
 
 
-def quality_metrics(records: DataFrame, at: str, period: str = "5 minutes", text: str = "record") -> DataFrame:
-    """Total, valid and invalid records per period; every record counts, parsable or not."""
-    checked = parsed(records, text).select(at, is_valid().alias("_valid"))
+def quality_metrics(
+    records: DataFrame, at: str, period: str = "5 minutes", text: str = "record", dimensions: Sequence[str] = ()
+) -> DataFrame:
+    """Total, valid and invalid records per period and dimensions; every record counts, parsable or not."""
+    checked = parsed(records, text).select(at, *dimensions, is_valid().alias("_valid"))
     valid = F.count_if("_valid")
     return (
-        checked.groupBy(F.window(at, period).alias("window"))
+        checked.groupBy(F.window(at, period).alias("window"), *dimensions)
         .agg(
             rows().alias("total_records"),
             valid.alias("valid_records"),
@@ -198,6 +202,7 @@ def quality_metrics(records: DataFrame, at: str, period: str = "5 minutes", text
         )
         .select(
             F.col("window.start").alias("window_start"),
+            *dimensions,
             "total_records", "valid_records", "invalid_records", "quality_rate",
         )
     )

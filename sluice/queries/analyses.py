@@ -278,8 +278,9 @@ def daily_sales(spark, folder):
     f"""SELECT 'daily_revenue' AS section, CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS item, {TOTAL} AS value
           FROM ev GROUP BY 2
         UNION ALL SELECT 'category_shares', category, count(*) * 100.0::DOUBLE / (SELECT count(*) FROM ev) FROM ev GROUP BY 2
-        UNION ALL SELECT 'busy_mornings', dayname("timestamp"), CAST(count(*) FILTER (WHERE hour("timestamp") = 9) AS DOUBLE)
-          FROM ev GROUP BY 2
+        UNION ALL SELECT 'heat_table', d || ' ' || lpad(CAST(h AS VARCHAR), 2, '0'), CAST(coalesce(n, 0) AS DOUBLE) FROM
+          (SELECT * FROM (SELECT DISTINCT dayname("timestamp") AS d FROM ev), (SELECT unnest(range(24)) AS h))
+          LEFT JOIN (SELECT dayname("timestamp") AS d, hour("timestamp") AS h, count(*) AS n FROM ev GROUP BY 1, 2) USING (d, h)
         UNION ALL (SELECT 'top_users', CAST(user_id AS VARCHAR), {TOTAL} FROM ev GROUP BY 2, user_id
           ORDER BY 3 DESC, user_id LIMIT 10)""",
     "ev",
@@ -289,19 +290,19 @@ def dashboard_data(spark, folder):
     chosen = {
         "daily_revenue": ("date", "amount"),
         "category_shares": ("category", "percentage"),
-        "heat_table": ("day_name", "h09"),
         "top_users": ("user_id", "amount"),
     }
     out = None
     for name, (item, value) in chosen.items():
-        section = "busy_mornings" if name == "heat_table" else name
         lines = parts[name].select(
-            F.lit(section).alias("section"),
+            F.lit(name).alias("section"),
             F.col(item).cast("string").alias("item"),
             F.col(value).cast("double").alias("value"),
         )
         out = lines if out is None else out.union(lines)
-    return out
+    hours = [f"{h:02d}" for h in range(24)]
+    cells = F.array(*[F.struct(F.concat_ws(" ", "day_name", F.lit(h)).alias("item"), F.col(f"h{h}").cast("double").alias("value")) for h in hours])
+    return out.union(parts["heat_table"].select(F.lit("heat_table"), F.inline(cells)))
 
 
 LIVE = f"count(*) AS events, count(DISTINCT user_id) AS users, {TOTAL} AS amount"

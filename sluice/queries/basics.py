@@ -127,20 +127,26 @@ def describe(spark, folder):
     return out.withColumns({"mean": F.round("mean", 6), "stddev": F.round("stddev", 6)})
 
 
+COLUMNS = (
+    "event_id bigint, timestamp timestamp_ntz, user_id bigint, event_type string, amount double, category string, session_id string, "
+    "ip_address string, method string, path string, log_type string, status_code int, response_size int, level string, logger string, "
+    "message string, props string"
+)
+
+
 @query(
     "null_profile",
-    """SELECT c AS "column", d AS data_type, n AS row_count, k AS null_count, k * 100.0::DOUBLE / n AS null_percent
-       FROM (
-         SELECT 'event_id' AS c, 'bigint' AS d, count(*) AS n, count(*) - count(event_id) AS k FROM ev
-         UNION ALL SELECT 'timestamp', 'timestamp_ntz', count(*), count(*) - count("timestamp") FROM ev
-         UNION ALL SELECT 'event_type', 'string', count(*), count(*) - count(event_type) FROM ev
-         UNION ALL SELECT 'amount', 'double', count(*), count(*) - count(amount) FROM ev
-         UNION ALL SELECT 'status_code', 'int', count(*), count(*) - count(status_code) FROM ev)""",
+    """SELECT c AS "column", d AS data_type, n AS row_count, k AS null_count, k * 100.0::DOUBLE / n AS null_percent FROM ("""
+    + " UNION ALL ".join(
+        f"""SELECT '{c}' AS c, '{d}' AS d, count(*) AS n, count(*) - count("{c}") AS k FROM ev"""
+        for c, d in (x.split() for x in COLUMNS.split(", "))
+    )
+    + ")",
     "ev",
 )
 def null_profile(spark, folder):
-    wanted = t.events(spark, folder).select("event_id", "timestamp", "event_type", "amount", "status_code")
-    return project.null_profile(wanted)
+    """Every column of the events."""
+    return project.null_profile(t.events(spark, folder))
 
 
 @query(

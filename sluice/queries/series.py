@@ -27,22 +27,26 @@ def win_rownum(spark, folder):
 
 @query(
     "win_rownum_events",
-    "SELECT event_id, value, row_number() OVER (ORDER BY value DESC, event_id) AS position FROM events",
+    """SELECT *, row_number() OVER (ORDER BY value DESC NULLS LAST, event_id) AS position
+       FROM (SELECT event_id, CASE WHEN event_id % 10 <> 3 THEN value END AS value FROM events)""",
 )
 def win_rownum_events(spark, folder):
-    raw = t.table(spark, folder, "events").select("event_id", "value")
+    """Every tenth row has no value and comes after all others."""
+    raw = t.table(spark, folder, "events").select("event_id", F.when(F.col("event_id") % 10 != 3, F.col("value")).alias("value"))
     return ordered.row_numbers(raw, "value", ["event_id"], descending=True)
 
 
 @query(
     "win_dense_rank",
-    "SELECT *, dense_rank() OVER (ORDER BY amount DESC) AS dense_rank FROM (SELECT event_id, amount FROM ev)",
+    """SELECT *, dense_rank() OVER (ORDER BY amount DESC NULLS LAST) AS dense_rank
+       FROM (SELECT event_id, CASE WHEN event_id % 10 <> 3 THEN amount END AS amount FROM ev)""",
     "ev",
 )
 def win_dense_rank(spark, folder):
-    events = t.events(spark, folder).select("event_id", "amount")
+    """Every tenth row has no amount; it keeps its row and ranks last."""
+    events = t.events(spark, folder).select("event_id", F.when(F.col("event_id") % 10 != 3, F.col("amount")).alias("amount"))
     ranks = ordered.value_ranks(events, "amount", descending=True)
-    return events.join(ranks.select("amount", "dense_rank"), "amount")
+    return ordered.with_ranks(events, ranks.select("amount", "dense_rank"), "amount")
 
 
 @query(
@@ -54,7 +58,7 @@ def win_dense_rank(spark, folder):
 def win_percent_rank(spark, folder):
     sales = settled(t.sales(spark, folder))
     ranks = ordered.value_ranks(sales, "sales", descending=True)
-    return sales.join(ranks.select("sales", "rank", "percent_rank"), "sales")
+    return ordered.with_ranks(sales, ranks.select("sales", "rank", "percent_rank"), "sales")
 
 
 @query(

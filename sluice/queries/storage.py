@@ -19,7 +19,7 @@ RAW = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
 @query(
     "scan_schema",
-    """SELECT event_id, user_id, event_type, ts AS "timestamp", value, 'props' AS keys FROM events""",
+    """SELECT event_id, user_id, event_type, ts AS "timestamp", value, 'props' AS keys, props AS "values" FROM events""",
 )
 def scan_schema(spark, folder):
     path = scratch_path(spark, "scan-schema")
@@ -31,6 +31,7 @@ def scan_schema(spark, folder):
     return out.select(
         "event_id", "user_id", "event_type", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "value",
         F.array_join(F.map_keys("properties"), ",").alias("keys"),
+        F.array_join(F.map_values("properties"), ",").alias("values"),
     )
 
 
@@ -49,10 +50,8 @@ def scan_jsonl(spark, folder):
 @query("scan_csv", RAW)
 def scan_csv(spark, folder):
     root = scratch_path(spark, "scan-csv")
-    t.table(spark, folder, "events").write.options(**readers.MICROS, header=True, escape='"').csv(root)
-    return (
-        spark.read.schema(TABLES["events"]).options(**readers.MICROS, header=True, escape='"').csv(root)
-    )
+    t.table(spark, folder, "events").write.options(**readers.CSV).csv(root)
+    return readers.read_csv(spark, root, TABLES["events"])
 
 
 @query("scan_orc", RAW)
@@ -109,19 +108,22 @@ def codec_sizes(spark, folder):
 
 @query(
     "json_to_parquet",
-    "SELECT event_id, ts AS event_time, event_type, user_id, value FROM rec WHERE turn <> 19",
+    """SELECT event_id, ts AS event_time, event_type, user_id, value, false AS rejected FROM rec WHERE turn <> 19
+       UNION ALL SELECT event_id, NULL, NULL, NULL, NULL, true FROM rec WHERE turn = 19""",
     "rec",
 )
 def json_to_parquet(spark, folder):
-    """Records whose fields do not fit the declared types do not become rows of the table."""
-    raw, columnar = scratch_path(spark, "raw"), scratch_path(spark, "columnar")
+    """Records whose fields do not fit the declared types go to the error place, whole."""
+    raw, columnar, errors = (scratch_path(spark, n) for n in ("raw", "columnar", "errors"))
     t.raw_records(spark, folder).select("record").write.text(raw)
     declared = "event_id BIGINT, timestamp STRING, event_type STRING, user_id BIGINT, value DOUBLE"
-    spark.read.schema(declared).option("mode", "DROPMALFORMED").json(raw).write.parquet(columnar)
-    return readers.read_parquet(spark, columnar).select(
+    writers.json_to_parquet(spark, raw, declared, columnar, errors)
+    good = readers.read_parquet(spark, columnar).select(
         "event_id", F.try_to_timestamp("timestamp").cast("timestamp_ntz").alias("event_time"),
-        "event_type", "user_id", "value",
+        "event_type", "user_id", "value", F.lit(False).alias("rejected"),
     )
+    bad = spark.read.text(errors).select(F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"), F.lit(True).alias("rejected"))
+    return good.unionByName(bad, allowMissingColumns=True)
 
 
 @query("format_report")
@@ -143,9 +145,10 @@ FOUR = """SELECT '{f}' AS format, 'count' AS item, CAST(count(*) AS DOUBLE) AS v
 def format_queries(spark, folder):
     """Row count, filter, mean and sum by category over two layouts of the same table."""
     source = lake_events(spark, folder)
-    written = writers.write_formats(source, scratch_path(spark, "formats"))
+    wanted = ("csv", "parquet_snappy")
+    written = writers.write_formats(source, scratch_path(spark, "formats"), wanted)
     out = None
-    for name in ("csv", "parquet_snappy"):
+    for name in wanted:
         df = writers.read_format(spark, name, written[name][0], source.schema)
         whole = df.agg(
             rows().cast("double").alias("count"),

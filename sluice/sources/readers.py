@@ -14,6 +14,9 @@ from sluice.schemas import record_schema
 # Fixed value: text formats keep microseconds only when told to, on both sides.
 MICROS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
+# Quotes inside of quoted fields are doubled, on both sides.
+CSV = {**MICROS, "header": "true", "quote": '"', "escape": '"'}
+
 
 def load(spark: SparkSession, path: str, schema_name: str, fmt: str = "parquet", multiline: bool = True) -> DataFrame:
     """Read files with a registered schema.
@@ -31,7 +34,7 @@ def load(spark: SparkSession, path: str, schema_name: str, fmt: str = "parquet",
         case "json":
             return reader.options(**MICROS).option("multiLine", multiline).json(path)
         case "csv":
-            return reader.options(**MICROS).option("header", True).csv(path)
+            return reader.options(**CSV).csv(path)
     raise ValueError(f"unsupported format {fmt!r}")
 
 
@@ -45,7 +48,7 @@ def read_json_lines(spark: SparkSession, path: str | Sequence[str], schema: str
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**MICROS).option("header", True).csv(path)
+    return spark.read.schema(schema).options(**CSV).csv(path)
 
 
 def read_orc(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.times import day, month_label
-from sluice.functions.values import mean, money
+from sluice.functions.values import cents, mean
 from sluice.schemas import TABLES
 
 
@@ -81,7 +81,7 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
-        money("o_totalprice").alias("amount"),
+        cents("o_totalprice").alias("amount"),
         day("o_orderdate").alias("order_date"),
         F.col("o_orderstatus").alias("status"),
     )
@@ -110,7 +110,7 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
     per_customer_month = (
         table(spark, folder, "orders")
         .groupBy("o_custkey", month_label("o_orderdate").alias("month"))
-        .agg(F.sum(money("o_totalprice")).alias("amount"))
+        .agg(F.sum(cents("o_totalprice")).alias("amount"))
     )
     region = table(spark, folder, "nation").join(
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
@@ -138,9 +138,9 @@ def stock(spark: SparkSession, folder: str) -> DataFrame:
 
 def change_events(spark: SparkSession, folder: str) -> DataFrame:
     """Change records of the orders table: insert, later update and delete of the same key."""
-    image = F.struct(F.col("o_orderstatus").alias("status"), money("o_totalprice").alias("amount"))
+    image = F.struct(F.col("o_orderstatus").alias("status"), cents("o_totalprice").alias("amount"))
     none = F.lit(None).cast("struct<status:string,amount:decimal(18,2)>")
-    updated = F.struct(F.lit("X").alias("status"), money("o_totalprice").alias("amount"))
+    updated = F.struct(F.lit("X").alias("status"), cents("o_totalprice").alias("amount"))
     change = F.when(F.col("o_orderstatus") == "F", updated).otherwise(image)
     steps = F.array_compact(
         F.array(

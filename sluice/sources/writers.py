@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Collection
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.times import LAYOUTS, partition_columns
 from sluice.functions.values import rows
-from sluice.sources.readers import MICROS
+from sluice.session import settled
+from sluice.sources.readers import CSV, MICROS
 
 # The codec for each use, and the codecs of the comparison.
 CODEC_POLICY = {"realtime": "snappy", "batch": "gzip", "archive": "bzip2"}
@@ -60,7 +62,7 @@ def write_for(df: DataFrame, path: str, use: str, fmt: str = "parquet") -> None:
     codec = CODEC_POLICY[use]
     if codec in TEXT_ONLY_CODECS and fmt not in ("json", "csv", "text"):
         raise ValueError(f"{codec} can compress text formats only, not {fmt}")
-    options = MICROS if fmt in ("json", "csv") else {}
+    options = {"json": MICROS, "csv": CSV}.get(fmt, {})
     df.write.mode("errorifexists").options(**options).option("compression", codec).format(fmt).save(path)
 
 
@@ -111,13 +113,22 @@ COMPARED = {
 }
 
 
-def write_formats(df: DataFrame, root: str) -> dict[str, tuple[str, float]]:
-    """One copy of a table per layout: name -> (path, seconds to write)."""
+def json_to_parquet(spark: SparkSession, raw: str, schema: str, columnar: str, errors: str) -> None:
+    """Rewrite JSON lines as Parquet; lines that do not fit the schema go to ``errors`` as they are."""
+    checked = spark.read.schema(f"{schema}, _bad STRING").option("columnNameOfCorruptRecord", "_bad").json(raw)
+    checked = settled(checked)  # both parts come from one parse
+    checked.filter("_bad IS NULL").drop("_bad").write.parquet(columnar)
+    checked.filter("_bad IS NOT NULL").select("_bad").write.text(errors)
+
+
+def write_formats(df: DataFrame, root: str, wanted: Collection[str] | None = None) -> dict[str, tuple[str, float]]:
+    """One copy of a table per wanted layout: name -> (path, seconds to write)."""
     out = {}
-    for name, (fmt, codec) in COMPARED.items():
+    for name in wanted or COMPARED:
+        fmt, codec = COMPARED[name]
         writer = df.write.option("compression", codec).format(fmt)
         if fmt in ("csv", "json"):
-            writer = writer.options(**MICROS).option("header", True)
+            writer = writer.options(**(CSV if fmt == "csv" else MICROS))
         started = time.perf_counter()
         writer.save(f"{root}/{name}")
         out[name] = (f"{root}/{name}", time.perf_counter() - started)
@@ -128,7 +139,7 @@ def read_format(spark: SparkSession, name: str, path: str, schema) -> DataFrame:
     fmt = COMPARED[name][0]
     reader = spark.read.schema(schema)
     if fmt in ("csv", "json"):
-        reader = reader.options(**MICROS).option("header", True)
+        reader = reader.options(**(CSV if fmt == "csv" else MICROS))
     return reader.format(fmt).load(path)
 
 

@@ -147,10 +147,10 @@ def progress_table(query: StreamingQuery) -> DataFrame:
 LAG_LIMIT_MS, LAG_PERIODS = 60_000, 2
 
 
-def lag_alarms(progress: DataFrame, period: str = "60 seconds") -> DataFrame:
+def lag_alarms(progress: DataFrame, period_seconds: int = 60) -> DataFrame:
     """Alarm states of a consumer whose lag stays above the limit."""
     points = metric_table(
         progress.filter(F.col("lag_ms").isNotNull()), "Streaming", "at", {"lag_ms": ("ConsumerLag", "Milliseconds")}, []
     )
     series = metric_statistics(points, period)
-    return alarms(series, "ConsumerLag", "maximum", "GreaterThanThreshold", LAG_LIMIT_MS, LAG_PERIODS)
+    return alarms(series, "ConsumerLag", "maximum", "GreaterThanThreshold", LAG_LIMIT_MS, LAG_PERIODS, period_seconds)

@@ -102,7 +102,7 @@ def test_moving_sums_equal_range_frame(spark, hot):
 @given(st.lists(st.sampled_from([0, 0, 0, 1, 2, 3, 7, -4, None]), min_size=1, max_size=40), st.booleans(), st.integers(2, 9))
 def test_ranks_with_heavy_ties(spark, numbers, descending, parts):
     df = spark.createDataFrame(list(enumerate(numbers)), "id BIGINT, v INT")
-    order = F.desc_nulls_first("v") if descending else F.asc_nulls_first("v")
+    order = F.desc_nulls_last("v") if descending else F.asc_nulls_first("v")
     got = ordered.row_numbers(df, "v", ["id"], descending, parts)
     assert same(got, df.withColumn("position", F.row_number().over(Window.orderBy(order, "id")).cast("bigint")))
     w = Window.orderBy(order)

@@ -2,7 +2,7 @@
 
 ``Window.partitionBy(key)`` hands all rows of a key to a single task, which fails once one
 key holds a large part of the data. The operators here cut each key into consecutive slices
-(a stretch of time, or a stretch of values), work inside (key, slice), and bring in what
+(a stretch of time, or of values), work inside (key, slice), and bring in what
 earlier slices contribute through one extra *carry row* per slice:
 
 * running sums and positions carry the totals of all earlier slices,
@@ -26,21 +26,34 @@ from sluice.session import settled
 
 # How many rows a slice should hold: enough to sort in one task without trouble.
 SLICE_ROWS = 2_000_000
-MOST_SLICES = 4096
 
 SLICE = "_slice"
+HOT = "_hot"
 KIND = "_kind"
 BEFORE, DATA, AFTER = 0, 1, 2
 
 
-def fitting_seconds(df: DataFrame, ts: str, slice_rows: int = SLICE_ROWS) -> float:
-    """Width of the time slices at which even a key with all rows fits, from one aggregated row."""
-    seen = df.agg(
-        F.min(micros(ts)).alias("first"), F.max(micros(ts)).alias("last"), F.count(F.lit(1)).alias("n")
-    ).first()
-    if not seen["n"] or seen["first"] is None:
-        return 1.0
-    return max((seen["last"] - seen["first"] + 1) / 1e6 * min(1.0, slice_rows / seen["n"]), 1e-3)
+def hot_slices(
+    df: DataFrame, keys: list[str], by: str, tie: str | None = None, on: str | None = None, slice_rows: int = SLICE_ROWS
+) -> tuple[DataFrame, Column]:
+    """The table with its hot keys marked, and the slice of each row along the numeric ``by``.
+
+    Keys with more than ``slice_rows`` rows are cut at quantiles of their own rows, so a slice
+    holds about that many however the rows lie: one stray value or a burst changes nothing. A
+    value that fills slices alone is cut further by ``tie``. All other keys stay whole and cost
+    no carry rows. At most ``rows / slice_rows`` keys are hot, which bounds the marked list.
+    ``on`` names the column that the slices are read from, if it is not ``by``.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > slice_rows)
+    total_rows = counted.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    if not total_rows:
+        return df.withColumn(HOT, F.lit(False)), F.lit(0).cast("bigint")
+    marked = counted.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias(HOT))
+    same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+    flagged = df.join(F.broadcast(marked), same, "left").drop(*[f"_hot_{k}" for k in keys])
+    flagged = flagged.withColumn(HOT, F.coalesce(HOT, F.lit(False)))
+    slices = value_slices(flagged.filter(HOT), by, tie, int(total_rows // slice_rows) + 1, on)
+    return flagged, F.when(F.col(HOT), slices).otherwise(F.lit(0)).cast("bigint")
 
 
 def ordered_scan(
@@ -100,8 +113,8 @@ def moving_sums(
     keys: list[str],
     order: str,
     span: int,
-    slice_width: int,
     sums: dict[str, Column],
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Running sums over the rows from ``span`` units before the current row up to its peers.
 
@@ -110,10 +123,12 @@ def moving_sums(
     taken off again right after ``order + span``. Use exact (integer or decimal) inputs.
     """
     names = {n: f"_add_{n}" for n in sums}
-    rows = df.withColumns({names[n]: c for n, c in sums.items()})
+    flagged, slices = hot_slices(df, keys, order, on="_at", slice_rows=slice_rows)
+    rows = flagged.withColumns({names[n]: c for n, c in sums.items()})
     arrive = rows.withColumns({"_at": F.col(order), "_leave": F.lit(0)})
     depart = rows.select(
         *keys,
+        HOT,
         (F.col(order) + F.lit(span)).alias("_at"),
         F.lit(1).alias("_leave"),
         *[(-F.col(a)).alias(a) for a in names.values()],
@@ -123,31 +138,30 @@ def moving_sums(
         both,
         keys,
         ["_at", "_leave"],
-        F.floor(F.col("_at") / F.lit(slice_width)),
+        slices,
         sums={n: F.col(a) for n, a in names.items()},
         peers=True,
     )
-    return scanned.filter(F.col("_leave") == 0).drop("_at", "_leave", *names.values())
+    return scanned.filter(F.col("_leave") == 0).drop("_at", "_leave", HOT, *names.values())
 
 
 def moving_statistics(
-    df: DataFrame, keys: list[str], ts: str, value: str, seconds: int, slice_seconds: float | None = None
+    df: DataFrame, keys: list[str], ts: str, value: str, seconds: int, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Moving count, mean and sample deviation of an amount over the preceding seconds."""
     million = 1_000_000
-    width = slice_seconds or fitting_seconds(df, ts)
     amount = money(value)
     scanned = moving_sums(
         df.withColumn("_us", micros(ts)),
         keys,
         "_us",
         seconds * million,
-        max(int(width * million), 1),
         {
             "_n": F.when(amount.isNotNull(), 1).otherwise(0),
             "_sum": F.coalesce(amount, F.lit(0).cast(AMOUNT)),
             "_squares": F.coalesce(amount * amount, F.lit(0)).cast("decimal(38,6)"),
         },
+        slice_rows,
     )
     return scanned.withColumns(
         {
@@ -158,7 +172,9 @@ def moving_statistics(
     ).drop("_us", "_n", "_sum", "_squares")
 
 
-def value_slices(df: DataFrame, by: str, tie: str | None = None, parts: int | None = None) -> Column:
+def value_slices(
+    df: DataFrame, by: str, tie: str | None = None, parts: int | None = None, on: str | None = None
+) -> Column:
     """Slice number for ranking on a numeric column, from sketched quantiles.
 
     The driver receives the ``parts`` quantiles (as many as the row count asks for) and
@@ -166,7 +182,7 @@ def value_slices(df: DataFrame, by: str, tie: str | None = None, parts: int | No
     own, cut further by the quantiles of ``tie``. The slices only have to follow the order;
     sketch errors change their size, not the result.
     """
-    parts = parts or max(2, min(df.count() // SLICE_ROWS + 1, MOST_SLICES))
+    parts = parts or max(2, df.count() // SLICE_ROWS + 1)
     marks = [i / parts for i in range(1, parts)]
     columns = [by] if tie is None else [by, tie]
     numeric = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
@@ -174,11 +190,12 @@ def value_slices(df: DataFrame, by: str, tie: str | None = None, parts: int | No
     cuts = sorted(set(found[0]))
     heavy = sorted({v for v in cuts if found[0].count(v) > 1})
     edges = sorted(set(cuts) | {math.nextafter(v, math.inf) for v in heavy})
-    place = _bucket(F.col(by).cast("double"), edges)
+    at = F.col(on or by).cast("double")
+    place = _bucket(at, edges)
     if tie is None:
         return place.cast("bigint")
     tie_edges = sorted(set(found[1]))
-    inner = F.when(F.col(by).cast("double").isin(heavy), _bucket(F.col(tie).cast("double"), tie_edges))
+    inner = F.when(at.isin(heavy), _bucket(F.col(tie).cast("double"), tie_edges))
     return (place * F.lit(len(tie_edges) + 1) + F.coalesce(inner, F.lit(0))).cast("bigint")
 
 

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.functions.times import micros, time_slice
+from sluice.functions.times import micros
 from sluice.functions.values import money, rows
-from sluice.operators.ordered import SLICE, fitting_seconds, ordered_scan
+from sluice.operators.ordered import SLICE, SLICE_ROWS, hot_slices, ordered_scan
 from sluice.session import settled
 
 
 def sessions(
     events: DataFrame, key: str, ts: str, value: str, label: str, gap_seconds: int = 1800,
-    slice_seconds: float | None = None,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Runs of events of a key with at most the gap between neighbours.
 
@@ -21,9 +21,9 @@ def sessions(
     partial sessions; only those, at most a few per slice, are then merged per key.
     """
     gap = gap_seconds * 1_000_000
-    rows_in = events.select(key, label, money(value).alias("_v"), micros(ts).alias("_us"), F.col(ts).alias("_ts")).withColumn(
-        SLICE, time_slice("_ts", slice_seconds or fitting_seconds(events, ts))
-    )
+    slim = events.select(key, label, money(value).alias("_v"), micros(ts).alias("_us"), F.col(ts).alias("_ts"))
+    flagged, slices = hot_slices(slim, [key], "_us", slice_rows=slice_rows)
+    rows_in = flagged.withColumn(SLICE, slices)
     local = Window.partitionBy(key, SLICE).orderBy("_us")
     starts = F.coalesce(F.col("_us") - F.lag("_us").over(local) > gap, F.lit(True))
     partial = (
@@ -68,14 +68,12 @@ def behavior_paths(
     this order anywhere in the whole path, across its segments.
     """
     keys = ["session_id", "user_id", "window_start"]
-    width = min(fitting_seconds(events, "timestamp"), minutes * 60)
     framed = events.select(
         "session_id", "user_id", "event_id", "event_type", "amount", "timestamp",
-        F.window("timestamp", f"{minutes} minutes").start.alias("window_start"),
+        F.window("timestamp", f"{minutes} minutes").start.alias("window_start"), micros("timestamp").alias("_us"),
     )
-    placed = ordered_scan(
-        framed, keys, ["timestamp", "event_id"], time_slice("timestamp", width), sums={"_pos": F.lit(1)}
-    ).withColumn("segment", F.floor((F.col("_pos") - 1) / segment))
+    flagged, slices = hot_slices(framed, keys, "_us", "event_id")
+    placed = ordered_scan(flagged, keys, ["timestamp", "event_id"], slices, sums={"_pos": F.lit(1)}).withColumn("segment", F.floor((F.col("_pos") - 1) / segment))
     # The state after a segment, for every state it can be entered in: how many steps are done.
     kinds = F.transform(F.sort_array(F.collect_list(F.struct("_pos", "event_type"))), lambda e: e["event_type"])
     parts = (

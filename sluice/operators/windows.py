@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.functions.times import day, time_slice
+from sluice.functions.times import day, micros
 from sluice.functions.values import growth, money, percent, ratio, rows, total
-from sluice.operators.ordered import fitting_seconds, ordered_scan
+from sluice.operators.ordered import HOT, SLICE_ROWS, hot_slices, ordered_scan
 
 FIRST, LAST = Window.unboundedPreceding, Window.unboundedFollowing
 
@@ -147,15 +147,16 @@ def hourly_trend(events: DataFrame, ts: str, amount: str, n: int = 3) -> DataFra
     )
 
 
-def user_sequence(events: DataFrame, slice_seconds: float | None = None) -> DataFrame:
+def user_sequence(events: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Each event's number within its user, what came before it, and the minutes in between."""
+    flagged, slices = hot_slices(events.withColumn("_us", micros("timestamp")), ["user_id"], "_us", "event_id", slice_rows=slice_rows)
     scanned = ordered_scan(
-        events,
+        flagged,
         ["user_id"],
         ["timestamp", "event_id"],
-        time_slice("timestamp", slice_seconds or fitting_seconds(events, "timestamp")),
+        slices,
         sums={"event_sequence": F.lit(1)},
         previous={"previous_event": "event_type", "previous_amount": "amount", "_previous_time": "timestamp"},
     )
     seconds = F.unix_timestamp("timestamp") - F.unix_timestamp("_previous_time")
-    return scanned.withColumn("minutes_since_previous", seconds / F.lit(60)).drop("_previous_time")
+    return scanned.withColumn("minutes_since_previous", seconds / F.lit(60)).drop("_previous_time", "_us", HOT)

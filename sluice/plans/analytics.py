@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.functions.times import day, hour_label, month_label, time_slice
+from sluice.functions.times import day, hour_label, micros, month_label
 from sluice.functions.values import mean, percent, ratio, rows, total
 from sluice.operators.aggregates import shares, weekday_hour_table
 from sluice.operators.joins import with_group_values
-from sluice.operators.ordered import fitting_seconds, ordered_scan, row_numbers, tiles
+from sluice.operators.ordered import SLICE_ROWS, hot_slices, ordered_scan, row_numbers, tiles
 from sluice.session import settled
 
 
@@ -56,13 +56,15 @@ def user_summary(events: DataFrame) -> DataFrame:
     )
 
 
-def transitions(events: DataFrame, slice_seconds: float | None = None) -> DataFrame:
+def transitions(events: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """How often one event type directly follows another within a user."""
+    slim = events.select("user_id", "event_id", "timestamp", "event_type", micros("timestamp").alias("_us"))
+    flagged, slices = hot_slices(slim, ["user_id"], "_us", "event_id", slice_rows=slice_rows)
     followed = ordered_scan(
-        events.select("user_id", "event_id", "timestamp", "event_type"),
+        flagged,
         ["user_id"],
         ["timestamp", "event_id"],
-        time_slice("timestamp", slice_seconds or fitting_seconds(events, "timestamp")),
+        slices,
         following={"_next": "event_type"},
     )
     pair = F.concat("event_type", F.lit("->"), "_next")
@@ -83,7 +85,7 @@ def category_performance(events: DataFrame) -> DataFrame:
         F.countDistinct("user_id").alias("unique_customers"),
         percent(F.count_if(F.col("event_type") == "purchase"), rows()).alias("purchase_conversion_rate"),
     )
-    turn = Window.orderBy(F.desc("total_revenue"))
+    turn = Window.orderBy(F.desc("total_revenue"), "category")
     return per_category.withColumns(
         {
             "revenue_per_customer": ratio("total_revenue", "unique_customers"),

@@ -152,5 +152,5 @@ def lag_alarms(progress: DataFrame, period_seconds: int = 60) -> DataFrame:
     points = metric_table(
         progress.filter(F.col("lag_ms").isNotNull()), "Streaming", "at", {"lag_ms": ("ConsumerLag", "Milliseconds")}, []
     )
-    series = metric_statistics(points, period)
+    series = metric_statistics(points, f"{period_seconds} seconds")
     return alarms(series, "ConsumerLag", "maximum", "GreaterThanThreshold", LAG_LIMIT_MS, LAG_PERIODS, period_seconds)

@@ -73,13 +73,43 @@ def test_scan_keeps_rows_without_a_key(spark):
     assert same(got, df.withColumn("pos", F.row_number().over(w).cast("bigint")))
 
 
-def test_slice_width_follows_the_row_count(hot):
-    n = hot.count()
-    whole = ordered.fitting_seconds(hot, "timestamp")
-    assert hot.select(ordered_slice(whole)).distinct().count() <= 2
-    narrow = ordered.fitting_seconds(hot, "timestamp", slice_rows=n // 20)
-    assert whole / 21 < narrow < whole / 19
-    assert ordered.fitting_seconds(hot.limit(0), "timestamp") == 1.0
+def sizes_of(df, keys, by, tie, rows):
+    flagged, slices = ordered.hot_slices(df, keys, by, tie, slice_rows=rows)
+    return [r["count"] for r in flagged.groupBy(*keys, slices.alias("slice")).count().collect()]
+
+
+def test_a_stray_row_does_not_widen_the_slices(spark):
+    df = spark.range(1000).select(F.lit(1).alias("k"), "id", (F.col("id") * 60 + 1_700_000_000).alias("at"))
+    stray = df.union(spark.createDataFrame([(1, 5000, 0)], "k INT, id BIGINT, at BIGINT"))
+    assert max(sizes_of(stray, ["k"], "at", "id", 10)) <= 40 and len(sizes_of(stray, ["k"], "at", "id", 10)) >= 50
+
+
+def test_a_burst_is_cut_by_the_tie(spark):
+    burst = spark.range(1000).select(F.lit(1).alias("k"), "id", F.when(F.col("id") < 900, 7).otherwise(F.col("id")).alias("at"))
+    assert max(sizes_of(burst, ["k"], "at", "id", 50)) <= 150
+
+
+def test_even_keys_are_not_cut(spark):
+    even = spark.range(10_000).select((F.col("id") % 100).alias("k"), "id", F.col("id").alias("at"))
+    assert sizes_of(even, ["k"], "at", "id", 200) == [100] * 100
+
+
+def test_only_hot_keys_are_cut(spark):
+    mixed = spark.range(3000).select(F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 50).alias("k"), "id", F.col("id").alias("at"))
+    sizes = sizes_of(mixed, ["k"], "at", "id", 100)
+    assert len(sizes) >= 50 + 8 and max(sizes) <= 250
+
+
+@pytest.mark.parametrize("rows", [5, 60, 10**6])
+def test_sequences_for_any_slice_size(hot, rows):
+    from sluice.operators.windows import user_sequence
+
+    got = user_sequence(hot, slice_rows=rows).select("event_id", "event_sequence", "previous_event")
+    w = Window.partitionBy("user_id").orderBy("timestamp", "event_id")
+    want = hot.select(
+        "event_id", F.row_number().over(w).cast("bigint").alias("event_sequence"), F.lag("event_type").over(w).alias("previous_event")
+    )
+    assert same(got, want)
 
 
 def test_many_edges(spark):
@@ -89,10 +119,11 @@ def test_many_edges(spark):
     assert df.filter(ordered._bucket(F.col("v"), edges) != want).count() == 0
 
 
-def test_moving_sums_equal_range_frame(spark, hot):
+@pytest.mark.parametrize("rows", [7, 200, 10**6])
+def test_moving_sums_equal_range_frame(spark, hot, rows):
     us = F.unix_micros("timestamp")
     df = hot.select("event_id", "user_id", "amount", us.alias("us"))
-    got = ordered.moving_sums(df, ["user_id"], "us", 3600_000_000, 7200_000_000, {"n": F.lit(1), "s": money("amount")})
+    got = ordered.moving_sums(df, ["user_id"], "us", 3600_000_000, {"n": F.lit(1), "s": money("amount")}, rows)
     w = Window.partitionBy("user_id").orderBy("us").rangeBetween(-3600_000_000, 0)
     want = df.withColumns({"n": F.count(F.lit(1)).over(w), "s": F.sum(money("amount")).over(w)})
     assert same(got, want)
@@ -113,9 +144,9 @@ def test_ranks_with_heavy_ties(spark, numbers, descending, parts):
     assert same(ordered.value_ranks(df, "v", descending, parts), want)
 
 
-@pytest.mark.parametrize("slice_seconds", [3600, 86400])
-def test_sessions_equal_session_window(hot, slice_seconds):
-    got = sessions.sessions(hot, "user_id", "timestamp", "amount", "event_type", slice_seconds=slice_seconds)
+@pytest.mark.parametrize("rows", [10, 200, 10**6])
+def test_sessions_equal_session_window(hot, rows):
+    got = sessions.sessions(hot, "user_id", "timestamp", "amount", "event_type", slice_rows=rows)
     assert same(got, stream_windows.sessions(hot))
 
 

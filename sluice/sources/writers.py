@@ -35,8 +35,11 @@ def write_partitioned(
 def write_parquet(
     df: DataFrame, path: str, files: int | None = None, partition_by: tuple[str, ...] = (), mode: str = "overwrite"
 ) -> None:
-    """Parquet output; ``files`` merges small results and should follow the result's size."""
-    out = df.coalesce(files) if files else df
+    """Parquet output; ``files`` merges small results and should follow the result's size.
+
+    The rows are dealt anew for it, so what comes before keeps its parallelism.
+    """
+    out = df.repartition(files) if files else df
     writer = out.write.mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 

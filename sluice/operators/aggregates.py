@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.times import weekday_name
-from sluice.functions.values import mean, percent, rows, total
+from sluice.functions.values import mean, money, percent, rows, total
 from sluice.operators.project import ID_COLUMNS, NUMERIC, TIMES, columns_of
 
 
@@ -103,6 +103,24 @@ def rollup(df: DataFrame, dims: list[str], measures: list[Column]) -> DataFrame:
     return df.rollup(*dims).agg(F.grouping_id().cast("int").alias("grouping_id"), *measures)
 
 
+def reduced_per(df: DataFrame, dims: list[str], who: str, amount: str) -> tuple[DataFrame, list[Column]]:
+    """One row per dimensions and ``who``, and the measures over such rows: events, amount and distinct ``who``.
+
+    For cubes and rollups, which copy every row once per grouping: so only reduced rows are copied.
+    """
+    exact = F.try_sum(money(amount))
+    small = df.groupBy(*dims, who).agg(
+        rows().alias("_n"), exact.alias("_exact"), F.sum(F.col(amount).cast("double")).alias("_near"),
+        (F.count(amount) - F.count(money(amount))).alias("_misfits"),
+    )
+    whole = F.when(F.sum("_misfits") == 0, F.try_sum("_exact").cast("double"))
+    return small, [
+        F.sum("_n").alias("event_count"),
+        F.coalesce(whole, F.sum("_near")).alias("total_value"),
+        F.countDistinct(who).alias("unique_users"),
+    ]
+
+
 def count_and_amount_pivot(df: DataFrame, row: str, column: str, values: list[str], amount: str) -> DataFrame:
     """The column values are given, so no extra job has to look for them."""
     return (
@@ -114,9 +132,11 @@ def count_and_amount_pivot(df: DataFrame, row: str, column: str, values: list[st
 
 def shares(df: DataFrame, keys: list[str], present: str | None = None) -> DataFrame:
     """Count per group and its percentage of *all* rows, also those without a value."""
-    everything = df.agg(rows()).scalar()
-    kept = df.filter(F.col(present).isNotNull()) if present else df
-    return kept.groupBy(*keys).agg(rows().alias("count")).withColumn("percentage", percent("count", everything))
+    seen = F.count(present) if present else rows()
+    grouped = df.groupBy(*keys).agg(seen.alias("count"), rows().alias("_all"))
+    # The total comes from the grouped rows, whose shuffle is used twice.
+    everything = grouped.agg(F.sum("_all")).scalar()
+    return grouped.filter("count > 0").drop("_all").withColumn("percentage", percent("count", everything))
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -202,6 +202,21 @@ def etl_tag(spark, folder):
     return checked.select("event_id", quality.completeness_tag().alias("data_quality"))
 
 
+@query(
+    "dq_batch_filter",
+    "SELECT event_id, event_type FROM rec WHERE ts_text IS NOT NULL AND event_type IS NOT NULL",
+    "rec",
+)
+def dq_batch_filter(spark, folder):
+    """What a batch job takes: tagged as complete, with a time and a type."""
+    checked = quality.parsed(t.raw_records(spark, folder))
+    tagged = checked.select(
+        "event_id", quality.completeness_tag().alias("data_quality"),
+        quality.field("timestamp").alias("timestamp"), quality.field("event_type").alias("event_type"),
+    )
+    return lake.valid_events(tagged).select("event_id", "event_type")
+
+
 @query("dq_valid", "SELECT event_id, good AS is_valid FROM rec", "rec")
 def dq_valid(spark, folder):
     return quality.parsed(t.raw_records(spark, folder)).select("event_id", quality.is_valid().alias("is_valid"))

@@ -407,14 +407,6 @@ CUBE_MEASURES = """count(*) AS event_count, CAST(sum(m) AS DOUBLE) AS total_valu
   count(DISTINCT user_id) AS unique_users"""
 
 
-def cube_measures():
-    return [
-        rows().alias("event_count"),
-        total("amount").alias("total_value"),
-        F.countDistinct("user_id").alias("unique_users"),
-    ]
-
-
 @query(
     "agg_cube",
     f"""SELECT category, event_type, CAST(grouping_id(category, event_type) AS INTEGER) AS grouping_id,
@@ -422,7 +414,9 @@ def cube_measures():
     "ev",
 )
 def agg_cube(spark, folder):
-    return aggregates.cube(t.events(spark, folder), ["category", "event_type"], cube_measures())
+    dims = ["category", "event_type"]
+    small, measures = aggregates.reduced_per(t.events(spark, folder), dims, "user_id", "amount")
+    return aggregates.cube(small, dims, measures)
 
 
 @query(
@@ -432,7 +426,9 @@ def agg_cube(spark, folder):
     "ev",
 )
 def agg_rollup(spark, folder):
-    return aggregates.rollup(t.events(spark, folder), ["category", "event_type"], cube_measures())
+    dims = ["category", "event_type"]
+    small, measures = aggregates.reduced_per(t.events(spark, folder), dims, "user_id", "amount")
+    return aggregates.rollup(small, dims, measures)
 
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]

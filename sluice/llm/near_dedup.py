@@ -208,20 +208,17 @@ def near_duplicates(
     open_ = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
     open_ids = stored(labelled.join(open_, "bucket", "left_semi").select("doc_id", "label").distinct(), "open")
     rare = stored(rarest(sets.join(open_ids, "doc_id"), similar, of), "rare")
-    first = rare.groupBy("item").agg(F.min_by(F.struct("doc_id", "label"), "doc_id").alias("hub"), F.min("label").alias("low"), F.max("label").alias("high"))
-    first = first.where("low < high").select("item", F.col("hub.doc_id").alias("a"), F.col("hub.label").alias("label_a"))
-    tried = rare.join(first, "item").where("label <> label_a").select("a", F.col("doc_id").alias("b")).distinct()
+    # The most typical set of an item, which has the fewest shingles of its own, links with most others.
+    hub = F.min_by(F.struct("doc_id", "label", "n", "room"), F.struct("single", "doc_id"))
+    first = rare.groupBy("item").agg(hub.alias("h"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    x, y = first.select("item", "h.*").alias("x"), rare.alias("y")
+    tried = x.join(y, across("<>", similar, of)).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
     more = confirmed(likely(tried, nodes, least, count), sets, similar, of)
     edges = stored(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), "edges")
     found = components(edges)
     rare = label(rare.drop("label"), found)
     x, y = rare.alias("x"), rare.alias("y")
-    fits = (F.col("x.n") * of >= F.col("y.n") * similar) & (F.col("y.n") * of >= F.col("x.n") * similar)
-    left = (
-        x.join(y, (F.col("x.item") == F.col("y.item")) & (F.col("x.label") < F.col("y.label")) & fits)
-        .select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
-        .distinct()
-    )
+    left = x.join(y, across("<", similar, of)).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
     more = confirmed(likely(left, nodes, least, count), sets, similar, of)
     found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     final = heads.join(found, heads["head"] == found["node"], "left").select("set_key", F.coalesce("component", "head").alias("component_id"))
@@ -230,16 +227,30 @@ def near_duplicates(
     return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
 
+def across(labels: str, similar: int, of: int):
+    """Pairs of rows of ``rarest`` in different components that can still be similar enough.
+
+    From their first common shingle on, no more than ``room`` shingles of either can be common.
+    """
+    enough = f"least(x.room, y.room) * {of + similar} >= (x.n + y.n) * {similar}"
+    return F.expr(f"x.item = y.item and x.label {labels} y.label and {enough}")
+
+
 def rarest(sets: DataFrame, similar: int, of: int) -> DataFrame:
-    """``doc_id, label, n, item``: the shingles of each set that similar sets cannot all lack."""
+    """``doc_id, label, n, single, room, item``: the shingles of each set that similar sets cannot all lack.
+
+    ``single`` counts those that no other set has; they come first and find nothing. ``room``
+    counts the shingles from this one to the most frequent.
+    """
     items = sets.select("doc_id", "label", "n", F.explode("items").alias("item"))
     often = items.groupBy("item").agg(F.count("*").alias("often")).where("often > 1")
-    # A shingle that no other set has finds nothing, but takes a place among the rarest.
-    joined = items.join(often, "item")
-    lists = joined.groupBy("doc_id", "label", "n").agg(F.sort_array(F.collect_list(F.struct("often", "item"))).alias("shared"))
-    single = F.col("n") - F.size("shared")
-    least = F.expr(f"(n * {similar} + {of - 1}) div {of}")
-    place = F.col("n") - least + 1 - single
-    return lists.where(place > 0).select("doc_id", "label", "n", F.explode(F.slice("shared", F.lit(1), place.cast("int"))).alias("s")).select(
-        "doc_id", "label", "n", F.col("s.item").alias("item")
+    lists = (
+        items.join(often, "item")
+        .groupBy("doc_id", "label", "n")
+        .agg(F.sort_array(F.collect_list(F.struct("often", "item"))).alias("shared"))
+        .withColumn("single", F.col("n") - F.size("shared"))
     )
+    place = F.col("n") - F.expr(f"(n * {similar} + {of - 1}) div {of}") + 1 - F.col("single")
+    chosen = F.posexplode(F.slice("shared", F.lit(1), place.cast("int"))).alias("k", "s")
+    rows = lists.where(place > 0).select("doc_id", "label", "n", "single", chosen)
+    return rows.select("doc_id", "label", "n", "single", (F.col("n") - F.col("single") - F.col("k")).alias("room"), F.col("s.item").alias("item"))

@@ -21,6 +21,8 @@ LENGTHS = (3, 4)
 SAMPLE_DOCS, GRAMS = 2000, 4000
 SLOTS, PROBES = 1 << 20, 3
 UNKNOWN = "und"
+# Characters that are counted together; it bounds the memory of a worker.
+PIECE = 1 << 19
 
 
 @functools.cache
@@ -60,6 +62,18 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(hashes)[order], owner[order], some
 
 
+def batched(parts: list[tuple[int, str]], most: int) -> Iterator[list[tuple[int, str]]]:
+    held, size = [], 0
+    for part in parts:
+        if held and size + len(part[1]) > most:
+            yield held
+            held, size = [], 0
+        held.append(part)
+        size += len(part[1])
+    if held:
+        yield held
+
+
 def slots(hashes: np.ndarray, count: int) -> list[np.ndarray]:
     step = (hashes >> np.uint64(32)) | np.uint64(1)
     return [((hashes + np.uint64(i) * step) % np.uint64(count)).astype(np.int64) for i in range(PROBES)]
@@ -87,13 +101,18 @@ class Filters:
         return masks
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        hashes, owner, some = grams(texts)
-        total = np.bincount(owner, minlength=len(texts)).astype(float)
-        masks = self.languages_of(hashes)
-        hits = np.zeros((len(texts), len(self.names)))
-        for n in range(len(self.names)):
-            has = (masks[n // 64] >> np.uint64(n % 64)) & np.uint64(1)
-            hits[:, n] = np.bincount(owner[has.astype(bool)], minlength=len(texts))
+        # Long texts are counted piece by piece.
+        parts = [(d, t[a : a + PIECE]) for d, t in enumerate(texts) if t for a in range(0, len(t), PIECE)]
+        total, hits, some = np.zeros(len(texts)), np.zeros((len(texts), len(self.names))), np.zeros(len(texts), bool)
+        for group in batched(parts, PIECE):
+            rows = np.array([d for d, _ in group])
+            hashes, owner, letter = grams([t for _, t in group])
+            owner, some[rows[letter]] = rows[owner], True
+            total += np.bincount(owner, minlength=len(texts))
+            masks = self.languages_of(hashes)
+            for n in range(len(self.names)):
+                has = (masks[n // 64] >> np.uint64(n % 64)) & np.uint64(1)
+                hits[:, n] += np.bincount(owner[has.astype(bool)], minlength=len(texts))
         true = np.clip((hits - total[:, None] * self.false) / (1 - self.false), 0, None)
         best = true.argmax(axis=1)
         all_hits = true.sum(axis=1)
@@ -118,7 +137,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_docs: in
     sample = known.where((F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / (1 << 20)) < share[F.col("lang")])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", PIECE):
             hashes, owner, _ = grams(batch.column("text").to_pylist())
             names = np.array(batch.column("lang").to_pylist())[owner]
             for name in np.unique(names):

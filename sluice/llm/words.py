@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 import xxhash
 
 # Text handled at once by one Python worker; a longer single text is handled alone.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

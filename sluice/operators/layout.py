@@ -37,8 +37,9 @@ def partitions_for_size(size_mb: float, target_mb: float = 128) -> int:
     return max(int(size_mb / target_mb), 1)
 
 
-def partitions_for_rows(row_count: int, per_partition: int = 500_000, most: int = 200) -> int:
-    return max(1, min(row_count // per_partition, most))
+def partitions_for_rows(row_count: int, per_partition: int = 500_000, most: int | None = None) -> int:
+    wanted = max(1, row_count // per_partition)
+    return wanted if most is None else min(wanted, most)
 
 
 def resize(df: DataFrame, current: int, wanted: int) -> DataFrame:
@@ -53,7 +54,8 @@ def fit_to_size(df: DataFrame, target_mb: float = 128) -> DataFrame:
     return resize(df, df.rdd.getNumPartitions(), wanted)
 
 
-def fit_to_rows(df: DataFrame, per_partition: int = 500_000, most: int = 200) -> DataFrame:
+def fit_to_rows(df: DataFrame, per_partition: int = 500_000, most: int | None = None) -> DataFrame:
+    """Repartition by the number of rows, which is counted first."""
     wanted = partitions_for_rows(df.count(), per_partition, most)
     return resize(df, df.rdd.getNumPartitions(), wanted)
 

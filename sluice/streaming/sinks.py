@@ -13,9 +13,6 @@ from sluice.operators.metrics import alarms, metric_statistics, metric_table
 from sluice.operators.quality import good_and_bad, is_valid, parsed
 from sluice.sources.readers import MICROS
 
-# Fixed value: how often state and progress are saved.
-CHECKPOINT_EVERY = "60 seconds"
-
 Batch = Callable[[DataFrame, int], None]
 
 

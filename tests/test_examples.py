@@ -344,7 +344,7 @@ def test_partition_keys(spark):
 
 def test_sizes_and_capacity(spark):
     assert layout.partitions_for_size(10 * 1024) == 80 and layout.partitions_for_size(1) == 1
-    assert layout.partitions_for_rows(10) == 1 and layout.partitions_for_rows(10**9) == 200
+    assert layout.partitions_for_rows(10) == 1 and layout.partitions_for_rows(10**9) == 2000 and layout.partitions_for_rows(10**9, most=200) == 200
     assert layout.partitions_for_rows(2_600_000) == 5
     got = spark.range(1).select(*metrics.capacity(F.lit(3.5), F.lit(2500), F.lit(4))).first()
     assert (got["minimum_partitions"], got["recommended_partitions"]) == (4, 5)

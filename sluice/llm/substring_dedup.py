@@ -1,7 +1,7 @@
 """Removal of repeated passages: every word window that a smaller document has is cut.
 
 Windows of consecutive words are grouped by super-k-mers. The minimiser of a window is the word
-triple in it with the smallest hash; neighbouring windows mostly share it, so a run of them
+pair in it with the smallest hash; neighbouring windows mostly share it, so a run of them
 travels as one packed string to the bucket of the minimiser, where the windows are sorted and
 counted exactly. Before that each batch of documents settles its own repeats, so a passage that
 stands in a third of all documents leaves a batch once only. Minimisers that stay frequent, at
@@ -25,13 +25,15 @@ from pyspark.sql import DataFrame, functions as F
 from sluice.llm.words import chunks, coded, mixed, run_hashes, split_words, word_hashes
 
 WINDOW = 13
-MINIMISER = 3
+MINIMISER = 2
 # A minimiser with this share of all super-k-mers counts as frequent, so there are at most as many as its inverse.
 HOT_SHARE = 1e-4
 # Words whose windows one bucket holds on average, and the fewest buckets.
-BUCKET_WORDS, FEWEST_BUCKETS = 500_000, 1024
+BUCKET_WORDS, FEWEST_BUCKETS = 500_000, 512
+# Text that is worked on together; it bounds the memory of a worker, and copies in it travel once.
+BATCH_BYTES = 5 << 20
 
-LEVEL = 3
+LEVEL = 6
 
 SPANS = "doc_id long, mark long, first long, last long"
 
@@ -93,8 +95,10 @@ def spans(doc: np.ndarray, mark: np.ndarray, place: np.ndarray, window: int) ->
     return {"doc_id": doc[begin], "mark": mark[begin], "first": place[begin], "last": place[end] + window}
 
 
-def marks(texts: pa.Array) -> np.ndarray:
-    """Tells apart rows that share an id: the CRC of the text."""
+def marks(texts: pa.Array, shared_ids: bool) -> np.ndarray:
+    """Tells apart rows that share an id: the CRC of the text, or nothing when no rows do."""
+    if not shared_ids:
+        return np.zeros(len(texts), np.int64)
     return np.fromiter((zlib.crc32(t or b"") for t in texts.cast(pa.large_binary()).to_pylist()), np.int64, len(texts))
 
 
@@ -117,7 +121,7 @@ def frequent(docs: DataFrame, window: int, part: int, share: float) -> tuple[lis
     """The minimisers that hold at least ``share`` of all super-k-mers, and the number of words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", BATCH_BYTES):
             w = Windows(batch.column("text"), window, part)
             new = np.ones(len(w.at), bool)
             new[1:] = (w.least[1:] != w.least[:-1]) | (np.diff(w.at) != 1)
@@ -150,12 +154,17 @@ def frequent(docs: DataFrame, window: int, part: int, share: float) -> tuple[lis
     return sorted(hot), total["words"]
 
 
+def share_ids(docs: DataFrame) -> bool:
+    """Whether any two rows have the same id."""
+    return docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").limit(1).count() > 0
+
+
 def repeated_spans(
-    docs: DataFrame, window: int = WINDOW, part: int = MINIMISER, hot_share: float = HOT_SHARE
+    docs: DataFrame, shared_ids: bool, window: int = WINDOW, part: int = MINIMISER, hot_share: float = HOT_SHARE
 ) -> DataFrame:
     """Word ranges ``[first, last)`` of (doc_id, text) rows that a smaller doc_id has too.
 
-    ``mark`` is the CRC of the row's text. Rows without an id or with fewer words than a window
+    ``mark`` is that of :func:`marks`. Rows without an id or with fewer words than a window
     have no windows. Rows that share an id do not count against each other.
     """
     docs = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
@@ -164,9 +173,9 @@ def repeated_spans(
     buckets = max(FEWEST_BUCKETS, words // BUCKET_WORDS)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", BATCH_BYTES):
             ids = np.asarray(batch.column("doc_id"), dtype=np.int64)
-            own = marks(batch.column("text"))
+            own = marks(batch.column("text"), shared_ids)
             w = Windows(batch.column("text"), window, part)
             if not len(w.at):
                 continue
@@ -280,14 +289,31 @@ def remove_repeats(
     joined by one space; with ``verbatim`` the text as it was, null included, where nothing goes.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *carry)
-    found = repeated_spans(docs, window, hot_share=hot_share)
+    shared_ids = share_ids(docs)
+    found = repeated_spans(docs, shared_ids, window, hot_share=hot_share)
     found = found.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    marked = docs.withColumn("mark", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
+
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The texts travel to their spans compressed."""
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in chunks(batches, "text", BATCH_BYTES):
+            texts = batch.column("text").cast(pa.large_binary()).to_pylist()
+            yield pa.record_batch(
+                {
+                    "doc_id": batch.column("doc_id"),
+                    "mark": pa.array(marks(batch.column("text"), shared_ids)),
+                    **{c: batch.column(c) for c in carry},
+                    "squeezed": pa.array([None if t is None else pack(t) for t in texts], pa.binary()),
+                }
+            )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in chunks(batches, "squeezed", BATCH_BYTES // 4):
             rows = []
-            for text_, gone in zip(batch.column("text").cast(pa.large_binary()).to_pylist(), batch.column("spans").to_pylist()):
+            for squeezed, gone in zip(batch.column("squeezed").to_pylist(), batch.column("spans").to_pylist()):
+                text_ = None if squeezed is None else unpack(squeezed)
                 kept, words = without(text_ or b"", [(s["first"], s["last"]) for s in gone or ()])
                 same = verbatim and len(kept) == words
                 rows.append((words, words - len(kept), text_ if same else b" ".join(kept)))
@@ -302,9 +328,9 @@ def remove_repeats(
                 }
             )
 
-    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
     return (
-        marked.join(found, ["doc_id", "mark"], "left")
-        .select("doc_id", "text", *carry, "spans")
+        docs.mapInArrow(squeeze, f"doc_id long, mark long, {kinds}squeezed binary")
+        .join(found, ["doc_id", "mark"], "left")
+        .select("doc_id", "squeezed", *carry, "spans")
         .mapInArrow(cut, f"doc_id long, {kinds}n_words long, n_removed long, kept_text string")
     )

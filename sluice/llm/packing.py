@@ -8,6 +8,8 @@ tree over the remaining capacities. Only lengths travel; ids are counted and has
 
 from __future__ import annotations
 
+import array
+import functools
 import itertools
 import zlib
 from collections.abc import Callable, Iterator, Sequence
@@ -16,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sluice.llm.words import CHUNK_BYTES, chunks
+from sluice.llm.words import CHUNK_BYTES, chunks, coded, split_words
 
 LENGTH = 4096
 # Pieces packed together by one task. More groups leave more windows open at their ends: at most a few each.
@@ -79,43 +81,92 @@ def best_fit(lengths: Sequence[int], most: int) -> tuple[list[int], list[int]]:
 class WordEncoder:
     """Token ids of texts by a tokenizer that treats blank-separated words alone, each word encoded once.
 
-    ``word_bpe_49k.json`` is such a tokenizer: it drops white space and no rule reaches over it.
+    ``word_bpe_49k.json`` is such a tokenizer: it drops white space and the case, and none of its rules
+    reaches over a blank, or from a letter over the full stop or comma after it.
     """
 
-    MOST = 400_000  # words remembered
+    MOST = 250_000  # words remembered
 
     def __init__(self, path: str, end: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.end = np.array([end], np.uint32)
-        self.known: dict[str, np.ndarray] = {}
-
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        lists = [t.split(" ") if t else [] for t in texts]
-        unknown = list({w for words in lists for w in words} - self.known.keys())
-        if len(self.known) + len(unknown) > self.MOST:
+        self.end = np.array([end], "<u4").tobytes()
+        self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def learn(self, words: list[str]) -> None:
+        """Encode new words: those of letters alone many to a text, told apart by the ids that end a word."""
+        plain = [w for w in words if w.isalpha()]
+        alone = [w for w in words if not w.isalpha()]
+        groups = [plain[n : n + 500] for n in range(0, len(plain), 500)]
+        for group, ids in zip(groups, self.encoded([" ".join(g) for g in groups])):
+            ends = np.flatnonzero(self.ends_word[np.frombuffer(ids, "<u4")]) + 1
+            if len(ends) != len(group):
+                alone += group
+                continue
+            begin = 0
+            for w, end in zip(group, (4 * ends).tolist()):
+                self.known[w] = ids[begin:end]
+                begin = end
+        self.known.update(zip(alone, self.encoded(alone)))
+
+    def encoded(self, texts: list[str]) -> Iterator[bytes]:
+        for n in range(0, len(texts), 20_000):
+            for e in self.tokenizer.encode_batch_fast(texts[n : n + 20_000], add_special_tokens=False):
+                yield array.array("I", e.ids).tobytes()
+
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of each word. Marks at the end of a word are encoded apart from it."""
+        if len(self.known) > self.MOST:
             self.known = {}
-            unknown = list({w for words in lists for w in words})
-        for n in range(0, len(unknown), 20_000):
-            part = unknown[n : n + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, np.uint32).tobytes()
-        get = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), np.uint32) for words in lists]
-
-
-def pieces(docs: DataFrame, encoder: Callable[[], Callable], end: int, most: int) -> DataFrame:
+        known = self.known
+        out = [known.get(w) for w in words]
+        new = [n for n, ids in enumerate(out) if ids is None]
+        split = []
+        for n in new:
+            w = words[n]
+            stem = w.rstrip(".,;:!?")
+            split.append((stem, w[len(stem) :]) if "a" <= stem[-1:] <= "z" or "A" <= stem[-1:] <= "Z" else (w, ""))
+        self.learn(list({part for pair in split for part in pair} - known.keys()))
+        for n, (stem, tail) in zip(new, split):
+            out[n] = known[words[n]] = known[stem] + known[tail]
+        return out
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text and the closing one."""
+        words, sizes = split_words(texts)
+        codes, distinct = coded(words)
+        ids = self.ids_of([w.lower() if w.isascii() else w for w in distinct.to_pylist()])
+        flat = np.frombuffer(b"".join([*ids, self.end]), "<u4")
+        length = np.fromiter((len(i) >> 2 for i in [*ids, self.end]), np.int64, len(ids) + 1)
+        begin = np.cumsum(length) - length
+        # After the words of each text comes the closing id.
+        codes = np.insert(codes, np.cumsum(sizes), len(ids))
+        size = length[codes]
+        upto = np.cumsum(size)
+        take = np.repeat(begin[codes] - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
+        out = flat[take]
+        return np.split(out, upto[np.cumsum(sizes + 1) - 1])[:-1]
+
+
+@functools.lru_cache(maxsize=2)
+def word_encoder(path: str, end: int) -> WordEncoder:
+    """One encoder per Python worker, so that later tasks find the words of earlier ones."""
+    return WordEncoder(path, end)
+
+
+def pieces(docs: DataFrame, encoder: Callable[[], Callable[[pa.Array], list[np.ndarray]]], most: int) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens`` of every document, cut at full windows."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder()
-        last = np.array([end], "<u4")
-        for batch in chunks(batches, "text", CHUNK_BYTES // 2):
+        for batch in chunks(batches, "text", CHUNK_BYTES):
             rows = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
-                ids = np.concatenate([ids.astype("<u4"), last])
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text"))):
                 for start in range(0, len(ids), most):
                     part = ids[start : start + most]
                     rows.append((doc, start, len(part), zlib.crc32(part.tobytes()), len(ids)))
@@ -171,4 +222,4 @@ def pack_documents(
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     # A count of rows is enough to choose the groups; a long document only adds full windows.
     groups = max(1, -(-docs.count() // group_pieces))
-    return pack(pieces(docs, lambda: WordEncoder(tokenizer, end), end, most), groups, most)
+    return pack(pieces(docs, lambda: word_encoder(tokenizer, end), most), groups, most)

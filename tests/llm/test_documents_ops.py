@@ -319,6 +319,25 @@ def test_packing_of_documents(spark):
     assert sum(map(len, ids.values())) > 0.85 * 4096 * len(sequences)
 
 
+def test_words_of_sliced_batches():
+    import pyarrow as pa
+
+    from sluice.llm.words import chunks, split_words
+
+    texts = ["Ab  é\x85x\n", None, "", " ", "Çd\tF", "日本 \xa0 g", "one two  three"] * 9
+    whole = pa.record_batch({"text": pa.array(texts)})
+    seen = []
+    for part in chunks(iter([whole.slice(2, 50), whole.slice(0, 0), whole.slice(52)]), "text", 12):
+        words, sizes = split_words(part.column("text"))
+        assert sizes.sum() == len(words)
+        seen += [w.decode() for w in words.cast(pa.large_binary()).to_pylist()]
+    assert seen == [w for t in texts[2:] for w in WORD.findall(t or "")]
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"), 2)
+    sliced = pa.array(["skip É", *texts, "The END. it's"]).slice(1)
+    for text, ids in zip([*texts, "The END. it's"], encoder(sliced)):
+        assert ids.tolist() == [*encoder.tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+
+
 def test_digest_of_the_kept_words(spark):
     got = {r["doc_id"]: r for r in QUERIES["op10_substring_dedup"](spark, SMALL).collect()}
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()

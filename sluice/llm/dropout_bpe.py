@@ -9,7 +9,10 @@ bytes, so every segmentation decodes to the text.
 
 from __future__ import annotations
 
+import array
+import functools
 import heapq
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -23,8 +26,10 @@ from sluice.llm.words import chunks, mixed
 BLANK = "▁"
 DROPOUT, SEED = 0.1, 17
 # How many different segmentations a word may get; they alternate within a document and between documents.
-VARIANTS = 4
-REMEMBERED = 300_000
+VARIANTS = 3
+# Words remembered in all, and the length up to which a word is short.
+REMEMBERED, SHORT = 800_000, 48
+NO_PIECE = float("inf")
 # Blanks belong to the word after them; no piece holds a line end.
 PARTS = re.compile(r"\n| *[^ \n]+| +")
 
@@ -38,70 +43,108 @@ class MergeEncoder:
         special = [model.is_control(i) or model.is_unknown(i) or model.is_unused(i) for i in range(size)]
         self.bytes_ = {int(model.id_to_piece(i)[3:5], 16): i for i in range(size) if model.is_byte(i)}
         usual = [i for i in range(size) if not special[i] and not model.is_byte(i)]
-        self.pieces = {model.id_to_piece(i): (-model.get_score(i), i) for i in usual}
-        if any("\n" in p or BLANK in p.lstrip(BLANK) for p in self.pieces):
+        self.ids = {model.id_to_piece(i): i for i in usual}
+        self.ranks = {p: -model.get_score(i) for p, i in self.ids.items()}
+        if any("\n" in p or BLANK in p.lstrip(BLANK) for p in self.ids):
             raise ValueError("pieces reach over blanks or lines")
         self.texts = [b""] * size
-        for p, (_, i) in self.pieces.items():
+        for p, i in self.ids.items():
             self.texts[i] = p.replace(BLANK, " ").encode()
         for value, i in self.bytes_.items():
             self.texts[i] = bytes([value])
         self.below = int(dropout * 2**32)
         self.seed, self.variants = seed, variants
         self.known: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        self.older: list[dict[str, bytes]] = [{} for _ in range(variants)]
+
+    def skipped(self, key: int, start: int, length: int) -> bool:
+        """Whether the keyed hash skips the candidate at a character, of a length in characters."""
+        return ((key ^ (start * 0x85EBCA6B) ^ (length * 0xC2B2AE35)) * 0x9E3779B1 & 0xFFFFFFFF) < self.below
 
     def merge(self, part: str, variant: int) -> bytes:
         """The ids of a word (with the blanks before it), as 32-bit numbers."""
+        key = zlib.crc32(part.encode("utf-8", "surrogatepass"), (self.seed * 0x9E3779B1 + variant) & 0xFFFFFFFF)
+        if len(part) > SHORT or BLANK in part:
+            return self.merge_long(part, key)
+        signs = list(part.replace(" ", BLANK))
+        starts = list(range(len(signs)))
+        rank, none, below = self.ranks.get, NO_PIECE, self.below
+        # The agenda of a short word is the list of its pairs' ranks; the smallest comes up first.
+        agenda = [rank(a + b, none) for a, b in itertools.pairwise(signs)]
+        while agenda and (best := min(agenda)) < none:
+            i = agenda.index(best)
+            merged = signs[i] + signs[i + 1]
+            # As in skipped(), written out: this is the innermost loop.
+            if ((key ^ (starts[i] * 0x85EBCA6B) ^ (len(merged) * 0xC2B2AE35)) * 0x9E3779B1 & 0xFFFFFFFF) < below:
+                agenda[i] = none
+                continue
+            signs[i] = merged
+            del signs[i + 1], starts[i + 1], agenda[i]
+            if i < len(agenda):
+                agenda[i] = rank(merged + signs[i + 1], none)
+            if i:
+                agenda[i - 1] = rank(signs[i - 1] + merged, none)
+        ids = array.array("I")
+        for sign in signs:
+            found = self.ids.get(sign)
+            if found is None:
+                ids.extend([self.bytes_[b] for b in sign.encode("utf-8", "surrogatepass")])
+            else:
+                ids.append(found)
+        return ids.tobytes()
+
+    def merge_long(self, part: str, key: int) -> bytes:
+        """The same with a heap for the agenda and linked signs, for parts of any length."""
         # A character that stands for a blank must not be taken for one.
         signs = [BLANK if c == " " else c for c in part]
         literal = {i for i, c in enumerate(part) if c == BLANK}
         after = list(range(1, len(signs) + 1))
         before = list(range(-1, len(signs) - 1))
-        key = zlib.crc32(part.encode("utf-8", "surrogatepass"), (self.seed * 0x9E3779B1 + variant) & 0xFFFFFFFF)
-        pieces, below, agenda = self.pieces, self.below, []
-        for i in range(len(signs) - 1):
-            if (found := pieces.get(signs[i] + signs[i + 1])) and i not in literal and i + 1 not in literal:
-                agenda.append((found[0], i, 2))
-        heapq.heapify(agenda)
+        rank, none, agenda = self.ranks.get, NO_PIECE, []
         size = [1] * len(signs)
+
+        def offer(i: int, j: int) -> None:
+            if i not in literal and j not in literal and (found := rank(signs[i] + signs[j], none)) < none:
+                heapq.heappush(agenda, (found, i, size[i] + size[j]))
+
+        for i in range(len(signs) - 1):
+            offer(i, i + 1)
         while agenda:
             _, i, length = heapq.heappop(agenda)
             j = after[i] if size[i] else len(signs)
             if j >= len(signs) or size[i] + size[j] != length:
                 continue  # one of the two has become part of another piece
-            if below and ((key ^ (i * 0x85EBCA6B) ^ (length * 0xC2B2AE35)) * 0x9E3779B1 & 0xFFFFFFFF) < below:
+            if self.skipped(key, i, length):
                 continue
             signs[i] += signs[j]
             size[i], size[j] = length, 0
             k = after[i] = after[j]
             if k < len(signs):
                 before[k] = i
-                if (found := pieces.get(signs[i] + signs[k])) and k not in literal:
-                    heapq.heappush(agenda, (found[0], i, length + size[k]))
-            h = before[i]
-            if h >= 0 and (found := pieces.get(signs[h] + signs[i])) and h not in literal:
-                heapq.heappush(agenda, (found[0], h, size[h] + length))
-        ids: list[int] = []
+                offer(i, k)
+            if before[i] >= 0:
+                offer(before[i], i)
+        ids = array.array("I")
         i = 0
         while i < len(signs):
-            found = None if i in literal else pieces.get(signs[i])
-            if found:
-                ids.append(found[1])
-            else:
-                ids += [self.bytes_[b] for b in signs[i].encode("utf-8", "surrogatepass")]
+            found = None if i in literal else self.ids.get(signs[i])
+            ids.extend([self.bytes_[b] for b in signs[i].encode("utf-8", "surrogatepass")] if found is None else [found])
             i = after[i]
-        return np.array(ids, "<u4").tobytes()
+        return ids.tobytes()
 
     def encode(self, text: str, stream: int = 0) -> np.ndarray:
         """The ids of a text; ``stream`` shifts the variants, so documents differ from each other."""
-        known, count, out = self.known, self.variants, []
+        known, older, count, out = self.known, self.older, self.variants, []
         variant = stream % count
         for part in PARTS.findall(text):
             ids = known[variant].get(part)
             if ids is None:
-                if len(known[variant]) >= REMEMBERED // count:
-                    known[variant].clear()
-                known[variant][part] = ids = self.merge(part, variant)
+                if len(known[variant]) >= REMEMBERED // (2 * count):  # what is in use moves on
+                    older[variant], known[variant] = known[variant], {}
+                ids = older[variant].get(part)
+                if ids is None:
+                    ids = self.merge(part, variant)
+                known[variant][part] = ids
             out.append(ids)
             variant = variant + 1 if variant + 1 < count else 0
         return np.frombuffer(b"".join(out), "<u4")
@@ -110,6 +153,12 @@ class MergeEncoder:
         return b"".join([self.texts[i] for i in ids]).decode("utf-8", "surrogatepass")
 
 
+@functools.lru_cache(maxsize=2)
+def encoder_of(path: str, dropout: float = DROPOUT, seed: int = SEED) -> MergeEncoder:
+    """One encoder per Python worker, so that later tasks find the words of earlier ones."""
+    return MergeEncoder(path, dropout, seed)
+
+
 def encode(
     docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text", dropout: float = DROPOUT, seed: int = SEED
 ) -> DataFrame:
@@ -120,7 +169,7 @@ def encode(
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = MergeEncoder(model, dropout, seed)
+        encoder = encoder_of(model, dropout, seed)
         for batch in chunks(batches, "text", 2 << 20):
             numbers = np.array([i or 0 for i in batch.column("doc_id").to_pylist()], np.int64).view(np.uint64)
             streams = (mixed(numbers + np.uint64(seed)) % np.uint64(encoder.variants)).tolist()
@@ -141,7 +190,7 @@ def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     kinds = [f"`{c}` {t}" for c, t in docs.dtypes if c != ids]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = MergeEncoder(model)
+        encoder = encoder_of(model)
         for batch in batches:
             lists = batch.column(ids)
             numbers, offsets = np.asarray(lists.values), np.asarray(lists.offsets)

@@ -283,6 +283,16 @@ def test_dropout_varies_and_decodes(spark):
     assert words and len({tuple(dropout_bpe.MergeEncoder(MODEL, 0.4).encode(" international", s).tolist()) for s in range(4)}) > 1
 
 
+def test_short_and_long_words_agree():
+    import random
+
+    rnd, encoder = random.Random(1), dropout_bpe.MergeEncoder(MODEL, 0.3)
+    for n in range(3000):
+        word = " " * rnd.randrange(3) + "".join(rnd.choice("abetionshérß,.日1") for _ in range(rnd.randrange(1, 30)))
+        key = zlib.crc32(word.encode(), (encoder.seed * 0x9E3779B1 + n % 4) & 0xFFFFFFFF)
+        assert encoder.merge(word, n % 4) == encoder.merge_long(word, key), word
+
+
 def test_dropout_query(spark):
     got = QUERIES["op3_merge_dropout"](spark, SMALL)
     assert got.count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()

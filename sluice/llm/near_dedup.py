@@ -23,13 +23,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sluice.llm.components import components, stored
+from sluice.llm.components import components, dropped, stored
 from sluice.llm.words import chunks, coded, mixed, run_hashes, split_words, word_hashes
 
 BANDS, ROWS = 32, 6
 MANTISSA = 10
 # Hashes that are worked on together.
 BLOCK = 32_768
+# Text that is worked on together; it bounds the memory of a worker.
+BATCH_BYTES = 2 << 20
 # The estimate may fall this many standard deviations short before a pair is dropped.
 MARGIN = 5.0
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -96,7 +98,7 @@ def sketches(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     """``doc_id, n_shingles, set_key, bands, registers``; no key, bands or registers without words."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", BATCH_BYTES):
             values, sizes = shingle_sets(batch.column("text"), words)
             cut = np.cumsum(sizes)
             some = np.flatnonzero(sizes)
@@ -127,7 +129,7 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
     """``doc_id, n, items``: the sets themselves."""
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", BATCH_BYTES):
             values, sizes = shingle_sets(batch.column("text"), words)
             items = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values.view(np.int64)))
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "n": pa.array(sizes, pa.int64()), "items": items})
@@ -185,20 +187,21 @@ def near_duplicates(
     chance below 3e-7, at 0.8 below 6e-5, and a component only if all its links on a path are.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows_of = stored(sketches(docs, words, bands, rows), "sketches")
+    used: list[str] = []
+    rows_of = stored(sketches(docs, words, bands, rows), "sketches", used)
     known = rows_of.where("set_key is not null and doc_id is not null")
     heads = known.groupBy("set_key").agg(F.min("doc_id").alias("head"))
     nodes = known.join(heads, (known["set_key"] == heads["set_key"]) & (known["doc_id"] == heads["head"])).select("doc_id", "bands", "registers")
-    nodes = stored(nodes, "nodes")
+    nodes = stored(nodes, "nodes", used)
     places = nodes.select("doc_id", F.explode("bands").alias("bucket"))
     hubs = places.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")).where("a < last").select("bucket", "a")
-    crowded = stored(places.join(hubs, "bucket"), "buckets")
+    crowded = stored(places.join(hubs, "bucket"), "buckets", used)
     pairs = crowded.where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
     wanted = crowded.select("doc_id").distinct()
-    sets = stored(full_sets(docs.where("doc_id is not null").join(wanted, "doc_id", "left_semi"), words), "sets")
+    sets = stored(full_sets(docs.where("doc_id is not null").join(wanted, "doc_id", "left_semi"), words), "sets", used)
     least, count = similar / of, bands * rows
     links = confirmed(likely(pairs, nodes, least, count), sets, similar, of)
-    found = components(links)
+    found = components(links, used)
 
     def label(df: DataFrame, found: DataFrame) -> DataFrame:
         return df.join(found, df["doc_id"] == found["node"], "left").select(*df.columns, F.coalesce("component", "doc_id").alias("label"))
@@ -206,25 +209,28 @@ def near_duplicates(
     # Buckets that still hold several components.
     labelled = label(crowded.select("doc_id", "bucket"), found)
     open_ = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-    open_ids = stored(labelled.join(open_, "bucket", "left_semi").select("doc_id", "label").distinct(), "open")
-    rare = stored(rarest(sets.join(open_ids, "doc_id"), similar, of), "rare")
+    open_ids = stored(labelled.join(open_, "bucket", "left_semi").select("doc_id", "label").distinct(), "open", used)
+    rare = stored(rarest(sets.join(open_ids, "doc_id"), similar, of), "rare", used)
     # The most typical set of an item, which has the fewest shingles of its own, links with most others.
     hub = F.min_by(F.struct("doc_id", "label", "n", "room"), F.struct("single", "doc_id"))
     first = rare.groupBy("item").agg(hub.alias("h"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     x, y = first.select("item", "h.*").alias("x"), rare.alias("y")
     tried = x.join(y, across("<>", similar, of)).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
     more = confirmed(likely(tried, nodes, least, count), sets, similar, of)
-    edges = stored(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), "edges")
-    found = components(edges)
+    edges = stored(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), "edges", used)
+    found = components(edges, used)
     rare = label(rare.drop("label"), found)
     x, y = rare.alias("x"), rare.alias("y")
     left = x.join(y, across("<", similar, of)).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct()
     more = confirmed(likely(left, nodes, least, count), sets, similar, of)
-    found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), used)
     final = heads.join(found, heads["head"] == found["node"], "left").select("set_key", F.coalesce("component", "head").alias("component_id"))
     out = rows_of.select("doc_id", "n_shingles", "set_key").join(final, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    # Four numbers a document stay; the tables on the way are removed.
+    out = stored(out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept")), "near-duplicates")
+    dropped(docs.sparkSession, used)
+    return out
 
 
 def across(labels: str, similar: int, of: int):

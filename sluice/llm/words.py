@@ -26,6 +26,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
                 begin, held = row, 0
             held += size
         yield batch.slice(begin)
+    pa.default_memory_pool().release_unused()
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

@@ -1,8 +1,10 @@
 """Subword encoding with seeded merge-dropout, and its exact inverse.
 
 The pieces of a SentencePiece model of the merging kind are built bottom up: an agenda holds every
-adjacent pair that forms a piece, best first. Each candidate that comes up is skipped when a hash keyed by the
-seed says so, which gives other segmentations of the same text; the same seed gives the same one again.
+adjacent pair that forms a piece, best first. Each candidate that comes up is skipped when a hash says so whose
+key holds the seed, the document and the place of the word, so every candidate of every occurrence has its own
+draw; the same seed gives the same segmentation again. What follows from an outcome of the draws does not
+depend on anything else, so it is computed once: a node per word and list of skipped candidates.
 Blanks are written as U+2581; that character itself, and everything the vocabulary lacks, is spelled in
 bytes, so every segmentation decodes to the text.
 """
@@ -15,27 +17,38 @@ import heapq
 import itertools
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from sluice.llm.words import chunks, mixed
 
 BLANK = "▁"
 DROPOUT, SEED = 0.1, 17
-# How many different segmentations a word may get; they alternate within a document and between documents.
-VARIANTS = 3
-# Words remembered in all, and the length up to which a word is short.
-REMEMBERED, SHORT = 800_000, 48
+# Nodes remembered per worker (forgetting them changes no result), and the length up to which a word is short.
+REMEMBERED, SHORT = 400_000, 48
 NO_PIECE = float("inf")
 # Blanks belong to the word after them; no piece holds a line end.
 PARTS = re.compile(r"\n| *[^ \n]+| +")
 
 
+def code(start: int, length: int) -> int:
+    """A candidate of a word as a number: where it starts, and its length in characters."""
+    return (start * 0x85EBCA6B ^ length * 0xC2B2AE35) & 0xFFFFFFFF
+
+
+def spread(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the ranges, range by range, with the number of the range each belongs to."""
+    sizes = ends - begins
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    return owner, np.arange(len(owner)) + (begins - (np.cumsum(sizes) - sizes))[owner]
+
+
 class MergeEncoder:
-    def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
+    def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -53,45 +66,110 @@ class MergeEncoder:
         for value, i in self.bytes_.items():
             self.texts[i] = bytes([value])
         self.below = int(dropout * 2**32)
-        self.seed, self.variants = seed, variants
-        self.known: list[dict[str, bytes]] = [{} for _ in range(variants)]
-        self.older: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        self.seed = seed
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop all nodes. A node has a word, the candidates skipped so far, those that come up next, and the ids if none of these is skipped."""
+        self.first: dict[str, int] = {}
+        self.next: dict[tuple[int, int], int] = {}
+        self.words: list[str] = []
+        self.skips: list[tuple[int, ...]] = []
+        self.codes, self.code_ends = array.array("I"), array.array("q", [0])
+        self.ids_, self.id_ends = array.array("I"), array.array("q", [0])
 
     def skipped(self, key: int, start: int, length: int) -> bool:
         """Whether the keyed hash skips the candidate at a character, of a length in characters."""
-        return ((key ^ (start * 0x85EBCA6B) ^ (length * 0xC2B2AE35)) * 0x9E3779B1 & 0xFFFFFFFF) < self.below
+        return ((key ^ code(start, length)) * 0x9E3779B1 & 0xFFFFFFFF) < self.below
 
     def merge(self, part: str, variant: int) -> bytes:
         """The ids of a word (with the blanks before it), as 32-bit numbers."""
         key = zlib.crc32(part.encode("utf-8", "surrogatepass"), (self.seed * 0x9E3779B1 + variant) & 0xFFFFFFFF)
-        if len(part) > SHORT or BLANK in part:
-            return self.merge_long(part, key)
+        return self.merge_all([part], np.array([key], np.uint32))[0].tobytes()
+
+    def add(self, part: str, skips: tuple[int, ...]) -> int:
+        """A new node of a short word: the merging, with these candidates skipped and no others."""
         signs = list(part.replace(" ", BLANK))
         starts = list(range(len(signs)))
-        rank, none, below = self.ranks.get, NO_PIECE, self.below
+        rank, none = self.ranks.get, NO_PIECE
         # The agenda of a short word is the list of its pairs' ranks; the smallest comes up first.
         agenda = [rank(a + b, none) for a, b in itertools.pairwise(signs)]
+        coming = []
         while agenda and (best := min(agenda)) < none:
             i = agenda.index(best)
             merged = signs[i] + signs[i + 1]
-            # As in skipped(), written out: this is the innermost loop.
-            if ((key ^ (starts[i] * 0x85EBCA6B) ^ (len(merged) * 0xC2B2AE35)) * 0x9E3779B1 & 0xFFFFFFFF) < below:
+            # As in code(), written out: this is the innermost loop.
+            sign = (starts[i] * 0x85EBCA6B ^ len(merged) * 0xC2B2AE35) & 0xFFFFFFFF
+            if sign in skips:
                 agenda[i] = none
+                coming = []
                 continue
+            coming.append(sign)
             signs[i] = merged
             del signs[i + 1], starts[i + 1], agenda[i]
             if i < len(agenda):
                 agenda[i] = rank(merged + signs[i + 1], none)
             if i:
                 agenda[i - 1] = rank(signs[i - 1] + merged, none)
-        ids = array.array("I")
         for sign in signs:
             found = self.ids.get(sign)
             if found is None:
-                ids.extend([self.bytes_[b] for b in sign.encode("utf-8", "surrogatepass")])
+                self.ids_.extend([self.bytes_[b] for b in sign.encode("utf-8", "surrogatepass")])
             else:
-                ids.append(found)
-        return ids.tobytes()
+                self.ids_.append(found)
+        self.codes.extend(coming)
+        self.code_ends.append(len(self.codes))
+        self.id_ends.append(len(self.ids_))
+        self.words.append(part)
+        self.skips.append(skips)
+        return len(self.words) - 1
+
+    def drawn(self, nodes: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of the occurrences skip a candidate of their node, the place of the first such candidate, and its code."""
+        codes, ends = np.frombuffer(self.codes, np.uint32), np.frombuffer(self.code_ends, np.int64)
+        owner, at = spread(ends[nodes], ends[nodes + 1])
+        hashes = (keys[owner] ^ codes[at]) * np.uint32(0x9E3779B1)
+        hit = np.flatnonzero(hashes < self.below)
+        hit = hit[np.diff(owner[hit], prepend=-1) != 0]
+        return owner[hit], at[hit] - ends[nodes[owner[hit]]], codes[at[hit]]
+
+    def merge_all(self, parts: Sequence[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all parts in order, and how many each part has; ``keys`` has the key of each part's draws."""
+        if len(self.words) > REMEMBERED:
+            self.forget()
+        first, apart = self.first, {}
+        nodes = np.zeros(len(parts), np.int64)
+        for n, part in enumerate(parts):
+            node = first.get(part)
+            if node is None:
+                if len(part) > SHORT or BLANK in part:
+                    apart[n] = np.frombuffer(self.merge_long(part, int(keys[n])), np.uint32)
+                    part = ""
+                node = first.get(part)
+                if node is None:
+                    node = first[part] = self.add(part, ())
+            nodes[n] = node
+        left = np.arange(len(parts))
+        while len(left):
+            who, place, codes = self.drawn(nodes[left], keys[left])
+            left = left[who]
+            moved = []
+            for step in zip(nodes[left].tolist(), place.tolist(), codes.tolist()):
+                node = self.next.get(step[:2])
+                if node is None:
+                    node = self.next[step[:2]] = self.add(self.words[step[0]], (*self.skips[step[0]], step[2]))
+                moved.append(node)
+            nodes[left] = moved
+        pool, ends = np.frombuffer(self.ids_, np.uint32), np.frombuffer(self.id_ends, np.int64)
+        sizes = ends[nodes + 1] - ends[nodes]
+        out = pool[spread(ends[nodes], ends[nodes + 1])[1]]
+        if apart:  # the long parts have the empty word's node, without ids
+            places = np.cumsum(sizes)
+            cuts = [int(places[n]) for n in apart]
+            pieces = np.split(out, cuts)
+            out = np.concatenate([pieces[0], *[x for pair in zip(apart.values(), pieces[1:]) for x in pair]])
+            sizes[list(apart)] = [len(x) for x in apart.values()]
+        return out, sizes
 
     def merge_long(self, part: str, key: int) -> bytes:
         """The same with a heap for the agenda and linked signs, for parts of any length."""
@@ -133,21 +211,22 @@ class MergeEncoder:
         return ids.tobytes()
 
     def encode(self, text: str, stream: int = 0) -> np.ndarray:
-        """The ids of a text; ``stream`` shifts the variants, so documents differ from each other."""
-        known, older, count, out = self.known, self.older, self.variants, []
-        variant = stream % count
-        for part in PARTS.findall(text):
-            ids = known[variant].get(part)
-            if ids is None:
-                if len(known[variant]) >= REMEMBERED // (2 * count):  # what is in use moves on
-                    older[variant], known[variant] = known[variant], {}
-                ids = older[variant].get(part)
-                if ids is None:
-                    ids = self.merge(part, variant)
-                known[variant][part] = ids
-            out.append(ids)
-            variant = variant + 1 if variant + 1 < count else 0
-        return np.frombuffer(b"".join(out), "<u4")
+        """The ids of a text; ``stream`` is the document's part of the draws' keys."""
+        return self.encode_all([text], np.array([stream], np.uint64))[0]
+
+    def encode_all(self, texts: Sequence[str], streams: np.ndarray) -> list[np.ndarray]:
+        """The ids of each text, with the document's part of the draws' keys for each."""
+        parts, counts = [], [0]
+        for text in texts:
+            parts += PARTS.findall(text)
+            counts.append(len(parts))
+        counts = np.array(counts)
+        owner, at = spread(counts[:-1], counts[1:])
+        starts = mixed(mixed(np.full(1, self.seed & 0xFFFFFFFFFFFFFFFF, np.uint64) + np.uint64(1)) + streams)
+        keys = mixed(starts[owner] + (at - counts[owner]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        ids, sizes = self.merge_all(parts, (keys >> np.uint64(32)).astype(np.uint32))
+        ends = np.append(0, np.cumsum(sizes))[counts]
+        return np.split(ids, ends[1:-1]) if len(texts) else []
 
     def decode(self, ids) -> str:
         return b"".join([self.texts[i] for i in ids]).decode("utf-8", "surrogatepass")
@@ -165,15 +244,20 @@ def encode(
     """``doc_id, ids, ids_crc32`` of every row; a null text has null ids, an empty text none.
 
     ``ids_crc32`` is that of the ids as little-endian 32-bit numbers. The segmentation depends on the
-    text, the id (0 if null) and the seed only, so repeated rows agree. Other columns are ignored.
+    text, the id (0 if null) and the seed only, so repeated rows agree; a word's other occurrences and the
+    same text under other ids are segmented independently. Other columns are ignored.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(model, dropout, seed)
         for batch in chunks(batches, "text", 2 << 20):
             numbers = np.array([i or 0 for i in batch.column("doc_id").to_pylist()], np.int64).view(np.uint64)
-            streams = (mixed(numbers + np.uint64(seed)) % np.uint64(encoder.variants)).tolist()
-            ids = [None if t is None else encoder.encode(t, s) for t, s in zip(batch.column("text").to_pylist(), streams)]
+            texts = batch.column("text").to_pylist()
+            some = [n for n, t in enumerate(texts) if t is not None]
+            of_text = np.array([xxhash.xxh64_intdigest(texts[n].encode("utf-8", "surrogatepass")) for n in some], np.uint64)
+            ids = [None] * len(texts)
+            for n, found in zip(some, encoder.encode_all([texts[n] for n in some], mixed(numbers[some]) ^ of_text)):
+                ids[n] = found
             sizes = np.array([0 if i is None else len(i) for i in ids])
             flat = np.concatenate([np.zeros(0, "<u4"), *[i for i in ids if i is not None]]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(flat), mask=pa.array([i is None for i in ids]))

@@ -293,6 +293,30 @@ def test_short_and_long_words_agree():
         assert encoder.merge(word, n % 4) == encoder.merge_long(word, key), word
 
 
+def test_every_occurrence_has_its_own_draws(spark):
+    encoder = dropout_bpe.MergeEncoder(MODEL, 0.4)
+    word = " international"
+    within = encoder.encode(word * 400)
+    rows = spark.createDataFrame([(i, word) for i in range(400)], "doc_id long, text string")
+    between = {tuple(r["ids"]) for r in dropout_bpe.encode(rows, MODEL, dropout=0.4).collect()}
+    alone = {encoder.merge(word, n) for n in range(400)}
+    assert encoder.decode(within.tolist()) == word * 400
+    # More than any small number of variants: as many as with a draw per candidate.
+    assert len(alone) > 30 and 0.7 < len(between) / len(alone) < 1.4
+
+
+def test_remembered_words_equal_words_merged_alone():
+    import random
+
+    rnd, encoder = random.Random(2), dropout_bpe.MergeEncoder(MODEL, 0.2)
+    words = [" " + "".join(rnd.choice("abetionsh") for _ in range(rnd.randrange(1, 12))) for _ in range(40)] + ["é" * 60, " ▁a", "\n", "   "]
+    parts = [rnd.choice(words) for _ in range(4000)]
+    keys = np.array([rnd.getrandbits(32) for _ in parts], np.uint32)
+    ids, sizes = encoder.merge_all(parts, keys)
+    expected = [encoder.merge_long(p, int(k)) for p, k in zip(parts, keys)]
+    assert ids.tobytes() == b"".join(expected) and sizes.tolist() == [len(e) // 4 for e in expected]
+
+
 def test_dropout_query(spark):
     got = QUERIES["op3_merge_dropout"](spark, SMALL)
     assert got.count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()

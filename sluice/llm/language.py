@@ -101,6 +101,10 @@ class Filters:
         return masks
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        return self.measured(texts)[:2]
+
+    def measured(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The language, its share of all corrected hits, and its corrected hits over all n-grams of the text."""
         # Long texts are counted piece by piece.
         parts = [(d, t[a : a + PIECE]) for d, t in enumerate(texts) if t for a in range(0, len(t), PIECE)]
         total, hits, some = np.zeros(len(texts)), np.zeros((len(texts), len(self.names))), np.zeros(len(texts), bool)
@@ -118,7 +122,8 @@ class Filters:
         all_hits = true.sum(axis=1)
         share = np.divide(true[np.arange(len(texts)), best], all_hits, out=np.zeros(len(texts)), where=all_hits > 0)
         names = [self.names[b] if s else UNKNOWN for b, s in zip(best.tolist(), some.tolist())]
-        return names, np.where(some, share, 0.0)
+        evidence = true[np.arange(len(texts)), best] / np.maximum(total, 1)
+        return names, np.where(some, share, 0.0), np.where(some, evidence, 0.0)
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS, kept: int = GRAMS) -> Filters | None:
@@ -155,26 +160,32 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_docs: in
     return Filters({name: np.array(sorted(g), np.int64).view(np.uint64) for name, g in by_language.items()})
 
 
-def identify(docs: DataFrame, filters: Filters | None, text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, filters: Filters | None, text: str = "text", evidence: str | None = None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` in place of columns of these names.
 
+    ``evidence`` names a further column: the language's corrected hits over all n-grams of the text,
+    which does not depend on the other languages.
+
     ``lang_pred`` is ``und`` and the score 0 for a null text, a text without a letter, and if nothing
     was learned. A text with letters always gets a language, at a tie the one with more training rows. The
     score is the language's share of all corrected hits.
     """
-    docs = docs.drop("lang_pred", "score")
+    added = ["lang_pred", "score", *([evidence] if evidence else [])]
+    docs = docs.drop(*added)
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, text):
             texts = batch.column(text).to_pylist()
             if shared.value is None:
-                names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+                found = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
             else:
-                names, scores = shared.value.predict(texts)
-            yield batch.append_column("lang_pred", pa.array(names)).append_column("score", pa.array(scores))
+                found = shared.value.measured(texts)
+            for name, values in zip(added, found):
+                batch = batch.append_column(name, pa.array(values))
+            yield batch
 
-    kinds = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    kinds = T.StructType([*docs.schema.fields, *(T.StructField(n, T.StringType() if n == "lang_pred" else T.DoubleType()) for n in added)])
     return docs.mapInArrow(predict, kinds)
 
 

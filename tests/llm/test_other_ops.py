@@ -352,6 +352,24 @@ def test_stages_follow_each_other(spark):
         assert stage(spark, docs.limit(0), SMALL).count() == 0
 
 
+@pytest.mark.parametrize("count", [2, 20])
+def test_the_cut_on_language_does_not_depend_on_their_number(spark, count):
+    import random
+
+    rnd, letters = random.Random(3), "abcdefghijklmnopqrstuvwxyz"
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").where("n_chars > 300 and lang is not null").orderBy("doc_id")
+    texts = {name: [r["text"] for r in docs.where(F.col("lang") == name).limit(40).collect()] for name in ("en", "de")}
+    rows = []
+    for n in range(count):
+        # Related languages: some letters change places.
+        own = random.Random(n // 2).sample(letters, 8 if n > 1 else 0)
+        table = str.maketrans("".join(own), "".join(own[1:] + own[:1]))
+        rows += [(1000 * n + i, t.lower().translate(table), f"l{n}", "s", 0) for i, t in enumerate(texts["en" if n % 2 else "de"])]
+    noise = [(-1 - i, "".join(rnd.choice(letters + "   ") for _ in range(600)), None, "s", 0) for i in range(20)]
+    kept = {r["doc_id"] for r in corpus_pipeline.known_language(spark, spark.createDataFrame(rows + noise, docs.schema), MEDIUM).collect()}
+    assert kept == {r[0] for r in rows}
+
+
 def test_run_is_the_stages(spark):
     got = corpus_pipeline.run(spark, SMALL)
     assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

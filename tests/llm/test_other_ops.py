@@ -244,6 +244,26 @@ def test_licenses_of_the_whole_table(spark):
     assert got == brute_licenses(rows) and got
 
 
+def test_sibling_licenses_are_told_apart(spark):
+    gnu = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version. It is distributed in the hope"
+    rows = {
+        "GPL-2.0-or-later": gnu.format("General Public", "2"),
+        "GPL-3.0-or-later": gnu.format("General Public", "3"),
+        "LGPL-2.0-or-later": gnu.format("Library General Public", "2"),
+        "LGPL-2.1-or-later": gnu.format("Lesser General Public", "2.1"),
+        "LGPL-3.0-or-later": gnu.format("Lesser General Public", "3"),
+        "AGPL-3.0-or-later": gnu.format("Affero General Public", "3"),
+        "GPL-2.0": "This work is licensed under the GNU General Public License, version 2. Enjoy",
+        "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3. Enjoy",
+        "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    }
+    docs = spark.createDataFrame([(n, f"{'word ' * n}{text} and more") for n, text in enumerate(rows.values())], "doc_id long, text string")
+    both = spark.createDataFrame([(99, rows["GPL-2.0-or-later"] + " Released under the MIT License. " + rows["AGPL-3.0-or-later"])], docs.schema)
+    got = sorted((r["doc_id"], r["license"]) for r in licenses.scan(docs.union(both)).collect())
+    assert got == [*enumerate(rows), (99, "AGPL-3.0-or-later"), (99, "GPL-2.0-or-later"), (99, "MIT")]
+
+
 def test_no_python_in_the_license_scan(spark):
     plan = QUERIES["op1_license_scan"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

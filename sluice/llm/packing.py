@@ -8,7 +8,6 @@ tree over the remaining capacities. Only lengths travel; ids are counted and has
 
 from __future__ import annotations
 
-import array
 import functools
 import itertools
 import zlib
@@ -16,6 +15,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from sluice.llm.words import CHUNK_BYTES, chunks, coded, split_words
@@ -78,79 +78,101 @@ def best_fit(lengths: Sequence[int], most: int) -> tuple[list[int], list[int]]:
     return where, offset
 
 
+def gathered(pool: np.ndarray, ends: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ranges of ``pool`` named in ``which``, one after another, and their sizes; range n lies between ``ends[n]`` and ``ends[n + 1]``."""
+    begin, size = ends[which], ends[which + 1] - ends[which]
+    upto = np.cumsum(size)
+    take = np.repeat(begin - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
+    return pool[take], size
+
+
 class WordEncoder:
     """Token ids of texts by a tokenizer that treats blank-separated words alone, each word encoded once.
 
     ``word_bpe_49k.json`` is such a tokenizer: it drops white space and the case, and none of its rules
-    reaches over a blank, or from a letter over the full stop or comma after it.
+    reaches over a blank, or from a letter over the full stop or comma after it. Words that may hold one of its special
+    strings are given to it as they are.
     """
 
-    MOST = 250_000  # words remembered
+    MOST = 400_000  # words remembered
 
     def __init__(self, path: str, end: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.end = np.array([end], "<u4").tobytes()
-        self.known: dict[str, bytes] = {}
+        self.end = np.array([end], np.uint32)
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.forget()
 
-    def learn(self, words: list[str]) -> None:
-        """Encode new words: those of letters alone many to a text, told apart by the ids that end a word."""
-        plain = [w for w in words if w.isalpha()]
-        alone = [w for w in words if not w.isalpha()]
-        groups = [plain[n : n + 500] for n in range(0, len(plain), 500)]
-        for group, ids in zip(groups, self.encoded([" ".join(g) for g in groups])):
-            ends = np.flatnonzero(self.ends_word[np.frombuffer(ids, "<u4")]) + 1
-            if len(ends) != len(group):
-                alone += group
-                continue
-            begin = 0
-            for w, end in zip(group, (4 * ends).tolist()):
-                self.known[w] = ids[begin:end]
-                begin = end
-        self.known.update(zip(alone, self.encoded(alone)))
+    def forget(self) -> None:
+        self.known = pa.array([], pa.large_string())
+        self.pool, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def encoded(self, texts: list[str]) -> Iterator[bytes]:
+    def encoded(self, texts: list[str]) -> Iterator[np.ndarray]:
         for n in range(0, len(texts), 20_000):
             for e in self.tokenizer.encode_batch_fast(texts[n : n + 20_000], add_special_tokens=False):
-                yield array.array("I", e.ids).tobytes()
+                yield np.array(e.ids, np.uint32)
 
-    def ids_of(self, words: list[str]) -> list[bytes]:
-        """The ids of each word. Marks at the end of a word are encoded apart from it."""
+    def learn(self, words: pa.Array) -> None:
+        """Encode new words: those of letters alone many to a text, told apart by the ids that end a word."""
+        letters = pc.utf8_is_alpha(words)
+        plain = words.filter(letters)
+        groups = [plain.slice(n, 500) for n in range(0, len(plain), 500)]
+        names, found, sizes = [], [], []
+        alone = [words.filter(pc.invert(letters))]
+        for group, ids in zip(groups, self.encoded([" ".join(g.to_pylist()) for g in groups])):
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(group):
+                alone.append(group)
+                continue
+            names.append(group)
+            found.append(ids)
+            sizes.append(np.diff(ends, prepend=0))
+        rest = pa.concat_arrays(alone)
+        each = list(self.encoded(rest.to_pylist()))
+        sizes.append(np.fromiter(map(len, each), np.int64, len(each)))
+        self.known = pa.concat_arrays([self.known, *names, rest])
+        self.pool = np.concatenate([self.pool, *found, *each])
+        self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes)))
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where the ids of each word are remembered; new words are encoded."""
         if len(self.known) > self.MOST:
-            self.known = {}
-        known = self.known
-        out = [known.get(w) for w in words]
-        new = [n for n, ids in enumerate(out) if ids is None]
-        split = []
-        for n in new:
-            w = words[n]
-            stem = w.rstrip(".,;:!?")
-            split.append((stem, w[len(stem) :]) if "a" <= stem[-1:] <= "z" or "A" <= stem[-1:] <= "Z" else (w, ""))
-        self.learn(list({part for pair in split for part in pair} - known.keys()))
-        for n, (stem, tail) in zip(new, split):
-            out[n] = known[words[n]] = known[stem] + known[tail]
-        return out
+            self.forget()
+        at = pc.index_in(words, value_set=self.known)
+        if at.null_count:
+            self.learn(words.filter(at.is_null()).unique())
+            at = pc.index_in(words, value_set=self.known)
+        return np.asarray(at, dtype=np.int64)
+
+    def ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different words in order, and how many each has. Marks at the end of a word are encoded apart from it."""
+        as_it_is = pc.or_(pc.match_substring(words, "<|"), pc.invert(pc.string_is_ascii(words)))
+        words = pc.if_else(as_it_is, words, pc.ascii_lower(words))
+        stems = pc.ascii_rtrim(words, characters=".,;:!?")
+        cut = pc.and_(pc.match_substring_regex(stems, "[A-Za-z]$"), pc.less(pc.binary_length(stems), pc.binary_length(words)))
+        tails = pc.replace_substring_regex(words.filter(cut), "(?s)^.*[A-Za-z]", "")
+        parts, distinct = coded(pa.concat_arrays([pc.if_else(cut, stems, words), tails]))
+        at = self.places(distinct)[parts]
+        # The tail of a word follows its stem.
+        order = np.insert(at[: len(words)], np.flatnonzero(np.asarray(cut)) + 1, at[len(words) :])
+        ids, size = gathered(self.pool, self.ends, order)
+        more = np.flatnonzero(np.asarray(cut))
+        own = np.delete(np.arange(len(order)), more + 1 + np.arange(len(more)))
+        return ids, np.add.reduceat(size, own) if len(own) else np.zeros(0, np.int64)
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text and the closing one."""
         words, sizes = split_words(texts)
         codes, distinct = coded(words)
-        ids = self.ids_of([w.lower() if w.isascii() else w for w in distinct.to_pylist()])
-        flat = np.frombuffer(b"".join([*ids, self.end]), "<u4")
-        length = np.fromiter((len(i) >> 2 for i in [*ids, self.end]), np.int64, len(ids) + 1)
-        begin = np.cumsum(length) - length
+        ids, length = self.ids_of(distinct)
+        ends = np.append(0, np.cumsum(np.append(length, 1)))
         # After the words of each text comes the closing id.
-        codes = np.insert(codes, np.cumsum(sizes), len(ids))
-        size = length[codes]
-        upto = np.cumsum(size)
-        take = np.repeat(begin[codes] - (upto - size), size) + np.arange(upto[-1] if len(upto) else 0)
-        out = flat[take]
-        return np.split(out, upto[np.cumsum(sizes + 1) - 1])[:-1]
+        codes = np.insert(codes, np.cumsum(sizes), len(distinct))
+        out, size = gathered(np.append(ids, self.end), ends, codes)
+        return np.split(out, np.cumsum(size)[np.cumsum(sizes + 1) - 1])[:-1]
 
 
 @functools.lru_cache(maxsize=2)

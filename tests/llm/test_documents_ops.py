@@ -297,9 +297,8 @@ def test_packing_of_documents(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
-    odd = [None, "", " ", "a <|endoftext|> b", "İstanbul é  x y\u0085z", "it's\nI'LL 'S 12 a\tb", "x" * 9000, LONG, "e ́"]
+    odd = [None, "", " ", "a <|endoftext|> b", "A<|startoftext|>B, <|ENDOFTEXT|>. c<|endoftext|>d! <|x|> Éa. b.", "İstanbul é  x y\u0085z", "it's\nI'LL 'S 12 a\tb", "x" * 9000, LONG, "e ́"]
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()] + [(10_000 + i, t) for i, t in enumerate(odd)]
     got = packing.pack_documents(frame(spark, rows), public_tokenizers.path("word_bpe_49k.json"), group_pieces=100).collect()
     ids = {d: tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for d, t in rows}

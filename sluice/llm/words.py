@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,15 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
                 begin, held = row, 0
             held += size
         yield batch.slice(begin)
+    released()
+
+
+def released() -> None:
+    """Give memory that is no longer used back to the system: workers outlive their tasks, and the next stage needs it."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only there with glibc
+    if trim is not None:
+        trim(0)
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

@@ -6,6 +6,9 @@ last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,8 +19,22 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # A text of whose n-grams the best language has less than this share is in none of them. At 1 to 40 languages (those of sf0.1
 # and enciphered ones) samples of held-out documents had 0.371 or more, random letters and base64 0.086 or less.
 LEAST_EVIDENCE = 0.2
+# Bytes that travel to a Python worker at once; Spark's 64 MB would be held by both sides beside the work itself.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage with small batches between Spark and its Python workers."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return run
 
 
+@small_batches
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter (or null), and texts in none of the learned languages, go."""
     filters = language.fit(docs.where(~language.held_out()))
@@ -27,6 +44,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return told.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("evidence") >= LEAST_EVIDENCE)).select(*COLUMNS)
 
 
+@small_batches
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays.
 
@@ -36,18 +54,21 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 
+@small_batches
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 13 words or more that an earlier document has are cut; other texts stay as they are."""
     cut = substring_dedup.remove_repeats(docs, carry=("lang", "source"), verbatim=True)
     return cut.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", sized("kept_text", docs)).select(*COLUMNS)
 
 
+@small_batches
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span of personal data is replaced by the name of its kind."""
     clean = personal_data.redact(docs.select(*COLUMNS), personal_data.fit(docs))
     return clean.withColumn("n_chars", sized("text", docs)).select(*COLUMNS)
 
 
+@small_batches
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces in sequences of 4096."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))

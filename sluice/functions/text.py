@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from sluice.functions.values import col
 
-# What counts as personal data, what replaces it, and a sign every match holds.
+# What counts as personal data, what replaces it, and a pattern that every match holds.
 PII_RULES = (
     (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]", "@"),
-    (r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b", "[IP]", "."),
-    (r"(\+[0-9]{1,3}[-. ]?)?(\([0-9]{2,4}\) ?|\b[0-9]{2,4}[-. ])[0-9]{3,4}[-. ][0-9]{4}\b", "[PHONE]", ""),
+    (r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b", "[IP]", r"[0-9]\."),
+    (r"(\+[0-9]{1,3}[-. ]?)?(\([0-9]{2,4}\) ?|\b[0-9]{2,4}[-. ])[0-9]{3,4}[-. ][0-9]{4}\b", "[PHONE]", r"[-. ][0-9]{4}"),
 )
 
 # Spellings accepted as true and as false.
@@ -49,5 +49,5 @@ def mask_personal_data(text: Column | str) -> Column:
     out = col(text)
     for pattern, replacement, sign in PII_RULES:
         masked = F.regexp_replace(out, pattern, replacement)
-        out = F.when(out.contains(sign), masked).otherwise(out) if sign else masked
+        out = F.when(out.rlike(sign), masked).otherwise(out)
     return out

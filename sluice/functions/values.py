@@ -6,7 +6,7 @@ finish, and are handed out as DOUBLE. Values that do not fit are summed as DOUBL
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -39,6 +39,37 @@ def mean(c: Column | str) -> Column:
     return F.try_divide(total(c), F.count(col(c)))
 
 
+def partial_total(c: Column | str) -> list[Column]:
+    """What :func:`combined_total` and :func:`combined_mean` need of a first aggregation."""
+    return [
+        F.count(col(c)).alias("_values"), F.count(money(c)).alias("_exact"), F.try_sum(money(c)).alias("_money"),
+        F.sum(col(c).cast("double")).alias("_double"),
+    ]
+
+
+def combined_total(over: WindowSpec | None = None) -> Column:
+    """:func:`total` over the groups of a first aggregation, or over the rows of a window of them."""
+
+    def all_of(c: Column) -> Column:
+        return c if over is None else c.over(over)
+
+    known, exact = all_of(F.sum("_values")), all_of(F.sum("_exact"))
+    whole = all_of(F.count_if(F.col("_exact") > 0)) == all_of(F.count("_money"))  # no partial sum left its type
+    money_sum = F.when((exact == known) & whole, all_of(F.try_sum("_money")).cast("double"))
+    return F.when(known > 0, F.coalesce(money_sum, all_of(F.sum("_double"))))
+
+
+def combined_mean() -> Column:
+    return F.try_divide(combined_total(), F.sum("_values"))
+
+
+def total_over(c: Column | str, over: WindowSpec) -> Column:
+    """:func:`total` over a window: exact, or the DOUBLE sum where a value or the sum does not fit."""
+    known = F.count(col(c)).over(over)
+    exact = F.when(F.count(money(c)).over(over) == known, F.try_sum(money(c)).over(over).cast("double"))
+    return F.when(known > 0, F.coalesce(exact, F.sum(col(c).cast("double")).over(over)))
+
+
 def rows() -> Column:
     return F.count(F.lit(1))
 
@@ -57,7 +88,7 @@ def growth(now: Column | str, before: Column | str) -> Column:
 
 
 def spread(n: Column, sum_x: Column, sum_xx: Column) -> Column:
-    """Sample standard deviation from a count and two exact decimal sums."""
+    """Sample standard deviation from a count, a sum and a sum of squares."""
     d = n.cast("double")
     x = sum_x.cast("double")
     return F.sqrt(

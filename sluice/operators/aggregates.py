@@ -35,14 +35,17 @@ def default_keys(df: DataFrame) -> list[str]:
 
 
 def group_profile(
-    df: DataFrame, keys: list[str] | None = None, value_sets: tuple[str, ...] = ()
+    df: DataFrame, keys: list[str] | None = None, value_sets: tuple[str, ...] | None = ()
 ) -> DataFrame:
     """Count and sum, mean, minimum, maximum of the numeric columns per group.
 
-    ``value_sets`` names text columns with a fixed small vocabulary, whose values are listed
-    per group. For open-ended columns use :func:`value_list`, which gives one row per value.
+    Without ``keys`` all text columns but names and e-mail addresses are the key, else the user. ``value_sets`` names
+    text columns with a fixed small vocabulary, whose values are listed per group; None stands for all text columns that
+    are left. For open-ended columns use :func:`value_list`, which gives one row per value.
     """
     keys = keys or default_keys(df)
+    if value_sets is None:
+        value_sets = tuple(columns_of(df, T.StringType, {"name", "email", *keys}))
     if not keys:
         raise ValueError("no columns to group by")
     out = [rows().alias("count")]
@@ -57,6 +60,11 @@ def group_profile(
     return df.groupBy(*keys).agg(*out)
 
 
+def largest_groups(profile: DataFrame, keys: list[str], n: int = 10) -> DataFrame:
+    """The groups with the most rows, of equal ones the first by key."""
+    return profile.orderBy(F.desc("count"), *keys).limit(n)
+
+
 def value_list(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     """The distinct values of a column per group with their counts, one row each."""
     return df.groupBy(*keys, column).agg(rows().alias("count"))

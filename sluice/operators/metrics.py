@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.functions.values import col, percent, rows
+from sluice.functions.values import col, percent, rows, total
 
 
 def metric_table(
@@ -28,6 +29,27 @@ def metric_table(
     return df.select(F.lit(namespace).alias("namespace"), F.col(at).alias("at"), *dimensions, F.inline(points))
 
 
+def pattern_points(
+    logs: DataFrame, namespace: str, at: str, text: str, patterns: Mapping[str, str], period: str = "60 seconds", where: Column | None = None
+) -> DataFrame:
+    """Metric points from log lines: per metric and period, the lines that match its pattern.
+
+    A pattern without a group counts its lines; with one, the value is the sum of the numbers that the first group
+    finds (a text that is no number counts nothing). All patterns are looked at in one pass, and only lines that match one are
+    shuffled, summed per task first. ``where`` filters the lines before.
+    """
+    lines = logs if where is None else logs.filter(where)
+    found = []
+    for metric, pattern in patterns.items():
+        grouped = re.compile(pattern).groups > 0
+        value = F.regexp_extract(text, pattern, 1).try_cast("double") if grouped else F.lit(1.0)
+        unit = F.lit("None" if grouped else "Count")
+        found.append(F.when(F.col(text).rlike(pattern), F.struct(F.lit(metric).alias("metric"), value.alias("value"), unit.alias("unit"))))
+    hits = lines.select(F.window(at, period).start.alias("at"), F.explode(F.filter(F.array(*found), lambda h: h["value"].isNotNull())).alias("hit"))
+    sums = hits.groupBy("at", "hit.metric", "hit.unit").agg(total("hit.value").alias("value"))
+    return sums.select(F.lit(namespace).alias("namespace"), "at", "metric", "value", "unit")
+
+
 def metric_statistics(points: DataFrame, period: str = "300 seconds", dimensions: list[str] | None = None) -> DataFrame:
     """Sum, average, minimum, maximum and count per metric, dimension and period."""
     w = F.window("at", period)

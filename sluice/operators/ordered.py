@@ -148,28 +148,48 @@ def moving_sums(
 def moving_statistics(
     df: DataFrame, keys: list[str], ts: str, value: str, seconds: int, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """Moving count, mean and sample deviation of an amount over the preceding seconds."""
+    """Moving count, mean and sample deviation of an amount over the preceding seconds.
+
+    Amounts below 10**12 are added and taken off as exact decimals, their squares with twenty decimals (six from
+    100,000 on). Larger ones go as DOUBLE in sums of their own, which count only where a frame holds such an
+    amount. A frame with NaN, an infinity or an amount from 10**150 on has NaN for mean and deviation; others are not touched by it.
+    """
     million = 1_000_000
-    amount = money(value)
+    known, amount, v = F.col(value).isNotNull(), money(value), F.col(value).cast("double")
+    fits = F.coalesce(F.abs(amount) < F.lit(10**12), F.lit(False))
+    small = fits & (F.abs(amount) < F.lit(10**5))
+    odd = known & ~fits
+    wild = odd & ~F.coalesce(F.abs(v) < 1e150, F.lit(False))
+    exact = F.when(small, amount).try_cast("decimal(15,10)")
     scanned = moving_sums(
         df.withColumn("_us", micros(ts)),
         keys,
         "_us",
         seconds * million,
         {
-            "_n": F.when(amount.isNotNull(), 1).otherwise(0),
-            "_sum": F.coalesce(amount, F.lit(0).cast(AMOUNT)),
-            "_squares": F.coalesce(amount * amount, F.lit(0)).cast("decimal(38,6)"),
+            "_n": known.cast("int"),
+            "_odd": odd.cast("int"),
+            "_wild": wild.cast("int"),
+            "_sum": F.when(fits, amount).otherwise(F.lit(0).cast(AMOUNT)),
+            "_squares": F.coalesce(exact * exact, F.lit(0).cast("decimal(31,20)")),
+            "_large_squares": F.when(fits & ~small, amount * amount).otherwise(F.lit(0).cast("decimal(38,6)")),
+            "_odd_sum": F.when(odd & ~wild, v).otherwise(0.0),
+            "_odd_squares": F.when(odd & ~wild, v * v).otherwise(0.0),
         },
         slice_rows,
     )
+    is_odd, is_wild, nan = F.col("_odd") > 0, F.col("_wild") > 0, F.lit(float("nan"))
+    plain = F.col("_sum").cast("double")
+    whole = F.when(is_odd, plain + F.col("_odd_sum")).otherwise(plain)
+    squares = F.col("_squares").cast("double") + F.col("_large_squares").cast("double")
+    squares = F.when(is_odd, squares + F.col("_odd_squares")).otherwise(squares)
     return scanned.withColumns(
         {
             "moving_count": F.col("_n"),
-            "moving_mean": ratio("_sum", "_n"),
-            "moving_stddev": F.when(F.col("_n") > 1, spread(F.col("_n"), F.col("_sum"), F.col("_squares"))),
+            "moving_mean": F.when(is_wild, nan).otherwise(ratio(whole, F.col("_n"))),
+            "moving_stddev": F.when(F.col("_n") > 1, F.when(is_wild, nan).otherwise(spread(F.col("_n"), whole, squares))),
         }
-    ).drop("_us", "_n", "_sum", "_squares")
+    ).drop("_us", "_n", "_odd", "_wild", "_sum", "_squares", "_large_squares", "_odd_sum", "_odd_squares")
 
 
 def value_slices(

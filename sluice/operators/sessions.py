@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.times import micros
-from sluice.functions.values import money, rows
+from sluice.functions.values import combined_total, partial_total, rows
 from sluice.operators.ordered import SLICE, SLICE_ROWS, hot_slices, ordered_scan
-from sluice.session import settled
 
 
 def sessions(
@@ -21,7 +20,7 @@ def sessions(
     partial sessions; only those, at most a few per slice, are then merged per key.
     """
     gap = gap_seconds * 1_000_000
-    slim = events.select(key, label, money(value).alias("_v"), micros(ts).alias("_us"), F.col(ts).alias("_ts"))
+    slim = events.select(key, label, F.col(value).alias("_value"), micros(ts).alias("_us"), F.col(ts).alias("_ts"))
     flagged, slices = hot_slices(slim, [key], "_us", slice_rows=slice_rows)
     rows_in = flagged.withColumn(SLICE, slices)
     local = Window.partitionBy(key, SLICE).orderBy("_us")
@@ -36,7 +35,7 @@ def sessions(
             F.min("_ts").alias("_start"),
             F.max("_ts").alias("_end"),
             rows().alias("_n"),
-            F.sum("_v").alias("_v"),
+            *partial_total("_value"),
             F.collect_set(label).alias("_labels"),
         )
     )
@@ -51,7 +50,7 @@ def sessions(
             (F.max("_end") + F.make_dt_interval(secs=F.lit(gap_seconds))).alias("session_end"),
             ((F.max("_to") + gap - F.min("_from")) / F.lit(60_000_000)).alias("duration_minutes"),
             F.sum("_n").alias("event_count"),
-            F.sum("_v").cast("double").alias("total_value"),
+            combined_total().alias("total_value"),
             F.sort_array(F.array_distinct(F.flatten(F.collect_list("_labels")))).alias("event_types"),
         )
     )
@@ -65,7 +64,7 @@ def behavior_paths(
 
     A path is written in segments of at most ``segment`` events, so no row grows without
     limit; nearly all paths have one. The conversion flag says whether the steps occur in
-    this order anywhere in the whole path, across its segments.
+    this order anywhere in the whole path, across its segments. An event without a type is left out of the path.
     """
     keys = ["session_id", "user_id", "window_start"]
     framed = events.select(
@@ -76,37 +75,41 @@ def behavior_paths(
     placed = ordered_scan(flagged, keys, ["timestamp", "event_id"], slices, sums={"_pos": F.lit(1)}).withColumn("segment", F.floor((F.col("_pos") - 1) / segment))
     # The state after a segment, for every state it can be entered in: how many steps are done.
     kinds = F.transform(F.sort_array(F.collect_list(F.struct("_pos", "event_type"))), lambda e: e["event_type"])
-    parts = (
-        placed.groupBy(*keys, "segment")
-        .agg(
-            kinds.alias("_kinds"),
-            F.min("timestamp").alias("_from"),
-            F.max("timestamp").alias("_to"),
-            F.sum(money("amount")).alias("_value"),
-        )
-        .withColumn("event_sequence", F.array_join("_kinds", " -> "))
-    )
+    parts = placed.groupBy(*keys, "segment").agg(kinds.alias("_kinds"), F.min("timestamp").alias("_from"), F.max("timestamp").alias("_to"), *partial_total("amount"))
     # A first segment is entered with no step done, so it needs one walk only.
     first, *later = [_advance(F.col("_kinds"), steps, F.lit(state)) for state in range(len(steps) + 1)]
     after = F.when(F.col("segment") == 0, F.array(first)).otherwise(F.array(first, *later))
-    parts = settled(parts.withColumn("_after", after).drop("_kinds"))
-    states = F.transform(F.sort_array(F.collect_list(F.struct("segment", "_after"))), lambda s: s["_after"])
-    whole = parts.groupBy(*keys).agg(
-        F.min("_from").alias("_from"), F.max("_to").alias("_to"), F.sum("_value").alias("_value"), states.alias("_states")
-    )
-    final = F.aggregate("_states", F.lit(0), lambda state, after: F.get(after, state))
-    totals = whole.select(
+    told = parts.select("*", F.array_join("_kinds", " -> ").alias("event_sequence"), after.alias("_after")).drop("_kinds")
+    # A row per segment; what is said of the whole path is folded over these few rows.
+    path = Window.partitionBy(*keys)
+    states = F.transform(F.sort_array(F.collect_list(F.struct("segment", "_after")).over(path)), lambda s: s["_after"])
+    final = F.aggregate(states, F.lit(0), lambda state, after: F.get(after, state))
+    return told.select(
         *keys,
-        ((micros("_to") - micros("_from")) / F.lit(1_000_000)).alias("duration_seconds"),
-        F.col("_value").cast("double").alias("total_value"),
+        "segment",
+        "event_sequence",
+        ((micros(F.max("_to").over(path)) - micros(F.min("_from").over(path))) / F.lit(1_000_000)).alias("duration_seconds"),
+        combined_total(path).alias("total_value"),
         (final == len(steps)).alias("converted"),
     )
-    return parts.select(*keys, "segment", "event_sequence").join(totals, keys)
 
 
 def _advance(kinds, steps: tuple[str, ...], state):
-    """Walk through the events of a segment, counting the steps met in order."""
-    wanted = F.array(*[F.lit(s) for s in steps])
-    return F.aggregate(
-        kinds, state, lambda done, kind: F.when(kind == F.get(wanted, done), done + 1).otherwise(done)
-    )
+    """Walk through the events of a segment, counting the steps met in order.
+
+    A step is met where an event's name contains it, as ``LIKE '%step%step%'`` over the joined path has it; one name may meet
+    several, each behind the one before.
+    """
+
+    def through(done, kind):
+        here = F.struct(done.alias("done"), F.lit(1).alias("place"))
+        for n, step in enumerate(steps):
+            found = F.position(F.lit(step), kind, here["place"])
+            met = (here["done"] == n) & (found > 0)
+            here = F.struct(
+                F.when(met, here["done"] + 1).otherwise(here["done"]).alias("done"),
+                F.when(met, found + len(step)).otherwise(here["place"]).alias("place"),
+            )
+        return here["done"]
+
+    return F.aggregate(kinds, state, through)

@@ -11,14 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.times import day, micros
-from sluice.functions.values import growth, money, percent, ratio, rows, total
+from sluice.functions.values import combined_total, growth, partial_total, percent, ratio, rows, total, total_over
 from sluice.operators.ordered import HOT, SLICE_ROWS, hot_slices, ordered_scan
 
 FIRST, LAST = Window.unboundedPreceding, Window.unboundedFollowing
 
 
 def exact_sum(c: str, w) -> Column:
-    return F.sum(money(c)).over(w).cast("double")
+    return total_over(c, w)
 
 
 def exact_mean(c: str, w) -> Column:
@@ -113,7 +113,8 @@ def daily_trends(events: DataFrame, group: str, ts: str, amount: str, n: int = 7
     """Daily events, revenue and active users per group, with their moving means over n rows."""
     daily = events.groupBy(day(ts).alias("date"), group).agg(
         rows().alias("daily_events"),
-        F.sum(money(amount)).alias("_revenue"),
+        *partial_total(amount),
+        total(amount).alias("daily_revenue"),
         F.countDistinct("user_id").alias("daily_active_users"),
     )
     w = Window.partitionBy(group).orderBy("date").rowsBetween(1 - n, 0)
@@ -121,10 +122,10 @@ def daily_trends(events: DataFrame, group: str, ts: str, amount: str, n: int = 7
         "date",
         group,
         "daily_events",
-        F.col("_revenue").cast("double").alias("daily_revenue"),
+        "daily_revenue",
         "daily_active_users",
         F.avg("daily_events").over(w).alias("events_ma"),
-        ratio(F.sum("_revenue").over(w), F.count("_revenue").over(w)).alias("revenue_ma"),
+        ratio(combined_total(w), F.count_if(F.col("_values") > 0).over(w)).alias("revenue_ma"),
         F.avg("daily_active_users").over(w).alias("users_ma"),
     )
 
@@ -133,17 +134,18 @@ def hourly_trend(events: DataFrame, ts: str, amount: str, n: int = 3) -> DataFra
     """Hourly totals with moving means. The unpartitioned window runs over one row per hour."""
     hourly = events.groupBy(F.date_trunc("hour", ts).cast("timestamp_ntz").alias("hour")).agg(
         rows().alias("events"),
-        F.sum(money(amount)).alias("_revenue"),
+        *partial_total(amount),
+        total(amount).alias("revenue"),
         F.countDistinct("user_id").alias("active_users"),
     )
     w = Window.orderBy("hour").rowsBetween(1 - n, 0)
     return hourly.select(
         "hour",
         "events",
-        F.col("_revenue").cast("double").alias("revenue"),
+        "revenue",
         "active_users",
         F.avg("events").over(w).alias("events_ma"),
-        ratio(F.sum("_revenue").over(w), F.count("_revenue").over(w)).alias("revenue_ma"),
+        ratio(combined_total(w), F.count_if(F.col("_values") > 0).over(w)).alias("revenue_ma"),
     )
 
 

@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.times import day, hour_label, micros, month_label
-from sluice.functions.values import mean, percent, ratio, rows, total
+from sluice.functions.values import combined_total, mean, partial_total, percent, ratio, rows, total
 from sluice.operators.aggregates import shares, weekday_hour_table
 from sluice.operators.joins import with_group_values
-from sluice.operators.ordered import SLICE_ROWS, hot_slices, ordered_scan, row_numbers, tiles
-from sluice.session import settled
+from sluice.operators.ordered import SLICE_ROWS, hot_slices, ordered_scan, tiles
 
 
 def business_summary(events: DataFrame) -> DataFrame:
@@ -157,42 +156,57 @@ def quick_insights(events: DataFrame) -> DataFrame:
 BEHAVIOR_WEIGHTS = {"view": 1.0, "click": 2.0, "purchase": 5.0}
 
 
-def behavior_score(events: DataFrame, as_of: Column | None = None, decay_seconds: float = 3600.0) -> DataFrame:
-    """Interest per user, category and hour, fading with the age of each event.
+def decayed_interest(events: DataFrame, decay_seconds: float = 3600.0) -> DataFrame:
+    """Interest per user, category and hour, as it stands at the end of the hour.
 
-    Ages count back from ``as_of``, or from the end of the hour, which is when a live window
-    would be read.
+    Works on tables and streams: every event counts by its distance to the end of its hour, which does not change, so an
+    event is added once and forgotten. Sums are exact, so they do not depend on the order of arrival.
     """
-    w = F.window("timestamp", "1 hour")
-    framed = events.filter(F.col("category").isNotNull()).select("user_id", "category", "event_type", "timestamp", w)
-    moment = as_of if as_of is not None else F.col("window.end")
-    age = F.unix_timestamp(moment) - F.unix_timestamp("timestamp")
+    framed = events.filter(F.col("category").isNotNull()).select(
+        "user_id", "category", "event_type", "timestamp", F.window("timestamp", "1 hour").alias("window")
+    )
+    age = F.unix_timestamp("window.end") - F.unix_timestamp("timestamp")
     weight = F.lit(0.0)
     for event_type, points in BEHAVIOR_WEIGHTS.items():
         weight = F.when(F.col("event_type") == event_type, points).otherwise(weight)
-    return framed.groupBy("window", "user_id", "category").agg(
-        F.sum(weight * F.exp(-age / F.lit(decay_seconds))).alias("behavior_score"),
-        F.max("timestamp").alias("last_activity"),
-    )
+    part = (weight * F.exp(-age / F.lit(decay_seconds))).cast("decimal(28,18)")
+    return framed.groupBy("window", "user_id", "category").agg(F.sum(part).alias("interest"), F.max("timestamp").alias("last_activity"))
 
 
-def rfm(events: DataFrame, buckets: int = 5) -> DataFrame:
-    """Recency, frequency and amount per user, each cut into equal buckets (the best is highest)."""
-    latest = events.agg(F.max("timestamp")).scalar()
-    people = settled(
-        events.groupBy("user_id")
-        .agg(F.max("timestamp").alias("_last"), rows().alias("frequency"), total("amount").alias("monetary"))
-        .select("user_id", F.datediff(latest, "_last").alias("recency_days"), "frequency", "monetary")
-    )
-    count = people.count()
-    scored = people
-    for measure, descending, name in (
-        ("recency_days", True, "r_score"),
-        ("frequency", False, "f_score"),
-        ("monetary", False, "m_score"),
-    ):
-        scored = row_numbers(scored, measure, ["user_id"], descending, name="_position")
-        scored = settled(scored.withColumn(name, tiles(F.col("_position"), F.lit(count), buckets)).drop("_position"))
+def behavior_score(events: DataFrame, as_of: Column | None = None, decay_seconds: float = 3600.0) -> DataFrame:
+    """Interest per user, category and hour, fading with the age of each event; for tables and streams.
+
+    Ages count back from ``as_of``, or from the end of the hour, which is when a live window
+    would be read. All events of an hour fade by the same factor from its end on.
+    """
+    faded = F.col("interest").cast("double")
+    if as_of is not None:
+        faded = faded * F.exp((F.unix_timestamp("window.end") - F.unix_timestamp(as_of)) / F.lit(decay_seconds))
+    return decayed_interest(events, decay_seconds).select("window", "user_id", "category", faded.alias("behavior_score"), "last_activity")
+
+
+def rfm(events: DataFrame, buckets: int = 5, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Recency, frequency and amount per user, each cut into equal buckets (the best is highest).
+
+    The three orders are found together: a row per user and measure, numbered within the measure.
+    """
+    seen = events.groupBy("user_id").agg(F.max("timestamp").alias("_last"), rows().alias("frequency"), total("amount").alias("monetary"))
+    latest, count = seen.agg(F.max("_last")).scalar(), seen.agg(rows()).scalar()
+    people = seen.select("user_id", F.datediff(latest, "_last").alias("recency_days"), "frequency", "monetary")
+
+    def measure(name: str, by: Column, none: Column) -> Column:
+        return F.struct(F.lit(name).alias("_measure"), none.alias("_none"), by.cast("double").alias("_by"))
+
+    # The longest time since the last event comes first; rows without one come last there, as a descending order has it.
+    recency = measure("r", -F.col("recency_days"), F.col("recency_days").isNull())
+    others = [measure(n, F.col(c), F.lit(False)) for n, c in (("f", "frequency"), ("m", "monetary"))]
+    ranked = people.select("*", F.inline(F.array(recency, *others)))
+    flagged, slices = hot_slices(ranked, ["_measure"], "_by", "user_id", slice_rows=slice_rows)
+    order, slices = ["_none", "_by", "user_id"], F.when(F.col("_none"), F.lit(2**62)).otherwise(slices)
+    placed = ordered_scan(flagged, ["_measure"], order, slices, sums={"_position": F.lit(1)})
+    tile = tiles(F.col("_position"), count, buckets)
+    scores = [F.max(F.when(F.col("_measure") == n, tile)).alias(f"{n}_score") for n in "rfm"]
+    scored = placed.groupBy("user_id").agg(*[F.max(c).alias(c) for c in ("recency_days", "frequency", "monetary")], *scores)
     return scored.withColumn("segment", F.concat_ws("-", "r_score", "f_score", "m_score"))
 
 
@@ -314,19 +328,26 @@ def live_metrics(events: DataFrame, date: Column) -> DataFrame:
     """Totals of one day, with its five busiest categories and its event types, as one table."""
     day_start = date.cast("timestamp_ntz")
     day_end = F.date_add(date, 1).cast("timestamp_ntz")
-    today = events.filter((F.col("timestamp") >= day_start) & (F.col("timestamp") < day_end))
-    all_rows = today.agg(
-        rows().alias("events"), F.countDistinct("user_id").alias("users"), total("amount").alias("amount")
-    )
+    return day_metrics(day_parts(events.filter((F.col("timestamp") >= day_start) & (F.col("timestamp") < day_end))))
 
-    def per(label: str) -> DataFrame:
-        return today.groupBy(F.col(label).alias("item")).agg(
-            rows().alias("events"), F.countDistinct("user_id").alias("users"), total("amount").alias("amount")
-        )
 
-    busiest = per("category").orderBy(F.desc("events"), "item").limit(5)
-    return (
-        all_rows.select(F.lit("total").alias("section"), F.lit("all").alias("item"), "*")
-        .union(busiest.select(F.lit("category"), "*"))
-        .union(per("event_type").select(F.lit("event_type"), "*"))
+def day_parts(events: DataFrame, *keys: Column | str) -> DataFrame:
+    """What the live metrics are made of: a row per user, category and event type. For tables and streams."""
+    return events.groupBy(*keys, "user_id", "category", "event_type").agg(rows().alias("_rows"), *partial_total("amount"))
+
+
+def day_metrics(parts: DataFrame, busiest: int = 5) -> DataFrame:
+    """The live metrics from these rows, which are read once for all sections."""
+    sets = parts.groupingSets([[], [F.col("category")], [F.col("event_type")]], F.col("category"), F.col("event_type")).agg(
+        F.grouping_id().alias("_set"), F.sum("_rows").alias("events"), F.countDistinct("user_id").alias("users"), combined_total().alias("amount")
     )
+    # Bits of the columns that are left out: both, the event type, the category.
+    section = F.when(F.col("_set") == 3, "total").when(F.col("_set") == 1, "category").otherwise("event_type")
+    item = F.when(F.col("_set") == 3, "all").when(F.col("_set") == 1, F.col("category")).otherwise(F.col("event_type"))
+    told = sets.select(section.alias("section"), item.alias("item"), "events", "users", "amount")
+    # One row per category, event type and in total: little to order.
+    turn = Window.partitionBy("section").orderBy(F.desc("events"), "item")
+    placed = told.withColumn("_n", F.row_number().over(turn))
+    return placed.filter((F.col("section") != "category") | (F.col("_n") <= busiest)).drop("_n")
+
+

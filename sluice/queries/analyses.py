@@ -133,16 +133,15 @@ def quick_insights(spark, folder):
     return analytics.quick_insights(t.events(spark, folder))
 
 
-@query(
-    "behavior_score",
-    """SELECT h AS window_start, user_id, category, round(sum(w * exp(-age / 3600.0::DOUBLE)), 8) AS behavior_score,
+SCORES = """SELECT h AS window_start, user_id, category, round(sum(w * exp(-age / 3600.0::DOUBLE)), 8) AS behavior_score,
          max("timestamp") AS last_activity
        FROM (SELECT *, date_trunc('hour', "timestamp") AS h,
                CAST(epoch(date_trunc('hour', "timestamp")) AS BIGINT) + 3600 - CAST(floor(epoch("timestamp")) AS BIGINT) AS age,
                CASE event_type WHEN 'view' THEN 1.0 WHEN 'click' THEN 2.0 WHEN 'purchase' THEN 5.0 ELSE 0.0 END::DOUBLE AS w
-             FROM ev) GROUP BY 1, 2, 3""",
-    "ev",
-)
+             FROM ev) GROUP BY 1, 2, 3"""
+
+
+@query("behavior_score", SCORES, "ev")
 def behavior_score(spark, folder):
     out = analytics.behavior_score(t.events(spark, folder))
     return out.select(
@@ -308,13 +307,12 @@ def dashboard_data(spark, folder):
 LIVE = f"count(*) AS events, count(DISTINCT user_id) AS users, {TOTAL} AS amount"
 
 
-@query(
-    "live_metrics",
-    f"""WITH d AS (SELECT * FROM ev WHERE CAST("timestamp" AS DATE) = DATE '2024-01-30')
+LIVE_SQL = f"""WITH d AS (SELECT * FROM ev WHERE CAST("timestamp" AS DATE) = DATE '2024-01-30')
         SELECT 'total' AS section, 'all' AS item, {LIVE} FROM d
         UNION ALL (SELECT 'category', category, {LIVE} FROM d GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 5)
-        UNION ALL SELECT 'event_type', event_type, {LIVE} FROM d GROUP BY 2""",
-    "ev",
-)
+        UNION ALL SELECT 'event_type', event_type, {LIVE} FROM d GROUP BY 2"""
+
+
+@query("live_metrics", LIVE_SQL, "ev")
 def live_metrics(spark, folder):
     return analytics.live_metrics(t.events(spark, folder), F.lit("2024-01-30").cast("date"))

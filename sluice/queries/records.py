@@ -345,14 +345,13 @@ def gold_kpi(spark, folder):
     return lake.kpi(daily, F.lit("2024-01-08").cast("date"), F.lit("2024-01-21").cast("date"))
 
 
-def sql_masked(column: str) -> str:
-    out = column
-    for pattern, replacement, _ in text.PII_RULES:
-        out = f"regexp_replace({out}, '{pattern}', '{replacement}', 'g')"
-    return out
-
-
-@query("pii_mask", f"SELECT doc_id, {sql_masked('text')} AS text FROM documents")
+@query(
+    "pii_mask",
+    r"""WITH mails AS (SELECT doc_id, regexp_replace(text, '[\w.%+-]+@[a-zA-Z\d.-]+[.][a-zA-Z][a-zA-Z]+', '[EMAIL]', 'g') AS x FROM documents),
+        addresses AS (SELECT doc_id, regexp_replace(x, '\b(?:\d\d?\d?[.]){3}\d\d?\d?\b', '[IP]', 'g') AS x FROM mails)
+        SELECT doc_id, regexp_replace(x, '(?:[+]\d\d?\d?[-. ]?)?(?:[(]\d{2}\d?\d?[)] ?|\b\d{2}\d?\d?[-. ])\d{3}\d?[-. ]\d{4}\b', '[PHONE]', 'g') AS text
+        FROM addresses""",
+)
 def pii_mask(spark, folder):
     return t.table(spark, folder, "documents").select("doc_id", text.mask_personal_data("text").alias("text"))
 
@@ -419,6 +418,23 @@ def metric_table(spark, folder):
     return points(spark, folder)
 
 
+@query(
+    "log_metrics",
+    """SELECT 'Logs' AS namespace, time_bucket(INTERVAL 1 MINUTE, "timestamp") AS "at", metric,
+         sum(CASE metric WHEN 'Failures' THEN CAST(event_type = 'error' AS INTEGER) WHEN 'LowCodes' THEN CAST(k % 5 < 2 AS INTEGER)
+           ELSE k % 5 END)::DOUBLE AS value, CASE metric WHEN 'Codes' THEN 'None' ELSE 'Count' END AS unit
+       FROM ev, (VALUES ('Failures'), ('LowCodes'), ('Codes')) v(metric)
+       WHERE level <> 'DEBUG' AND (metric = 'Codes' OR (metric = 'Failures' AND event_type = 'error') OR (metric = 'LowCodes' AND k % 5 < 2))
+       GROUP BY 2, 3""",
+    "ev",
+)
+def log_metrics(spark, folder):
+    """Points from log messages by pattern: lines that report an error, lines with a low code, and the codes added up."""
+    patterns = {"Failures": "^error ", "LowCodes": " [01]$", "Codes": " ([0-9]+)$"}
+    logs = t.events(spark, folder)
+    return metrics.pattern_points(logs, "Logs", "timestamp", "message", patterns, where=F.col("level") != "DEBUG")
+
+
 STATS = f"""SELECT namespace, metric, time_bucket(INTERVAL 5 MINUTE, "at") AS period_start, round(sum(value), 6) AS sum,
   round(avg(value), 6) AS average, min(value) AS minimum, max(value) AS maximum, count(*) AS samples
   FROM ({POINTS}) GROUP BY 1, 2, 3"""

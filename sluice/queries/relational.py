@@ -305,6 +305,34 @@ def agg_group(spark, folder):
     return out.withColumn("category_values", F.array_join("category_values", ","))
 
 
+AMOUNTS = "CAST(sum(m) AS DOUBLE) AS amount_sum, CAST(sum(m) AS DOUBLE) / count(amount) AS amount_avg, min(amount) AS amount_min, max(amount) AS amount_max"
+
+
+@query(
+    "agg_group_default",
+    f"""SELECT event_type, category, log_type, count(*) AS count, {AMOUNTS} FROM ev GROUP BY 1, 2, 3
+        ORDER BY count DESC, event_type, category, log_type LIMIT 10""",
+    "ev",
+)
+def agg_group_default(spark, folder):
+    """Grouped by every text column, the ten largest groups."""
+    wanted = t.events(spark, folder).select("event_id", "user_id", "event_type", "category", "log_type", "amount")
+    return aggregates.largest_groups(aggregates.group_profile(wanted), aggregates.default_keys(wanted))
+
+
+@query(
+    "agg_group_sets",
+    f"""SELECT level, count(*) AS count, {AMOUNTS}, string_agg(DISTINCT category, ',' ORDER BY category) AS category_values,
+          string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS event_type_values FROM ev GROUP BY 1""",
+    "ev",
+)
+def agg_group_sets(spark, folder):
+    """The values of all other text columns as sets."""
+    wanted = t.events(spark, folder).select("event_id", "level", "event_type", "category", "amount")
+    out = aggregates.group_profile(wanted, ["level"], value_sets=None)
+    return out.withColumns({c: F.array_join(c, ",") for c in ("category_values", "event_type_values")})
+
+
 @query(
     "agg_month",
     """SELECT CAST(year(order_date) AS INTEGER) AS year, CAST(month(order_date) AS INTEGER) AS month,

@@ -56,18 +56,24 @@ def tumble_count(spark, folder):
     return windows.counts(t.events(spark, folder), F.col("event_type") == "purchase")
 
 
-@query(
-    "behavior_path",
-    f"""SELECT session_id, user_id, time_bucket(INTERVAL 30 MINUTE, "timestamp") AS window_start,
-          CAST(0 AS BIGINT) AS segment, string_agg(event_type, ' -> ' ORDER BY "timestamp", event_id) AS event_sequence,
-          CAST(epoch_us(max("timestamp")) - epoch_us(min("timestamp")) AS DOUBLE) / 1000000.0::DOUBLE AS duration_seconds,
-          {TOTAL} AS total_value,
-          string_agg(event_type, ' -> ' ORDER BY "timestamp", event_id) LIKE '%view%click%purchase%' AS converted
-        FROM ev GROUP BY 1, 2, 3""",
-    "ev",
-)
+PATHS = f"""WITH placed AS (
+      SELECT *, (row_number() OVER (PARTITION BY session_id, user_id, window_start ORDER BY "timestamp", event_id) - 1) // 2 AS segment
+      FROM (SELECT *, time_bucket(INTERVAL 30 MINUTE, "timestamp") AS window_start FROM ev)),
+    whole AS (
+      SELECT session_id, user_id, window_start,
+        CAST(epoch_us(max("timestamp")) - epoch_us(min("timestamp")) AS DOUBLE) / 1000000.0::DOUBLE AS duration_seconds,
+        {TOTAL} AS total_value,
+        string_agg(event_type, ' -> ' ORDER BY "timestamp", event_id) LIKE '%view%click%purchase%' AS converted
+      FROM placed GROUP BY 1, 2, 3)
+    SELECT session_id, user_id, window_start, segment, event_sequence, duration_seconds, total_value, converted
+    FROM (SELECT session_id, user_id, window_start, segment, string_agg(event_type, ' -> ' ORDER BY "timestamp", event_id) AS event_sequence
+          FROM placed GROUP BY 1, 2, 3, 4) JOIN whole USING (session_id, user_id, window_start)"""
+
+
+@query("behavior_path", PATHS, "ev")
 def behavior_path(spark, folder):
-    return runs.behavior_paths(t.events(spark, folder))
+    """Segments of two events, so that paths of the test data fall into several."""
+    return runs.behavior_paths(t.events(spark, folder), segment=2)
 
 
 @query(

@@ -1,50 +1,52 @@
-"""Deviation from the preceding hour, for streams.
+"""Deviation from the preceding hour, and alerts, for streams.
 
-A stream cannot use a moving frame of rows, and keeping an hour of rows per event type as
-state would put a whole type into one task. Each batch is therefore stored, and scored by the
-table form over the stored rows it needs: the batch and the hour before it.
+A stream cannot use a moving frame of rows. Rows are scored once the watermark has passed them, by the table form over
+these rows and the hour before, so late rows within the delay count as they do in the table.
 """
 
 from __future__ import annotations
 
-from datetime import timedelta
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from sluice.streaming.sinks import each_batch, write_batch
-from sluice.streaming.windows import hourly_deviation
-
-STORED = "event_id BIGINT, event_type STRING, timestamp TIMESTAMP, amount DOUBLE"
+from sluice.streaming.closed import OWN, closed_batches
+from sluice.streaming.sinks import write_batch
+from sluice.streaming.windows import alerts, hourly_deviation
 
 
 def score_stream(
-    events: DataFrame, history: str, out: str, checkpoint: str, limit: float = 3.0, every: str | None = None
+    events: DataFrame,
+    store: str,
+    out: str,
+    checkpoint: str,
+    limit: float = 3.0,
+    delay_seconds: int = 5,
+    every: str | None = None,
+    shape: Callable[[DataFrame], DataFrame] = lambda scored: scored,
+) -> StreamingQuery:
+    """Write every event with its score (all columns stay) to ``out``, one folder per batch."""
+
+    def work(rows: DataFrame, batch_id: int) -> None:
+        scored = hourly_deviation(rows, limit=limit).filter(OWN).drop(OWN)
+        write_batch(shape(scored), out, batch_id)
+
+    return closed_batches(events, "timestamp", store, work, checkpoint, delay_seconds, lookback_seconds=3600, every=every)
+
+
+def alert_stream(events: DataFrame, store: str, out: str, checkpoint: str, limit: float = 3.0, delay_seconds: int = 5, every: str | None = None) -> StreamingQuery:
+    """Write the alerts only."""
+    return score_stream(events, store, out, checkpoint, limit, delay_seconds, every, alerts)
+
+
+def path_stream(
+    events: DataFrame, store: str, out: str, checkpoint: str, paths: Callable[[DataFrame], DataFrame], minutes: int = 30, delay_seconds: int = 5, every: str | None = None
 ) -> StreamingQuery:
-    """Write every event with its score to ``out``, one folder per batch."""
-
-    def work(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        placed = batch.select("event_id", "event_type", "timestamp", "amount").withColumns(
-            {"day": F.date_format("timestamp", "yyyy-MM-dd"), "batch": F.lit(batch_id)}
-        )
-        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(
-            history
-        )
-        stored = spark.read.schema(f"{STORED}, day STRING, batch INT").parquet(history)
-        first, last = (
-            stored.filter(F.col("batch") == batch_id).agg(F.min("timestamp"), F.max("timestamp")).first()
-        )
-        if first is None:
-            return
-        since = first - timedelta(hours=1)
-        needed = stored.filter(
-            F.col("day").between(str(since.date()), str(last.date()))
-            & F.col("timestamp").between(F.lit(since), F.lit(last))
-            & (F.col("batch") <= batch_id)
-        )
-        scored = hourly_deviation(needed, limit=limit).filter(F.col("batch") == batch_id)
-        write_batch(scored.drop("day", "batch"), out, batch_id)
-
-    return each_batch(events, work, checkpoint, every)
+    """Write the paths of all windows that have ended; ``paths`` is the table form."""
+
+    def work(rows: DataFrame, batch_id: int) -> None:
+        write_batch(paths(rows.filter(F.col(OWN)).drop(OWN)), out, batch_id)
+
+    return closed_batches(events, "timestamp", store, work, checkpoint, delay_seconds, 60 * minutes, every=every)

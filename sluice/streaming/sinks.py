@@ -11,6 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from sluice.functions.times import LAYOUTS, partition_columns
 from sluice.operators.metrics import alarms, metric_statistics, metric_table
 from sluice.operators.quality import good_and_bad, is_valid, parsed
+from sluice.plans.analytics import day_metrics, day_parts
 from sluice.sources.readers import MICROS
 
 Batch = Callable[[DataFrame, int], None]
@@ -122,6 +123,32 @@ def rerun_touched_hours(
     return each_batch(stream, work, checkpoint, every)
 
 
+def live_day(stream: DataFrame, ts: str, store: str, out: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Keep the live metrics of the latest day at ``out``, made anew with every batch.
+
+    The state is a row per user, category and event type of a day, dropped when the watermark has passed the day. Each
+    batch stores the rows it changed; the metrics are made of the last version of each row of the latest day.
+    """
+    parts = day_parts(stream, F.window(ts, "1 day").alias("window"))
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        placed = batch.withColumns({"day": F.date_format("window.start", "yyyy-MM-dd"), "batch": F.lit(batch_id)}).drop("window")
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(store)
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in placed.schema.fields)
+        stored = spark.read.schema(columns).parquet(store).filter(F.col("batch") <= batch_id)
+        latest = stored.agg(F.max("day")).first()[0]
+        if latest is None:
+            return
+        keys = ["user_id", "category", "event_type"]
+        measures = [c for c in placed.columns if c[0] == "_"]
+        newest = F.max_by(F.struct(*measures), "batch").alias("_newest")
+        current = stored.filter(F.col("day") == latest).groupBy(*keys).agg(newest).select(*keys, "_newest.*")
+        day_metrics(current).withColumn("day", F.lit(latest)).coalesce(1).write.mode("overwrite").parquet(out)
+
+    return each_batch(parts, work, checkpoint, every, "update")
+
+
 def without_duplicates(stream: DataFrame, key: str) -> DataFrame:
     """Drop repeated keys that arrive within the watermark of the first one."""
     return stream.dropDuplicatesWithinWatermark([key])

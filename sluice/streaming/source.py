@@ -12,14 +12,21 @@ START = {"LATEST": "latest", "TRIM_HORIZON": "earliest"}
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema: str, fmt: str = "parquet", files_per_trigger: int | None = None
+    spark: SparkSession, path: str, schema: str, fmt: str = "parquet", files_per_trigger: int | None = None, bytes_per_trigger: int | None = None
 ) -> DataFrame:
-    """New files below a path as a stream."""
+    """New files below a path as a stream.
+
+    A batch takes at most so many files, or files of at most so many bytes together (a larger file is a batch of its own).
+    """
+    if files_per_trigger and bytes_per_trigger:
+        raise ValueError("a batch is limited by files or by bytes, not by both")
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt in ("json", "csv"):
         reader = reader.options(**MICROS)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.load(path)
 
 

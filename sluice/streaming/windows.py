@@ -1,8 +1,8 @@
 """Event-time windows. Every function takes a stream or a table and gives the same columns.
 
 Streams need a TIMESTAMP column with a watermark. They cannot count distinct values
-directly, so a stream gathers the set of values per window, which is exact; for windows with
-very many different values pass ``exact=False`` and accept an estimate.
+directly, so a stream aggregates twice: first per window, key and value, then per window and key.
+A row of state holds one value, however many a window has, and a busy window spreads over all tasks.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.values import mean, rows, total
+from sluice.functions.values import combined_mean, combined_total, mean, partial_total, rows, total
 from sluice.operators.ordered import moving_statistics
 
 
@@ -18,59 +18,52 @@ def watermarked(stream: DataFrame, ts: str, delay: str = "5 seconds") -> DataFra
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
-def distinct(df: DataFrame, column: str, exact: bool = True) -> Column:
-    if not df.isStreaming:
-        return F.countDistinct(column)
-    return F.size(F.collect_set(column)).cast("bigint") if exact else F.approx_count_distinct(column)
+def tumbling(df: DataFrame, ts: str, length: str, keys: list[str], measures: list[Column]) -> DataFrame:
+    return named_window(df.groupBy(F.window(ts, length).alias("window"), *keys).agg(*measures))
 
 
-def tumbling(df: DataFrame, ts: str, length: str, keys: list[str], measures: list[Column]) -> DataFrame:
-    return (
-        df.groupBy(F.window(ts, length).alias("window"), *keys)
-        .agg(*measures)
-        .select(
-            F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "*"
-        )
-        .drop("window")
+def named_window(df: DataFrame) -> DataFrame:
+    return df.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "*").drop("window")
+
+
+def metrics(
+    df: DataFrame, ts: str, length: str, keys: list[str], count: str, different: tuple[str, str], value: str, total_name: str | None, mean_name: str
+) -> DataFrame:
+    """Rows, different values of a column, total and mean of an amount per window and key.
+
+    ``different`` is the column and the name of its count; nulls do not count as a value. A null ``total_name`` leaves the total out.
+    """
+    column, name = different
+    if not df.isStreaming:
+        out = [rows().alias(count), F.countDistinct(column).alias(name), total(value).alias("_total"), mean(value).alias(mean_name)]
+        return ordered_columns(tumbling(df, ts, length, keys, out), keys, count, name, total_name, mean_name)
+    first = df.groupBy(F.window(ts, length).alias("window"), *keys, column).agg(rows().alias("_rows"), *partial_total(value))
+    second = first.groupBy("window", *keys).agg(
+        F.sum("_rows").alias(count), F.count(column).alias(name), combined_total().alias("_total"), combined_mean().alias(mean_name)
     )
+    return ordered_columns(named_window(second), keys, count, name, total_name, mean_name)
+
+
+def ordered_columns(df: DataFrame, keys: list[str], count: str, name: str, total_name: str | None, mean_name: str) -> DataFrame:
+    shown = [F.col("_total").alias(total_name)] if total_name else []
+    return df.select("window_start", "window_end", *keys, count, name, *shown, mean_name)
 
 
-def by_type(events: DataFrame, ts: str = "timestamp", value: str = "amount", exact: bool = True) -> DataFrame:
+def by_type(events: DataFrame, ts: str = "timestamp", value: str = "amount") -> DataFrame:
     """Five-minute metrics per event type."""
-    return tumbling(
-        events.filter(F.col(value).isNotNull()), ts, "5 minutes", ["event_type"],
-        [
-            rows().alias("event_count"),
-            distinct(events, "user_id", exact).alias("unique_users"),
-            total(value).alias("total_value"),
-            mean(value).alias("avg_value"),
-        ],
-    )
+    known = events.filter(F.col(value).isNotNull())
+    return metrics(known, ts, "5 minutes", ["event_type"], "event_count", ("user_id", "unique_users"), value, "total_value", "avg_value")
 
 
-def by_user(events: DataFrame, ts: str = "timestamp", value: str = "amount", exact: bool = True) -> DataFrame:
+def by_user(events: DataFrame, ts: str = "timestamp", value: str = "amount") -> DataFrame:
     """Five-minute metrics per user."""
-    return tumbling(
-        events.filter(F.col("user_id").isNotNull()), ts, "5 minutes", ["user_id"],
-        [
-            rows().alias("event_count"),
-            distinct(events, "session_id", exact).alias("sessions"),
-            total(value).alias("total_value"),
-            mean(value).alias("avg_value"),
-        ],
-    )
+    known = events.filter(F.col("user_id").isNotNull())
+    return metrics(known, ts, "5 minutes", ["user_id"], "event_count", ("session_id", "sessions"), value, "total_value", "avg_value")
 
 
-def by_log_type(logs: DataFrame, ts: str = "timestamp", exact: bool = True) -> DataFrame:
+def by_log_type(logs: DataFrame, ts: str = "timestamp") -> DataFrame:
     """One-minute request metrics per log type."""
-    return tumbling(
-        logs, ts, "1 minute", ["log_type"],
-        [
-            rows().alias("request_count"),
-            distinct(logs, "ip_address", exact).alias("unique_ips"),
-            mean("response_size").alias("avg_response_size"),
-        ],
-    )
+    return metrics(logs, ts, "1 minute", ["log_type"], "request_count", ("ip_address", "unique_ips"), "response_size", None, "avg_response_size")
 
 
 def counts(df: DataFrame, condition: Column, ts: str = "timestamp", length: str = "1 minute") -> DataFrame:

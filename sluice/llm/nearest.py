@@ -3,7 +3,8 @@
 Every vector lies in one bucket per table. A query visits its own bucket and those around it, changed
 in one or more projections, in the order of their estimated success: the sum of the squared distances
 to the borders that are crossed. Inside of a bucket's task the candidates are ranked exactly, and
-only the best ones of each query leave it.
+only the best ones of each query leave it. The few queries that find less than they are owed are compared with all
+rows in blocks.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from sluice.llm.components import stored
 from sluice.llm.vectors import PStable, cosines, matrices, unit, usable
 
 # Measured at these: see the README.
@@ -54,7 +56,8 @@ def search(
     The score is the cosine in double precision; ties go to the smaller id. A query never finds its
     own id. Vectors that are null, zero, or hold a null or non-finite component take no part on
     either side, nor do null ids; vectors of different lengths do not meet. Of rows that share an id the
-    one with the smallest vector counts. With fewer than ``k`` candidates there are fewer rows. Other columns are ignored.
+    one with the smallest vector counts. A query has ``k`` rows, or as many as there are candidates if these are fewer; those
+    whose buckets hold less are compared with all rows. Other columns are ignored. Empty tables give no rows.
     """
     hashing = hashing or PStable(TABLES, PROJECTIONS, WIDTH)
     side = lambda df: df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector")).where(
@@ -97,7 +100,8 @@ def search(
 
     kinds = "id long, vector array<double>, keys array<long>"
     placed = heads.select("id", "vector").mapInArrow(index, kinds).select("id", "vector", F.explode("keys").alias("bucket"))
-    asked = side(queries).groupBy("id").agg(F.min("vector").alias("vector")).select("id", "vector").mapInArrow(probe, kinds).select("id", "vector", F.explode("keys").alias("bucket"))
+    once_asked = side(queries).groupBy("id").agg(F.min("vector").alias("vector")).select("id", "vector")
+    asked = once_asked.mapInArrow(probe, kinds).select("id", "vector", F.explode("keys").alias("bucket"))
     # Large buckets lie in several blocks; a query visits all of them.
     sizes = placed.groupBy("bucket").count().withColumn("blocks", F.ceil(F.col("count") / block).cast("int")).select("bucket", "blocks")
     rows_ = placed.join(sizes, "bucket").select("bucket", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("asks"), "id", "vector")
@@ -132,17 +136,31 @@ def search(
         asking = np.array([h[0] for h in held], np.int64)
         yield pa.record_batch({"query_id": pa.array(asking[who]), "head": pa.array(heads_[top.ravel()]), "score": pa.array(score)})
 
-    met = (
-        rows_.union(asks)
-        .repartition("bucket", "block")
-        .sortWithinPartitions("bucket", "block", "asks")
-        .mapInArrow(rank, "query_id long, head long, score double")
-    )
-    pairs = met.groupBy("query_id", "head").agg(F.max("score").alias("score"))
-    named = pairs.join(ids, "head").select("query_id", F.explode("ids").alias("vec_id"), "score").where("query_id <> vec_id")
-    named = named.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def ranked(rows_: DataFrame, asks: DataFrame) -> DataFrame:
+        """``query_id, vec_id, score, rank`` of the best rows that lie in a block with the query."""
+        met = (
+            rows_.union(asks)
+            .repartition("bucket", "block")
+            .sortWithinPartitions("bucket", "block", "asks")
+            .mapInArrow(rank, "query_id long, head long, score double")
+        )
+        pairs = met.groupBy("query_id", "head").agg(F.max("score").alias("score"))
+        named = pairs.join(ids, "head").select("query_id", F.explode("ids").alias("vec_id"), "score").where("query_id <> vec_id")
+        named = named.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    found = stored(ranked(rows_, asks), "neighbours")
+    # Queries whose buckets hold too few rows are compared with all rows, block by block.
+    enough = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"))
+    short = stored(once_asked.join(enough, "id", "left_anti"), "short-queries")
+    if not short.limit(1).count():
+        return found
+    blocks = max(1, -(-heads.count() // block))
+    everywhere = heads.select(F.size("vector").cast("long").alias("bucket"), F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("asks"), "id", "vector")
+    asks = short.select(F.size("vector").cast("long").alias("bucket"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("asks"), "id", "vector")
+    rest = ranked(everywhere, asks)
+    return found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(rest)
 
 
 def smallest_ids(once: DataFrame, count: int) -> DataFrame:

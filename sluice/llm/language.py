@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from sluice.llm.words import chunks, mixed
 
 LENGTHS = (3, 4)
-# The bounds of the fit: documents sampled per language (expected) and n-grams kept per language.
-SAMPLE_DOCS, GRAMS = 2000, 4000
+# The bounds of the fit: documents sampled per language (expected), n-grams kept per language, and languages.
+SAMPLE_DOCS, GRAMS, LANGUAGES = 2000, 4000, 1000
 SLOTS, PROBES = 1 << 20, 3
 UNKNOWN = "und"
 # Characters that are counted together; it bounds the memory of a worker.
@@ -62,6 +62,17 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(hashes)[order], owner[order], some
 
 
+def pieces(text: str, most: int = PIECE) -> Iterator[str]:
+    """The text in pieces of at most ``most`` characters, cut at a blank where there is one."""
+    begin = 0
+    while len(text) - begin > most:
+        cut = max(text.rfind(c, begin + 1, begin + most + 1) for c in " \n")
+        cut = cut if cut > begin else begin + most
+        yield text[begin:cut]
+        begin = cut
+    yield text[begin:]
+
+
 def batched(parts: list[tuple[int, str]], most: int) -> Iterator[list[tuple[int, str]]]:
     held, size = [], 0
     for part in parts:
@@ -106,7 +117,7 @@ class Filters:
     def measured(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """The language, its share of all corrected hits, and its corrected hits over all n-grams of the text."""
         # Long texts are counted piece by piece.
-        parts = [(d, t[a : a + PIECE]) for d, t in enumerate(texts) if t for a in range(0, len(t), PIECE)]
+        parts = [(d, part) for d, t in enumerate(texts) if t for part in pieces(t)]
         total, hits, some = np.zeros(len(texts)), np.zeros((len(texts), len(self.names))), np.zeros(len(texts), bool)
         for group in batched(parts, PIECE):
             rows = np.array([d for d, _ in group])
@@ -126,19 +137,21 @@ class Filters:
         return names, np.where(some, share, 0.0), np.where(some, evidence, 0.0)
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS, kept: int = GRAMS) -> Filters | None:
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS, kept: int = GRAMS, most: int = LANGUAGES) -> Filters | None:
     """Learn from the rows with a text and a language; ``None`` if there are none.
 
     About ``sample_docs`` rows of each language are used, chosen by a hash of their text, whole; a
-    language keeps its ``kept`` most frequent n-grams. So what reaches the driver is bounded by the
-    number of languages.
+    language keeps its ``kept`` most frequent n-grams. The ``most`` languages with the most rows are learned (of equal ones the first
+    by name), so what reaches the driver is bounded, also where the column holds anything else than languages.
     """
     known = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).where("text is not null and lang is not null")
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    ordered = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most)
+    counts = {r["lang"]: r["n"] for r in ordered.collect()}
     if not counts:
         return None
     languages = sorted(counts, key=lambda name: (-counts[name], name))
     share = F.create_map(*[F.lit(x) for name in languages for x in (name, min(1.0, sample_docs / counts[name]))])
+    known = known.where(F.col("lang").isin(languages))
     sample = known.where((F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / (1 << 20)) < share[F.col("lang")])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

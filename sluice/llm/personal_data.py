@@ -14,6 +14,8 @@ the shape of a token and not the patterns.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -25,9 +27,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from sluice.llm.words import chunks
 
 KINDS = ("email", "ip", "card", "phone")
-# The bounds of the fit: documents with a token to label, and the least belief of an added span.
-SAMPLE_DOCS, BELIEF = 3000, 0.9
-FEATURES, ROUNDS = 1 << 12, 8
+# The bounds of the fit: documents with a token to label, tokens of each, and characters of a token. Then the least belief of an added span.
+SAMPLE_DOCS, SAMPLE_TOKENS, SAMPLE_CHARS, BELIEF = 3000, 64, 200, 0.9
+FEATURES = 1 << 12
+# Messages have settled when none changes by more; as loops can swing for ever, no text gets more rounds than it has tokens, and these.
+SETTLED, SPARE_ROUNDS = 1e-4, 200
 
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -100,7 +104,7 @@ DIGITS, LETTERS = re.compile(r"[0-9]+"), re.compile(r"[^\W\d_]+")
 
 def shape(token: str) -> str:
     """Runs of letters as ``a``, runs of digits as their length, the rest as it is."""
-    return DIGITS.sub(lambda m: str(min(len(m[0]), 20)), LETTERS.sub("a", token[:200]))
+    return DIGITS.sub(lambda m: str(min(len(m[0]), 20)), LETTERS.sub("a", token))
 
 
 def slot(name: str) -> int:
@@ -182,17 +186,28 @@ class Field:
         half = [len(graph.near), len(graph.near), len(graph.far), len(graph.far)]
         start = np.cumsum([0, *half])
         back = np.concatenate([np.arange(start[k], start[k + 1]) for k in (1, 0, 3, 2)])
-        message = np.zeros((len(source), own.shape[1]))
-        belief = own
-        for _ in range(ROUNDS if len(source) else 0):
-            out = belief[source] - message[back]
-            out = out[:, :, None] + pair
+        message, belief = np.zeros((len(source), own.shape[1])), own.copy()
+        owner = np.array(graph.owner, np.int64)
+        limit = SPARE_ROUNDS + (np.bincount(owner) if len(owner) else np.zeros(0, np.int64))
+        active, rounds = np.arange(len(source)), 0
+        while len(active):  # texts whose messages have settled drop out
+            out = belief[source[active]] - message[back[active]]
+            out = out[:, :, None] + pair[active]
             top = out.max(axis=1)
             new = top + np.log(np.exp(out - top[:, None, :]).sum(axis=1))
             new -= new.max(axis=1, keepdims=True)
-            message = 0.5 * message + 0.5 * new
-            belief = own.copy()
-            np.add.at(belief, target, message)
+            new = 0.5 * message[active] + 0.5 * new
+            moved = np.abs(new - message[active]).max(axis=1) > SETTLED
+            message[active] = new
+            texts = np.zeros(len(limit), bool)
+            texts[owner[source[active]]] = True
+            of_active = texts[owner]
+            belief[of_active] = own[of_active]
+            np.add.at(belief, target[active], message[active])
+            rounds += 1
+            goes_on = np.zeros(len(limit), bool)
+            goes_on[owner[source[active[moved]]]] = True
+            active = active[(goes_on & (rounds < limit))[owner[source[active]]]]
         p = np.exp(belief - belief.max(axis=1, keepdims=True))
         return p / p.sum(axis=1, keepdims=True)
 
@@ -205,25 +220,33 @@ def weak_labels(text: str, tokens: list[tuple[int, int]]) -> list[int]:
     return out
 
 
-def fit(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -> Field:
+def fit(
+    docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS, sample_tokens: int = SAMPLE_TOKENS, sample_chars: int = SAMPLE_CHARS
+) -> Field:
     """Learn from at most ``sample_docs`` documents that have a token to label: those with the smallest hashes of their texts.
 
-    Of each only the tokens around digits and @ signs travel, with as much text as they need.
+    Of each only the tokens around digits and @ signs travel, with as much text as they need: ``sample_tokens`` of them that follow each
+    other, from a place chosen by the hash, so that late parts of long documents are learned from too; tokens of more than
+    ``sample_chars`` characters stand for a word. These bounds hold for the fit alone. Null and empty texts give nothing to learn;
+    equal texts count once; other columns are ignored; without any token the field labels nothing.
     """
 
     def gist(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
             hashes, lines = [], []
             for value in batch.column("text").to_pylist():
-                tokens = active_tokens(value)[:64]
+                tokens = active_tokens(value)
                 if tokens:
-                    hashes.append(zlib.crc32(value.encode("utf-8", "surrogatepass")))
+                    chosen = zlib.crc32(value.encode("utf-8", "surrogatepass"))
+                    hashes.append(chosen)
+                    first = chosen % (max(0, len(tokens) - sample_tokens) + 1)
+                    tokens = tokens[first : first + sample_tokens]
                     # Tokens that are not neighbours are kept apart by a word.
                     parts = [value[tokens[0][0] : tokens[0][1]]]
                     for (_, b), (c, d) in zip(tokens, tokens[1:]):
                         between = value[b:c]
-                        parts += [between if between.strip() == "" else " x ", value[c:d]]
-                    lines.append("".join(p[:200] for p in parts))
+                        parts += [between if between.strip() == "" and len(between) <= sample_chars else " x ", value[c:d]]
+                    lines.append("".join(p if len(p) <= sample_chars else " x " for p in parts))
             yield pa.record_batch({"rank": pa.array(hashes, pa.int64()), "line": pa.array(lines, pa.string())})
 
     sample = docs.select(F.col(text).cast("string").alias("text")).where("text rlike '[0-9@]'").mapInArrow(gist, "rank long, line string")
@@ -235,11 +258,25 @@ def fit(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) ->
     return Field.fit(graph, np.array(labels, np.int64))
 
 
+class Taken:
+    """Spans by their starts, to be asked for any that overlaps another."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        ordered = sorted((a, b) for _, a, b in spans)
+        self.starts = [a for a, _ in ordered]
+        self.reach = list(itertools.accumulate((b for _, b in ordered), max))
+
+    def meets(self, a: int, b: int) -> bool:
+        before = bisect.bisect_left(self.starts, b)
+        return before > 0 and self.reach[before - 1] > a
+
+
 def all_spans(texts: list[str | None], field: Field, belief: float = BELIEF) -> list[tuple[list, list]]:
     """Per text the spans of the patterns, and these with the added ones."""
     exact = [exact_spans(t) if t else [] for t in texts]
     graph = Graph(texts)
     added: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+    taken = [Taken(spans) for spans in exact]
     if graph.spans:
         p = field.beliefs(graph)
         label, sure = p.argmax(axis=1), p.max(axis=1) >= belief
@@ -257,7 +294,7 @@ def all_spans(texts: list[str | None], field: Field, belief: float = BELIEF) ->
                     a += 1
                 while a < b and not text[b - 1].isalnum():
                     b -= 1
-                if a < b and not any(x < b and a < y for _, x, y in exact[d]):
+                if a < b and not taken[d].meets(a, b):
                     added[d].append((int(label[n]) - 1, a, b))
             n = m
     return [(e, sorted(e + x)) for e, x in zip(exact, added)]
@@ -303,7 +340,11 @@ def masked(text: str | None, spans: str) -> str | None:
 
 
 def redact(docs: DataFrame, field: Field, text: str = "text", belief: float = BELIEF) -> DataFrame:
-    """``docs`` with every span in ``text`` replaced by the name of its kind in brackets."""
+    """``docs`` with every span in ``text`` replaced by the name of its kind in brackets.
+
+    A null or empty text stays as it is. Every row is worked on by itself, so rows with null or repeated ids are as well; all other
+    columns pass, whatever their names. A text is held whole in one task.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

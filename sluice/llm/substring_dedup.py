@@ -28,8 +28,8 @@ WINDOW = 13
 MINIMISER = 2
 # A minimiser with this share of all super-k-mers counts as frequent, so there are at most as many as its inverse.
 HOT_SHARE = 1e-4
-# Words whose windows one bucket holds on average, and the fewest buckets.
-BUCKET_WORDS, FEWEST_BUCKETS = 500_000, 512
+# Words whose windows one bucket and one partition hold on average, and the fewest buckets.
+BUCKET_WORDS, PARTITION_WORDS, FEWEST_BUCKETS = 500_000, 4_000_000, 512
 # Text that is worked on together; it bounds the memory of a worker, and copies in it travel once.
 BATCH_BYTES = 5 << 20
 
@@ -254,9 +254,11 @@ def repeated_spans(
             for part in settle([blob for _, blob in group]):
                 yield pa.record_batch({k: pa.array(v, pa.int64()) for k, v in part.items()})
 
+    # Partitions follow the words, so that a task reads a bounded share of them.
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         docs.mapInArrow(deal, "bucket long, packed binary")
-        .repartition("bucket")
+        .repartition(max(least, words // PARTITION_WORDS), "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(count, SPANS)
     )

@@ -194,6 +194,47 @@ def test_languages_of_odd_texts(spark):
     assert [r["lang_pred"] for r in language.identify(frame(spark, rows[:1]), None).collect()] == ["und"]
 
 
+def test_languages_against_exact_sets(spark):
+    """The filters against plain sets of n-grams, made and counted in another way."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    rows = docs.collect()
+    train = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 5 and r["text"] is not None and r["lang"] is not None]
+
+    def grams(text):
+        words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+        line = f" {' '.join(words)} " if words else ""
+        return [line[i : i + n] for n in (3, 4) for i in range(len(line) - n + 1)]
+
+    sets = defaultdict(set)
+    for r in train:
+        sets[r["lang"]].update(grams(r["text"]))
+    filters = language.fit(docs.where(~language.held_out()), sample_docs=10**9, kept=10**9)
+    texts = [r["text"] for r in rows]
+    names, share, evidence = filters.measured(texts)
+    for text, name, s, e in zip(texts, names, share, evidence):
+        all_ = grams(text or "")
+        hits = {lang: sum(g in known for g in all_) for lang, known in sets.items()}
+        if not all_:
+            assert name == "und"
+            continue
+        best = max(hits.values())
+        assert hits[name] >= best - max(2, 0.02 * len(all_))
+        assert abs(s - hits[name] / max(1, sum(hits.values()))) < 0.02 and abs(e - hits[name] / len(all_)) < 0.02
+
+
+def test_only_so_many_languages_are_learned(spark):
+    rows = [(f"word{i} text here", f"l{i % 40:02d}") for i in range(200)] + [("more of it", "l07")] * 3
+    filters = language.fit(spark.createDataFrame(rows, "text string, lang string"), most=10)
+    assert filters.names == ["l07", *[f"l{i:02d}" for i in range(10) if i != 7]]
+
+
+def test_long_texts_are_cut_at_blanks():
+    text = "ab cde\nf" * 50 + "x" * 30
+    parts = list(language.pieces(text, 10))
+    assert "".join(parts) == text and max(map(len, parts)) <= 10
+    assert all(p[0] in " \n" for p in parts[1:40])
+
+
 def test_bit_slices_return_every_language_of_an_ngram():
     import numpy as np
 
@@ -273,6 +314,64 @@ def test_repeated_tokens_share_their_label():
     assert tied[0, 4] > tied[2, 4] > 0.2
 
 
+def test_evidence_crosses_a_document_of_any_length():
+    import numpy as np
+
+    field = personal_data.Field(np.zeros((personal_data.FEATURES, 5)), np.zeros((5, 5)), np.eye(5) * 6)
+    text = "555123" + " a 555123" * 60
+    graph = personal_data.Graph([text, "1 2"])
+    field.unary[personal_data.slot("before ")] = 0
+    field.unary[graph.features[0]] = 0
+    last = graph.features[len(graph.spans) - 3]
+    assert (np.diff(graph.far, axis=1) == 1).all() and len(graph.far) == 60
+    own = personal_data.Field(field.unary, field.near, field.far)
+    graph.features = graph.features.copy()
+    graph.features[60, 0] = 4095  # the last of the repeated tokens is clear
+    own.unary[4095] = [0, 0, 0, 0, 8]
+    beliefs = own.beliefs(graph)
+    assert (beliefs[:61, 4] > 0.5).all() and last is not None
+
+
+def test_messages_give_the_marginals_of_a_chain():
+    import itertools as it
+
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    field = personal_data.Field(rng.normal(size=(personal_data.FEATURES, 5)), rng.normal(size=(5, 5)), rng.normal(size=(5, 5)))
+    graph = personal_data.Graph(["1 22 333 x 1"])
+    assert len(graph.near) == 2 and len(graph.far) == 1
+    graph.near = graph.near[:1]  # 0-1 and 0-3: a tree, on which messages are exact
+    own = field.unary[graph.features].sum(axis=1)
+    exact = np.zeros((4, 5))
+    for labels in it.product(range(5), repeat=4):
+        score = sum(own[i, y] for i, y in enumerate(labels))
+        score += sum(field.near[labels[a], labels[b]] for a, b in graph.near) + sum(field.far[labels[a], labels[b]] for a, b in graph.far)
+        for i, y in enumerate(labels):
+            exact[i, y] += np.exp(score)
+    assert np.allclose(field.beliefs(graph), exact / exact.sum(axis=1, keepdims=True), atol=1e-3)
+
+
+def test_overlaps_are_found_by_bisection():
+    import random
+
+    rnd = random.Random(4)
+    spans = [(0, a, a + rnd.randrange(1, 30)) for a in (rnd.randrange(500) for _ in range(40))]
+    taken = personal_data.Taken(spans)
+    for _ in range(2000):
+        a = rnd.randrange(540)
+        b = a + rnd.randrange(1, 9)
+        assert taken.meets(a, b) == any(x < b and a < y for _, x, y in spans)
+
+
+def test_the_fit_takes_late_tokens_too(spark):
+    rows = [(i, "word 12 " * 100 + f"mail a{i}@b{i}.org and 10.0.0.{i}") for i in range(60)]
+    field = personal_data.fit(frame(spark, rows), sample_tokens=8)
+    assert field.unary.shape == (personal_data.FEATURES, 5)
+    found = personal_data.find(frame(spark, rows), field).collect()
+    assert all((r["n_email"], r["n_ip"]) == (1, 1) for r in found)
+
+
 def test_masking():
     assert personal_data.masked("mail a@b.c, ok", "email:5:10") == "mail [email], ok"
     assert personal_data.masked("abcdef", "email:1:3,ip:2:5") == "a[email]f"

@@ -21,6 +21,7 @@ from sluice.llm.queries import ORACLES, QUERIES
 from sluice.session import scratch_path
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
 VECTORS = "vec_id long, embedding array<float>, bucket int, head string, table int"
 
 
@@ -64,6 +65,59 @@ def test_nearest_against_brute_force(spark):
         assert np.allclose([s for _, s in found[q]], [-s for s, _ in scores], atol=1e-12)
 
 
+@pytest.mark.parametrize("size, count", [(16, 8), (64, 30)])
+def test_every_query_has_the_rows_it_is_owed(spark, size, count):
+    """Small tables fill few buckets; what they do not give is found by comparing with all rows."""
+    rng = np.random.default_rng(size)
+    rows = [(i, rng.normal(size=size).tolist()) for i in range(count)] + [(900, [1.0, 2.0]), (901, [2.0, 1.0]), (902, None)]
+    all_ = vector_frame(spark, rows)
+    found = defaultdict(list)
+    for r in sorted(nearest.search(all_, all_, block=7).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        found[r["query_id"]].append(r["vec_id"])
+    sides = {i: np.array(v, np.float32).astype(float) for i, v in rows if v}
+    for q, v in sides.items():
+        others = sorted((-cosine(v, w), i) for i, w in sides.items() if i != q and len(w) == len(v))
+        assert len(found[q]) == min(5, len(others))
+        if len(others) <= 5 or len(v) == 16:
+            assert set(found[q]) <= {i for _, i in others}
+    assert found[900] == [901] and 902 not in found
+
+
+def test_empty_tables_of_vectors_and_texts(spark):
+    none = vector_frame(spark, [])
+    some = vector_frame(spark, [(1, [1.0, 0.0]), (2, [1.0, 0.1])])
+    assert nearest.search(none, none).count() == nearest.search(none, some).count() == nearest.search(some, none).count() == 0
+    assert vector_dedup.near_duplicates(none).count() == 0
+    docs = spark.createDataFrame([], "doc_id long, text string, ids int, own string")
+    encoded = dropout_bpe.encode(docs, MODEL)
+    assert encoded.count() == 0 and dropout_bpe.decode(encoded, MODEL).count() == 0
+
+
+def test_columns_go_along_with_the_ids(spark):
+    docs = spark.createDataFrame([(1, "a b", 1, "x"), (1, "a b", 2, "y"), (None, "c", 3, None), (None, None, 4, "z")], "doc_id long, text string, n int, own string")
+    encoded = dropout_bpe.encode(docs, MODEL, carry=["n", "own"])
+    assert encoded.columns == ["doc_id", "ids", "ids_crc32", "n", "own"]
+    back = sorted((r["n"], r["doc_id"], r["text"], r["own"]) for r in dropout_bpe.decode(encoded, MODEL).collect())
+    assert back == [(1, 1, "a b", "x"), (2, 1, "a b", "y"), (3, None, "c", None), (4, None, None, "z")]
+    with pytest.raises(ValueError):
+        dropout_bpe.encode(docs, MODEL, carry=["text"])
+
+
+def test_the_merge_dropout_query_keeps_null_and_repeated_ids(spark, tmp_path):
+    rows = [(None, "one two"), (None, "three"), (5, "four"), (5, "four"), (5, None), (6, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op3_merge_dropout"](spark, str(tmp_path)).collect()
+    assert len(got) == 6 and all(r["lossless"] for r in got)
+    assert sorted((r["doc_id"] or 0, r["n_tokens"] is None or r["n_tokens"] <= 0) for r in got).count((5, True)) == 1
+
+
+def test_ids_that_spell_no_text_are_an_error(spark):
+    encoder = dropout_bpe.MergeEncoder(MODEL)
+    lone = encoder.bytes_[0xE9]
+    with pytest.raises(Exception):
+        encoder.decode_all(np.array([lone]), np.array([0, 1]))
+
+
 def test_probes_come_in_the_order_of_success():
     f = np.array([0.1, 0.45, 0.8])
     cost = lambda s: sum(f[p] ** 2 if d < 0 else (1 - f[p]) ** 2 for p, d in s)
@@ -269,9 +323,6 @@ def test_no_python_in_the_license_scan(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
-MODEL = public_tokenizers.path("piece_bpe_32k.model")
-
-
 def test_without_dropout_the_library_agrees(spark):
     import sentencepiece
 

@@ -42,22 +42,30 @@ def partitions_for_rows(row_count: int, per_partition: int = 500_000, most: int
     return wanted if most is None else min(wanted, most)
 
 
-def resize(df: DataFrame, current: int, wanted: int) -> DataFrame:
-    if wanted < current:
-        return df.coalesce(wanted)
-    return df.repartition(wanted) if wanted > current else df
-
-
 def fit_to_size(df: DataFrame, target_mb: float = 128) -> DataFrame:
-    """Repartition or coalesce so a partition holds about ``target_mb`` of estimated data."""
-    wanted = partitions_for_size(estimated_bytes(df) / MB, target_mb)
-    return resize(df, df.rdd.getNumPartitions(), wanted)
+    """Rebalance so a partition holds about ``target_mb`` of the estimated data. Runs no job.
+
+    The rows are dealt evenly in one shuffle, and adaptive execution splits or merges what turns out otherwise.
+    """
+    return rebalanced(df, partitions_for_size(estimated_bytes(df) / MB, target_mb))
 
 
 def fit_to_rows(df: DataFrame, per_partition: int = 500_000, most: int | None = None) -> DataFrame:
-    """Repartition by the number of rows, which is counted first."""
-    wanted = partitions_for_rows(df.count(), per_partition, most)
-    return resize(df, df.rdd.getNumPartitions(), wanted)
+    """The same by the number of rows: the optimizer's, where it has one (as for analysed tables), else from the estimated bytes
+    and the width of a row. Runs no job."""
+    return rebalanced(df, partitions_for_rows(estimated_rows(df), per_partition, most))
+
+
+def estimated_rows(df: DataFrame) -> int:
+    """The optimizer's number of rows, or its bytes over the default width of a row of this schema."""
+    known = df._jdf.queryExecution().optimizedPlan().stats().rowCount()
+    if known.isDefined():
+        return int(str(known.get()))
+    return estimated_bytes(df) // max(1, df._jdf.schema().defaultSize())
+
+
+def rebalanced(df: DataFrame, wanted: int) -> DataFrame:
+    return df.hint("rebalance", wanted) if wanted > 1 else df.coalesce(1)
 
 
 def output_files(df: DataFrame, target_mb: float = 256) -> int:

@@ -35,19 +35,20 @@ BEFORE, DATA, AFTER = 0, 1, 2
 
 def hot_slices(
     df: DataFrame, keys: list[str], by: str, tie: str | None = None, on: str | None = None, slice_rows: int = SLICE_ROWS
-) -> tuple[DataFrame, Column]:
+) -> tuple[DataFrame, Column | None]:
     """The table with its hot keys marked, and the slice of each row along the numeric ``by``.
 
     Keys with more than ``slice_rows`` rows are cut at quantiles of their own rows, so a slice
     holds about that many however the rows lie: one stray value or a burst changes nothing. A
     value that fills slices alone is cut further by ``tie``. All other keys stay whole and cost
     no carry rows. At most ``rows / slice_rows`` keys are hot, which bounds the marked list.
-    ``on`` names the column that the slices are read from, if it is not ``by``.
+    ``on`` names the column that the slices are read from, if it is not ``by``. Without any hot key there are no slices (None), and
+    the steps that would join them fall away.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > slice_rows)
     total_rows = counted.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     if not total_rows:
-        return df.withColumn(HOT, F.lit(False)), F.lit(0).cast("bigint")
+        return df.withColumn(HOT, F.lit(False)), None
     marked = counted.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias(HOT))
     same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
     flagged = df.join(F.broadcast(marked), same, "left").drop(*[f"_hot_{k}" for k in keys])
@@ -60,7 +61,7 @@ def ordered_scan(
     df: DataFrame,
     keys: list[str],
     order: list[str],
-    slice_key: Column,
+    slice_key: Column | None,
     sums: dict[str, Column] | None = None,
     previous: dict[str, Column | str] | None = None,
     following: dict[str, Column | str] | None = None,
@@ -70,9 +71,11 @@ def ordered_scan(
 
     ``slice_key`` must not decrease along ``order`` within a key. With ``peers`` a running sum
     includes all rows that tie with the current one (a RANGE frame); otherwise ties follow
-    ``order``, which then should end in a unique column.
+    ``order``, which then should end in a unique column. Without slices (None) every key stays whole.
     """
     sums, previous, following = sums or {}, previous or {}, following or {}
+    if slice_key is None:
+        return _whole_keys(df, keys, order, sums, previous, following, peers)
     inputs = {f"_in_{n}": col(c) for n, c in {**sums, **previous, **following}.items()}
     rows = df.withColumns({SLICE: slice_key, KIND: F.lit(DATA), **inputs})
 
@@ -108,6 +111,18 @@ def ordered_scan(
     return both.withColumns(added).filter(F.col(KIND) == DATA).drop(SLICE, KIND, *inputs)
 
 
+def _whole_keys(
+    df: DataFrame, keys: list[str], order: list[str], sums: dict, previous: dict, following: dict, peers: bool
+) -> DataFrame:
+    """The plain windows, for keys that are known to be small."""
+    local = Window.partitionBy(*keys).orderBy(*order)
+    running = local if peers else local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    added = {n: F.sum(col(c)).over(running) for n, c in sums.items()}
+    added |= {n: F.lag(col(c)).over(local) for n, c in previous.items()}
+    added |= {n: F.lead(col(c)).over(local) for n, c in following.items()}
+    return df.withColumns(added)
+
+
 def moving_sums(
     df: DataFrame,
     keys: list[str],

@@ -22,7 +22,7 @@ def sessions(
     gap = gap_seconds * 1_000_000
     slim = events.select(key, label, F.col(value).alias("_value"), micros(ts).alias("_us"), F.col(ts).alias("_ts"))
     flagged, slices = hot_slices(slim, [key], "_us", slice_rows=slice_rows)
-    rows_in = flagged.withColumn(SLICE, slices)
+    rows_in = flagged.withColumn(SLICE, F.lit(0) if slices is None else slices)
     local = Window.partitionBy(key, SLICE).orderBy("_us")
     starts = F.coalesce(F.col("_us") - F.lag("_us").over(local) > gap, F.lit(True))
     partial = (

@@ -191,8 +191,8 @@ def rfm(events: DataFrame, buckets: int = 5, slice_rows: int = SLICE_ROWS) -> Da
     The three orders are found together: a row per user and measure, numbered within the measure.
     """
     seen = events.groupBy("user_id").agg(F.max("timestamp").alias("_last"), rows().alias("frequency"), total("amount").alias("monetary"))
-    latest, count = seen.agg(F.max("_last")).scalar(), seen.agg(rows()).scalar()
-    people = seen.select("user_id", F.datediff(latest, "_last").alias("recency_days"), "frequency", "monetary")
+    facts = seen.agg(F.struct(F.max("_last").alias("latest"), rows().alias("users"))).scalar()
+    people = seen.select("user_id", F.datediff(facts["latest"], "_last").alias("recency_days"), "frequency", "monetary", facts["users"].alias("_users"))
 
     def measure(name: str, by: Column, none: Column) -> Column:
         return F.struct(F.lit(name).alias("_measure"), none.alias("_none"), by.cast("double").alias("_by"))
@@ -202,9 +202,10 @@ def rfm(events: DataFrame, buckets: int = 5, slice_rows: int = SLICE_ROWS) -> Da
     others = [measure(n, F.col(c), F.lit(False)) for n, c in (("f", "frequency"), ("m", "monetary"))]
     ranked = people.select("*", F.inline(F.array(recency, *others)))
     flagged, slices = hot_slices(ranked, ["_measure"], "_by", "user_id", slice_rows=slice_rows)
-    order, slices = ["_none", "_by", "user_id"], F.when(F.col("_none"), F.lit(2**62)).otherwise(slices)
-    placed = ordered_scan(flagged, ["_measure"], order, slices, sums={"_position": F.lit(1)})
-    tile = tiles(F.col("_position"), count, buckets)
+    if slices is not None:
+        slices = F.when(F.col("_none"), F.lit(2**62)).otherwise(slices)
+    placed = ordered_scan(flagged, ["_measure"], ["_none", "_by", "user_id"], slices, sums={"_position": F.lit(1)})
+    tile = tiles(F.col("_position"), F.col("_users"), buckets)
     scores = [F.max(F.when(F.col("_measure") == n, tile)).alias(f"{n}_score") for n in "rfm"]
     scored = placed.groupBy("user_id").agg(*[F.max(c).alias(c) for c in ("recency_days", "frequency", "monetary")], *scores)
     return scored.withColumn("segment", F.concat_ws("-", "r_score", "f_score", "m_score"))

@@ -10,7 +10,7 @@ from sluice.queries.catalog import ORACLES, QUERIES
 
 
 # The smallest data has too few rows in an hour for these to find anything.
-NEEDS_MORE = {"alerts", "anomaly_1h", "anomaly_type"}
+NEEDS_MORE = {"alerts", "anomaly_1h", "anomaly_type", "stream_alerts"}
 
 
 @pytest.fixture(scope="module")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
+import statistics
 
 import pytest
 from conftest import SMALL
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.times import time_slice
 from sluice.functions.values import money
-from sluice.operators import joins, ordered, project, sessions
+from sluice.operators import joins, metrics, ordered, project, sessions, windows
 from sluice.plans import analytics
 from sluice.queries.catalog import QUERIES
 from sluice.sources import tables as t
@@ -75,7 +78,8 @@ def test_scan_keeps_rows_without_a_key(spark):
 
 def sizes_of(df, keys, by, tie, rows):
     flagged, slices = ordered.hot_slices(df, keys, by, tie, slice_rows=rows)
-    return [r["count"] for r in flagged.groupBy(*keys, slices.alias("slice")).count().collect()]
+    at = F.lit(0) if slices is None else slices
+    return [r["count"] for r in flagged.groupBy(*keys, at.alias("slice")).count().collect()]
 
 
 def test_a_stray_row_does_not_widen_the_slices(spark):
@@ -243,3 +247,100 @@ def test_cohort_by_day(hot):
     out = analytics.purchase_cohorts(hot)
     assert out.filter("days_since_first < 0 AND active_users <= 0").count() == 0
     assert dict(out.dtypes)["first_purchase_date"] == "date"
+
+
+ODD_AMOUNTS = [1.0, 1e25, 0.0004, 0.0006, None, 123456.789, 1.0, 1.0]
+
+
+@pytest.fixture
+def odd(spark):
+    """Amounts that do not fit the exact type, with more decimals than two, and none, in one user's hour."""
+    at = F.lit("2024-01-01 10:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("n").cast("decimal(18,6)"))
+    rows = [(n, v) for n, v in enumerate(ODD_AMOUNTS)]
+    return spark.createDataFrame(rows, "n INT, amount DOUBLE").select(
+        F.col("n").cast("bigint").alias("event_id"), F.lit(1).cast("bigint").alias("user_id"), F.lit("s").alias("session_id"),
+        F.lit("view").alias("event_type"), F.lit("books").alias("category"), at.alias("timestamp"), "amount",
+    )
+
+
+def test_amounts_that_do_not_fit_are_summed_as_doubles(spark, odd):
+    want = sum(v for v in ODD_AMOUNTS if v is not None)
+    assert sessions.sessions(odd, "user_id", "timestamp", "amount", "event_type").first()["total_value"] == pytest.approx(want)
+    assert sessions.behavior_paths(odd, segment=3).first()["total_value"] == pytest.approx(want)
+    ran = windows.running(odd, ["user_id"], "timestamp", "amount").orderBy("timestamp").collect()
+    assert [r["running_total"] for r in ran] == pytest.approx([1.0] + [1e25] * 7)
+    assert ran[-1]["running_mean"] == pytest.approx(want / 7)
+    trends = windows.daily_trends(odd, "category", "timestamp", "amount").first()
+    assert trends["daily_revenue"] == trends["revenue_ma"] == pytest.approx(want)
+    assert windows.hourly_trend(odd, "timestamp", "amount").first()["revenue"] == pytest.approx(want)
+
+
+@pytest.mark.parametrize("slice_rows", [3, 10**6])
+def test_moving_statistics_of_odd_amounts(spark, odd, slice_rows):
+    later = odd.filter("event_id >= 2").withColumns({"timestamp": F.col("timestamp") + F.expr("INTERVAL 3 HOURS"), "event_id": F.col("event_id") + 100})
+    got = ordered.moving_statistics(odd.union(later), ["user_id"], "timestamp", "amount", 3600, slice_rows).orderBy("event_id").collect()
+    def expected(values):
+        known = [v for v in values if v is not None]
+        return len(known), sum(known) / len(known), statistics.stdev(known) if len(known) > 1 else None
+    for n, r in enumerate(got[:8]):
+        count, mean, deviation = expected(ODD_AMOUNTS[: n + 1])
+        assert (r["moving_count"], r["moving_mean"], r["moving_stddev"]) == (count, pytest.approx(mean), deviation if deviation is None else pytest.approx(deviation))
+    for n, r in enumerate(got[8:]):
+        count, mean, deviation = expected(ODD_AMOUNTS[2 : n + 3])
+        assert (r["moving_count"], r["moving_mean"]) == (count, pytest.approx(mean))
+        assert r["moving_stddev"] == (deviation if deviation is None else pytest.approx(deviation, rel=1e-6))
+
+
+def test_frames_with_what_is_no_number(spark, odd):
+    bad = odd.withColumn("amount", F.when(F.col("event_id") == 1, F.lit(float("nan"))).otherwise(F.col("amount")))
+    got = ordered.moving_statistics(bad, ["user_id"], "timestamp", "amount", 0).orderBy("event_id").collect()
+    assert [r["moving_mean"] is not None and math.isnan(r["moving_mean"]) for r in got] == [False, True] + [False] * 6
+
+
+def scans(df, table):
+    """Scans of a table that a query ran: those in final plans, where an exchange that is used again stands once."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
+    return len(re.findall(rf"ColumnarToRow\n[^\n]*FileScan parquet[^\n]*{table}\.parquet", text))
+
+
+def test_few_scans_and_no_jobs_while_a_query_is_built(spark):
+    users, events_ = t.users(spark, SMALL), t.events(spark, SMALL)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    outer = joins.keep_all(users.select("user_id", "name"), events_.select("user_id", "event_id"), "user_id")
+    salted = joins.salted_join(events_.select("user_id", "event_id"), users.select("user_id", "name"), "user_id", "event_id")
+    live = analytics.live_metrics(events_, F.lit("2024-01-30").cast("date"))
+    assert not list(tracker.getJobIdsForGroup("building"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    paths = sessions.behavior_paths(events_)  # counts its keys first
+    assert (scans(outer, "events"), scans(salted, "events"), scans(live, "events"), scans(paths, "events")) == (2, 2, 1, 1)
+
+
+def test_users_are_scored_from_two_scans(spark):
+    assert scans(analytics.rfm(t.events(spark, SMALL)), "events") <= 2
+
+
+def test_rfm_cut_in_slices_equals_rfm_in_one(spark):
+    whole = analytics.rfm(t.events(spark, SMALL))
+    cut = analytics.rfm(t.events(spark, SMALL), slice_rows=20)
+    assert same(whole, cut)
+
+
+def test_log_points_by_pattern(spark):
+    rows = [("2024-01-01 10:00:05", "ERROR code 7"), ("2024-01-01 10:00:59", "ERROR code x"), ("2024-01-01 10:01:00", "ok code 5 ERROR"), (None, "ERROR"), ("2024-01-01 10:01:01", None)]
+    logs = spark.createDataFrame(rows, "at STRING, line STRING").withColumn("at", F.col("at").cast("timestamp_ntz"))
+    got = metrics.pattern_points(logs, "L", "at", "line", {"Errors": "ERROR", "Codes": "code ([0-9]+)", "None": "never"})
+    assert sorted((r["metric"], r["at"].minute, r["value"], r["unit"]) for r in got.collect()) == [
+        ("Codes", 0, 7.0, "None"), ("Codes", 1, 5.0, "None"), ("Errors", 0, 2.0, "Count"), ("Errors", 1, 1.0, "Count"),
+    ]
+
+
+def test_steps_are_met_within_names_as_like_has_it(spark):
+    names = [["review", "xclickpurchase"], ["view", "purchase", "click"], ["viewclickpurchase"], ["clickview", "click-purchase"], ["view", None, "click", "purchase"]]
+    rows = [(n, i, str(n), v) for n, list_ in enumerate(names) for i, v in enumerate(list_)]
+    base = spark.createDataFrame(rows, "user_id BIGINT, event_id BIGINT, session_id STRING, event_type STRING")
+    events_ = base.withColumns({"timestamp": F.lit("2024-01-01").cast("timestamp_ntz"), "amount": F.lit(1.0)})
+    for segment in (1, 2, 1000):
+        got = {r["user_id"]: r["converted"] for r in sessions.behavior_paths(events_, segment=segment).collect()}
+        assert got == {0: True, 1: False, 2: True, 3: True, 4: True}

@@ -135,9 +135,24 @@ def test_cached_table_can_be_refreshed(spark, folder):
 
 def test_fitting_partitions(spark):
     df = spark.range(0, 1000, 1, 7)
-    assert layout.fit_to_rows(df, per_partition=300).rdd.getNumPartitions() == 3
-    assert layout.fit_to_rows(df, per_partition=50).rdd.getNumPartitions() == 20
-    assert layout.fit_to_size(df).rdd.getNumPartitions() == 1
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    # The optimizer knows the rows of a range; the number is a wish that adaptive execution adjusts.
+    assert "RoundRobinPartitioning(3), REBALANCE" in plan(layout.fit_to_rows(df, per_partition=300))
+    assert "RoundRobinPartitioning(20), REBALANCE" in plan(layout.fit_to_rows(df, per_partition=50))
+    assert "Coalesce 1" in plan(layout.fit_to_size(df))
+    assert layout.fit_to_rows(df, per_partition=300).count() == 1000
+    texts = df.select(F.col("id").cast("string").alias("a")).filter("a <> 'x'")
+    assert layout.estimated_rows(texts) > 0
+
+
+def test_fitting_starts_no_job(spark):
+    tracker, group = spark.sparkContext.statusTracker(), "fitting"
+    spark.sparkContext.setJobGroup(group, group)
+    df = events(spark).groupBy("user_id").count()
+    layout.fit_to_rows(df)
+    layout.fit_to_size(df)
+    assert not list(tracker.getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_broadcast_depends_on_size(spark):

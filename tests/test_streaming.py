@@ -9,8 +9,10 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from sluice.operators import sessions as runs
+from sluice.plans import analytics
+from sluice.sources import datasets
 from sluice.sources import tables as t
-from sluice.streaming import deviation, sinks, source, windows
+from sluice.streaming import closed, deviation, progress, sinks, source, windows
 from sluice.streaming.sessions import stateful_sessions
 
 COLUMNS = [
@@ -98,15 +100,179 @@ def test_stateful_sessions_equal_table(spark, folder, feed):
     assert collected(got.select(*expected.columns)) == collected(expected)
 
 
-def test_deviation_stream_equals_table(spark, folder, feed):
-    raw = stream(spark, feed).filter("event_id >= 0")
-    finish(deviation.score_stream(raw, f"{folder}/history", f"{folder}/out", f"{folder}/cp", limit=2.0))
-    got = spark.read.parquet(f"{folder}/out")
-    columns = ["event_id", "moving_count", "moving_mean", "anomaly_score", "is_anomaly"]
+def mixed_up(spark, path):
+    """The events so that each delivery brings rows of the one before it late, but within twenty days."""
+    half = F.lit("2024-01-15").cast("timestamp")
+    held = F.pmod(F.col("event_id"), F.lit(4)) == 0
+    first, second = events(spark).filter(F.col("timestamp") < half), events(spark).filter(F.col("timestamp") >= half)
+    put(first.filter(~held), path, "1")
+    put(first.filter(held).union(second.filter(~held)), path, "2")
+    put(second.filter(held), path, "3")
+    put(closing(spark), path, "4")
+
+
+def test_deviation_stream_equals_table(spark, folder):
+    mixed_up(spark, f"{folder}/feed")
+    raw = stream(spark, f"{folder}/feed")
+    finish(deviation.score_stream(raw, f"{folder}/store", f"{folder}/out", f"{folder}/cp", limit=2.0, delay_seconds=20 * 86_400))
+    got = spark.read.parquet(f"{folder}/out").filter("event_id >= 0")
+    columns = [*COLUMNS, "moving_count", "moving_mean", "anomaly_score", "is_anomaly"]
     expected = windows.hourly_deviation(events(spark), limit=2.0)
     assert collected(got.select(*columns)) == collected(expected.select(*columns))
 
 
+def test_alert_stream_equals_table(spark, folder):
+    base = dt.datetime(2024, 1, 1)
+    rows = [(n, base + dt.timedelta(seconds=7 * n), 1, "click", 1000.0 if n % 50 == 49 else float(n % 3), "s", "a", "l", 0) for n in range(400)]
+    put(spark.createDataFrame(rows[::2], SCHEMA), f"{folder}/feed", "1")
+    put(spark.createDataFrame(rows[1::2], SCHEMA), f"{folder}/feed", "2")
+    put(closing(spark), f"{folder}/feed", "3")
+    raw = stream(spark, f"{folder}/feed")
+    finish(deviation.alert_stream(raw, f"{folder}/store", f"{folder}/out", f"{folder}/cp", limit=3.0, delay_seconds=3600))
+    expected = windows.alerts(windows.hourly_deviation(spark.createDataFrame(rows, SCHEMA), limit=3.0))
+    assert expected.count() >= 5
+    assert collected(spark.read.parquet(f"{folder}/out").select(*expected.columns)) == collected(expected)
+
+
+def test_path_stream_equals_table(spark, folder, segment=1000):
+    base = dt.datetime(2024, 1, 20, 12)
+    kinds = ["view", "review", "click", "x", "purchase"]
+    long = [(10_000 + n, base + dt.timedelta(seconds=n / 4), 999, kinds[(n // 700) % 5], 1.0, "long", "a", "l", 0) for n in range(3000)]
+    put(spark.createDataFrame(long[::-1], SCHEMA), f"{folder}/feed", "0")
+    mixed_up(spark, f"{folder}/feed")
+    form = lambda df: runs.behavior_paths(df, segment=segment)
+    finish(deviation.path_stream(stream(spark, f"{folder}/feed"), f"{folder}/store", f"{folder}/out", f"{folder}/cp", form, delay_seconds=20 * 86_400))
+    expected = form(events(spark).union(spark.createDataFrame(long, SCHEMA)))
+    got = spark.read.parquet(f"{folder}/out").filter("user_id >= 0")
+    assert collected(got.select(*expected.columns)) == collected(expected)
+    assert got.filter("session_id = 'long'").count() == 3000 // segment
+
+
+def test_stored_hours_are_forgotten_and_batches_can_come_again(spark, folder, feed):
+    store, seen = f"{folder}/store", []
+
+    def work(rows, batch_id):
+        seen.append((batch_id, rows.filter(closed.OWN).count(), rows.filter(~F.col(closed.OWN)).count()))
+        if len(seen) == 2:
+            raise RuntimeError("lost")
+
+    def run():
+        return closed.closed_batches(stream(spark, feed), "timestamp", store, work, f"{folder}/cp", lookback_seconds=3600)
+
+    query = run()
+    with pytest.raises(Exception):
+        query.awaitTermination(240)
+    finish(run())
+    ids = [b for b, _, _ in seen]
+    assert ids == [0, 1, 1, 2] and seen[1] == seen[2]
+    # The latest rows stand at the watermark, and the closing row closes them.
+    assert sum(own for _, own, _ in [seen[0], *seen[2:]]) == events(spark).count()
+    hours = [p for p in (path.name for path in (__import__("pathlib").Path(store) / "rows" / "late=false").iterdir()) if p.startswith("hour=")]
+    assert 0 < len(hours) < 60
+
+
+def test_late_rows_are_stored_as_many_as_spark_drops(spark, folder):
+    path = f"{folder}/feed"
+    base = closing(spark).drop("timestamp")
+    for name, texts in (
+        ("1", ["2024-01-01 10:00:00", "2024-01-01 12:00:00"]), ("2", ["2024-01-01 12:00:01"]), ("3", ["2024-01-01 12:00:02"]),
+        ("4", ["2024-01-01 11:00:00", "2024-01-01 11:59:00", "2024-01-01 11:59:59"]), ("5", ["2024-01-02 00:00:00"]),
+    ):
+        rows = base.withColumn("timestamp", F.explode(F.array(*[F.lit(x).cast("timestamp") for x in texts]))).select(*COLUMNS)
+        put(rows if name != "5" else rows.union(base.withColumn("timestamp", F.lit(None).cast("timestamp")).select(*COLUMNS)), path, name)
+    out = f"{folder}/out"
+    finish(closed.closed_batches(stream(spark, path), "timestamp", f"{folder}/store", lambda rows, n: sinks.write_batch(rows, out, n), f"{folder}/cp"))
+    late = closed.late_rows(spark, f"{folder}/store", base.withColumn("timestamp", F.lit(None).cast("timestamp")).select(*COLUMNS))
+    delays = sorted((r["late_us"] is None, r["late_us"]) for r in late.collect())
+    assert delays == [(False, 57_000_000), (False, 3_597_000_000 - 0), (True, None)]
+    with progress.ProgressLog(spark) as log:
+        deduplicated = stream(spark, path).dropDuplicatesWithinWatermark(["timestamp"])
+        log.wait(sinks.append_rows(deduplicated, f"{folder}/once", f"{folder}/cp2", "parquet"))
+    assert log.table().agg(F.sum("dropped_rows")).first()[0] == 2
+
+
+def test_distinct_counts_keep_one_value_a_state_row(spark, folder):
+    many = spark.range(200_000).select(
+        F.col("id").alias("event_id"), F.lit("2024-01-01 10:00:00").cast("timestamp").alias("timestamp"), F.pmod("id", F.lit(150_000)).alias("user_id"),
+        F.lit("view").alias("event_type"), F.lit(0.5).alias("amount"), F.lit("s").alias("session_id"), F.lit("a").alias("ip_address"), F.lit("l").alias("log_type"),
+        F.lit(1).alias("response_size"),
+    )
+    put(many, f"{folder}/feed", "1")
+    put(closing(spark), f"{folder}/feed", "2")
+    query = finish(sinks.append_rows(windows.by_type(stream(spark, f"{folder}/feed")), f"{folder}/out", f"{folder}/cp", "parquet"))
+    assert "collect_set" not in query._jsq.explainInternal(True)
+    got = spark.read.parquet(f"{folder}/out").filter("event_type = 'view'").collect()
+    assert [(r["event_count"], r["unique_users"], r["total_value"]) for r in got] == [(200_000, 150_000, 100_000.0)]
+
+
+def test_score_stream_equals_table_at_any_moment(spark, folder):
+    mixed_up(spark, f"{folder}/feed")
+    moment = F.lit("2024-02-01").cast("timestamp")
+    form = lambda df: analytics.behavior_score(df, moment, 86_400.0).select("window.start", "user_id", "category", "behavior_score", "last_activity")
+    raw = stream(spark, f"{folder}/feed", "20 days").withColumn("category", F.col("log_type"))
+    finish(sinks.append_rows(form(raw), f"{folder}/out", f"{folder}/cp", "parquet"))
+    got = spark.read.parquet(f"{folder}/out").filter("user_id >= 0")
+    assert collected(got) == collected(form(events(spark).withColumn("category", F.col("log_type"))))
+
+
+def test_live_day_follows_the_latest_day(spark, folder):
+    schema = SCHEMA + ", category STRING"
+    path, out = f"{folder}/feed", f"{folder}/live"
+    day = lambda d: events(spark).filter(F.to_date("timestamp") == d).withColumn("category", F.col("log_type"))
+
+    def run():
+        raw = windows.watermarked(source.file_stream(spark, f"{path}/*", schema, files_per_trigger=1), "timestamp", "1 day")
+        finish(sinks.live_day(raw, "timestamp", f"{folder}/store", out, f"{folder}/cp"))
+        return collected(spark.read.parquet(out).drop("day"))
+
+    def table(df, d):
+        return collected(analytics.live_metrics(df.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")), F.lit(d).cast("date")))
+
+    even = F.col("event_id") % 2 == 0
+    put(day("2024-01-03").filter(even), path, "1")
+    assert run() == table(day("2024-01-03").filter(even), "2024-01-03")
+    put(day("2024-01-03").filter(~even), path, "2")
+    assert run() == table(day("2024-01-03"), "2024-01-03")
+    put(day("2024-01-04"), path, "3")
+    assert run() == table(day("2024-01-04"), "2024-01-04")
+
+
+def test_batches_take_no_more_bytes_than_given(spark, folder):
+    path = f"{folder}/feed"
+    for n in range(6):
+        put(events(spark).filter(F.pmod(F.col("event_id"), F.lit(6)) == n), path, str(n))
+    sizes = [f.stat().st_size for f in __import__("pathlib").Path(path).glob("*/*.parquet")]
+    limit = 2 * max(sizes)
+    raw = source.file_stream(spark, f"{path}/*", SCHEMA, bytes_per_trigger=limit)
+    query = finish(sinks.append_rows(raw, f"{folder}/out", f"{folder}/cp", "parquet"))
+    batches = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    assert 3 <= len(batches) <= 6 and spark.read.parquet(f"{folder}/out").count() == events(spark).count()
+    with pytest.raises(ValueError):
+        source.file_stream(spark, path, SCHEMA, files_per_trigger=1, bytes_per_trigger=1)
+
+
+def test_progress_of_all_streams_is_kept_and_flushed(spark, folder, feed):
+    with progress.ProgressLog(spark) as log:
+        for n in range(2):
+            log.wait(sinks.append_rows(stream(spark, feed), f"{folder}/out{n}", f"{folder}/cp{n}", "parquet"))
+    assert log.table().groupBy("run_id").agg(F.sum("input_rows").alias("n")).select("n").distinct().collect()[0][0] == events(spark).count() + 1
+    log.flush(f"{folder}/metrics")
+    assert log.table().count() == 0 and spark.read.parquet(f"{folder}/metrics").count() == 6
+
+
+def test_data_set_is_read_again_only_when_files_change(spark, folder):
+    path = f"{folder}/data"
+    spark.range(5).write.parquet(path)
+    first = datasets.in_memory(spark, "held_rows", path)
+    assert first.count() == 5 and spark.catalog.isCached("held_rows")
+    version = spark.conf.get(datasets.VERSION + "held_rows")
+    assert datasets.in_memory(spark, "held_rows", path).count() == 5 and spark.conf.get(datasets.VERSION + "held_rows") == version
+    spark.range(5, 8).write.mode("append").parquet(path)
+    assert datasets.in_memory(spark, "held_rows", path).count() == 8 and spark.conf.get(datasets.VERSION + "held_rows") != version
+    datasets.release(spark, "held_rows")
+    assert not spark.catalog.tableExists("held_rows")
+
+
 def test_late_rows_are_dropped_and_early_ones_kept(spark, folder):
     path = f"{folder}/feed"
     base = closing(spark).drop("timestamp")

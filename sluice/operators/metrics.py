@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,6 +77,42 @@ COMPARE = {
 }
 
 
+@dataclass(frozen=True)
+class AlarmRule:
+    """ALARM once a statistic of a metric breaks its limit ``periods`` times in a row."""
+
+    name: str
+    metric: str
+    statistic: str
+    comparison: str
+    threshold: float
+    periods: int = 1
+
+
+def alarm_table(statistics: DataFrame, rules: Sequence[AlarmRule], period_seconds: int = 300, dimensions: Sequence[str] = ()) -> DataFrame:
+    """State of every alarm per period, from one pass over the statistics.
+
+    Every combination of the dimensions has a state of its own. A period without data breaks
+    a row of breaches: the frame counts periods, not rows.
+    """
+    watched = [
+        F.when(
+            F.col("metric") == r.metric,
+            F.struct(F.lit(r.name).alias("alarm"), F.col(r.statistic).alias("value"), COMPARE[r.comparison](F.col(r.statistic), F.lit(r.threshold)).alias("_breach")),
+        )
+        for r in rules
+    ]
+    number = F.floor(F.unix_timestamp(F.col("period_start").cast("timestamp")) / F.lit(period_seconds))
+    keys = ["namespace", "metric", *dimensions]
+    series = statistics.select(*keys, "period_start", number.alias("_period"), F.inline(F.array_compact(F.array(*watched))))
+    turn = Window.partitionBy(*keys, "alarm").orderBy("_period")
+    state = F.lit("OK")
+    for r in rules:
+        broken = F.count_if("_breach").over(turn.rangeBetween(1 - r.periods, 0))
+        state = F.when((F.col("alarm") == r.name) & (broken >= r.periods), "ALARM").otherwise(state)
+    return series.select("alarm", *keys, "period_start", "value", state.alias("state"))
+
+
 def alarms(
     statistics: DataFrame,
     metric: str,
@@ -86,20 +123,9 @@ def alarms(
     period_seconds: int = 300,
     dimensions: Sequence[str] = (),
 ) -> DataFrame:
-    """State of one alarm per period: ALARM once the limit is broken ``periods`` times in a row.
-
-    Every combination of the dimensions has a state of its own. A period without data breaks
-    a row of breaches: the frame counts periods, not rows.
-    """
-    series = statistics.filter(F.col("metric") == metric)
-    breach = COMPARE[comparison](F.col(statistic), F.lit(threshold))
-    number = F.floor(F.unix_timestamp(F.col("period_start").cast("timestamp")) / F.lit(period_seconds))
-    keys = ["namespace", "metric", *dimensions]
-    w = Window.partitionBy(*keys).orderBy("_period").rangeBetween(1 - periods, 0)
-    state = F.when(F.count_if("_breach").over(w) >= periods, "ALARM").otherwise("OK")
-    return series.withColumns({"_breach": breach, "_period": number}).select(
-        *keys, "period_start", F.col(statistic).alias("value"), state.alias("state")
-    )
+    """State of one alarm per period; see :func:`alarm_table`."""
+    rule = AlarmRule(metric, metric, statistic, comparison, threshold, periods)
+    return alarm_table(statistics, [rule], period_seconds, dimensions).drop("alarm")
 
 
 # Success rates in percent below which an alarm level is reached.

@@ -67,8 +67,8 @@ def moving_mean(series: DataFrame, keys: list[str], at: str, value: str, n: int,
 
 def contribution(series: DataFrame, group: str, value: str) -> DataFrame:
     """Group total and mean on every row, with the row's ratio to the mean and share of the total."""
-    totals = series.groupBy(group).agg(total(value).alias("group_total"), F.count(value).alias("_n"))
-    out = series.join(totals, group).withColumn("group_mean", ratio("group_total", "_n")).drop("_n")
+    whole = Window.partitionBy(group)
+    out = series.withColumns({"group_total": total_over(value, whole), "group_mean": exact_mean(value, whole)})
     return out.withColumns(
         {"to_group_mean": ratio(value, "group_mean"), "share_percent": percent(value, "group_total")}
     )

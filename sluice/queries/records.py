@@ -482,13 +482,11 @@ BY_TYPE = f"""SELECT 'DataQuality/Streaming' AS namespace, metric, log_type, tim
 )
 def alarms(spark, folder):
     """Both alarms for each kind of log; a period without records breaks a row of breaches."""
-    series = statistics_by_type(spark, folder)
-    by = ["log_type"]
-    many = metrics.alarms(series, "InvalidRecords", "sum", "GreaterThanThreshold", 1, dimensions=by)
-    poor = metrics.alarms(series, "DataQualityRate", "average", "LessThanThreshold", 80, periods=2, dimensions=by)
-    return many.select(F.lit("High-Invalid-Data").alias("alarm"), "*").union(
-        poor.select(F.lit("Low-Data-Quality-Rate"), "*")
-    )
+    rules = [
+        metrics.AlarmRule("High-Invalid-Data", "InvalidRecords", "sum", "GreaterThanThreshold", 1),
+        metrics.AlarmRule("Low-Data-Quality-Rate", "DataQualityRate", "average", "LessThanThreshold", 80, periods=2),
+    ]
+    return metrics.alarm_table(statistics_by_type(spark, folder), rules, dimensions=["log_type"])
 
 
 @query(

@@ -19,7 +19,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from sluice.llm.components import stored
+from sluice.llm.components import dropped, stored
 from sluice.session import scratch_path
 
 CHUNK = 1 << 16
@@ -37,43 +37,56 @@ CHUNKS = (
 )
 
 
-def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST_REVISIT) -> DataFrame:
-    """``page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to`` of every page.
+def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """``page_id, url, payload, payload_bytes, payload_digest`` of every page.
 
-    The payload is the page in UTF-8, empty for null. Of equal payloads of at least ``least``
-    bytes, the one with the largest id is the response and the others revisit it. Rows without an id,
-    and rows that share the largest id, are responses. Other columns are ignored.
+    The payload is the page in UTF-8, empty for null. Other columns are ignored.
     """
     payload = F.coalesce(F.col(html).cast("string"), F.lit("")).cast("binary")
     all_ = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), payload.alias("payload"))
-    all_ = all_.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("payload_digest", F.sha1("payload"))
-    # Digests first, and only those that occur again; a popular page is summed up before it is shuffled.
-    again = (
-        all_.where(F.col("payload_bytes") >= least)
-        .groupBy("payload_digest")
-        .agg(F.max("page_id").alias("response"), F.count("*").alias("copies"))
-        .where("copies > 1")
-        .select("payload_digest", "response")
-    )
-    revisit = F.coalesce((F.col("payload_bytes") >= least) & (F.col("page_id") != F.col("response")), F.lit(False))
-    return all_.join(again, "payload_digest", "left").select(
-        "page_id",
-        "url",
-        F.when(~revisit, F.col("payload")).alias("payload"),
-        "payload_bytes",
-        "payload_digest",
-        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("response")).alias("refers_to"),
-    )
+    return all_.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("payload_digest", F.sha1("payload"))
+
+
+def revisits(found: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
+    """``payload_digest, page_id, response`` for every page that revisits another one.
 
+    Of equal payloads of at least ``least`` bytes, the one with the largest id is the response. Rows
+    without an id, and rows that share the largest id, are responses. Only digests and ids are
+    shuffled; a popular page is summed up before.
+    """
+    held = found.where((F.col("payload_bytes") >= least) & F.col("page_id").isNotNull()).select("payload_digest", "page_id").distinct()
+    again = held.groupBy("payload_digest").agg(F.max("page_id").alias("response"), F.count("*").alias("pages")).where("pages > 1")
+    return held.join(again, "payload_digest").where("page_id < response").select("payload_digest", "page_id", "response")
+
+
+def chunked(found: DataFrame, least: int = LEAST_REVISIT, chunk: int = CHUNK, used: list[str] | None = None) -> DataFrame:
+    """One row per chunk of each record, the rows of a record together and in order.
 
-def chunked(found: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """One row per chunk of each record, in order; a record without a payload has one empty chunk."""
-    stored_bytes = F.coalesce(F.octet_length("payload"), F.lit(0))
-    last = F.greatest(F.lit(0), F.floor((stored_bytes - 1) / chunk)).cast("int")
-    numbered = found.withColumn("last_chunk", last).withColumn("chunk_no", F.explode(F.sequence(F.lit(0), "last_chunk")))
-    piece = F.coalesce(F.substring("payload", F.col("chunk_no") * chunk + 1, F.lit(chunk)), F.lit(b""))
-    return numbered.select("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "chunk_no", piece.alias("chunk"))
+    A record without a payload, as a revisit is, has one empty chunk. Payloads are cut where they are
+    read, so no whole one is shuffled or sorted. The revisits are written first: while they are
+    small enough for a broadcast, the chunks they let out go before any shuffle; beyond, chunks meet
+    them by digest and id, so that a popular page is no hot key.
+    """
+    known = stored(revisits(found, least), "warc-revisits", used)
+    last = F.greatest(F.lit(0), F.floor((F.col("payload_bytes") - 1) / chunk)).cast("int")
+    pieces = F.transform(F.sequence(F.lit(0), last), lambda n: F.substring("payload", n * chunk + 1, F.lit(chunk)))
+    # Rows that are equal in all columns are told apart by where they are read; their chunks come from one task.
+    placed = found.withColumn("copy", F.monotonically_increasing_id())
+    facts = ("page_id", "url", "payload_bytes", "payload_digest", "copy")
+    rows = placed.select(*facts, F.posexplode(pieces).alias("chunk_no", "chunk")).join(known, ["payload_digest", "page_id"], "left")
+    revisit = F.col("response").isNotNull()
+    return (
+        rows.where(~revisit | (F.col("chunk_no") == 0))
+        .select(
+            *facts,
+            F.when(revisit, "revisit").otherwise("response").alias("record_type"),
+            F.col("response").alias("refers_to"),
+            "chunk_no",
+            F.when(revisit, F.lit(b"")).otherwise(F.col("chunk")).alias("chunk"),
+        )
+        .sortWithinPartitions("payload_digest", "page_id", "url", "copy", "chunk_no")
+        .drop("copy")
+    )
 
 
 def record_name(page: int | None, digest: str) -> str:
@@ -257,11 +270,13 @@ def read(index: DataFrame) -> DataFrame:
     return index.select("archive", "place", "size").mapInArrow(get, CHUNKS)
 
 
-def round_trip(pages: DataFrame, folder: str | None = None, **columns: str) -> DataFrame:
+def round_trip(pages: DataFrame, folder: str | None = None, least: int = LEAST_REVISIT, **columns: str) -> DataFrame:
     """Write all pages into archives below ``folder`` (the shared folder if none is named) and read them back."""
-    folder = folder or scratch_path(pages.sparkSession, "warc")
-    ordered = records(pages, **columns).sortWithinPartitions("payload_digest", "page_id", "url")
-    return read(write(chunked(ordered), folder))
+    spark, used = pages.sparkSession, []
+    folder = folder or scratch_path(spark, "warc")
+    index = write(chunked(records(pages, **columns), least, used=used), folder)
+    dropped(spark, used)
+    return read(index)
 
 
 def summary(chunks: DataFrame) -> DataFrame:

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.functions.times import day, hour_label, micros, month_label
-from sluice.functions.values import combined_total, mean, partial_total, percent, ratio, rows, total
-from sluice.operators.aggregates import shares, weekday_hour_table
+from sluice.functions.times import day, hour_label, micros, month_label, weekday_name
+from sluice.functions.values import col, combined_total, mean, partial_total, percent, ratio, rows, total
 from sluice.operators.joins import with_group_values
 from sluice.operators.ordered import SLICE_ROWS, hot_slices, ordered_scan, tiles
 
@@ -314,15 +313,38 @@ def daily_sales(events: DataFrame) -> DataFrame:
     )
 
 
-def dashboard(events: DataFrame, top: int = 10) -> dict[str, DataFrame]:
-    """The four tables of a business dashboard, from all rows."""
-    spent = events.groupBy("user_id").agg(total("amount").alias("amount"))
-    return {
-        "daily_revenue": events.groupBy(day("timestamp").alias("date")).agg(total("amount").alias("amount")),
-        "category_shares": shares(events, ["category"]),
-        "heat_table": weekday_hour_table(events, "timestamp"),
-        "top_users": spent.orderBy(F.desc("amount"), "user_id").limit(top),
-    }
+def dashboard(events: DataFrame, top: int = 10) -> DataFrame:
+    """The four tables of a business dashboard as ``section, item, value``, from all rows.
+
+    Revenue by day, shares by category and the table of weekdays and hours come from one aggregation by hour
+    and category; the users are read by themselves, as only the first of them are wanted.
+    """
+    parts = events.groupBy(day("timestamp").alias("date"), F.hour("timestamp").alias("hour"), "category").agg(rows().alias("_rows"), *partial_total("amount"))
+    keys = [F.col(c) for c in ("date", "category", "day_name", "hour")]
+    # The grouping number has a bit per column that is left out, the last column lowest.
+    days, categories, cells = 0b0111, 0b1011, 0b1100
+    grouped = (
+        parts.withColumn("day_name", weekday_name(F.dayofweek("date")))
+        .groupingSets([[keys[0]], [keys[1]], keys[2:]], *keys)
+        .agg(F.grouping_id().alias("_set"), F.sum("_rows").alias("_n"), combined_total().alias("_amount"))
+    )
+    at_hour = [F.coalesce(F.sum(F.when(F.col("hour") == h, F.col("_n"))), F.lit(0)).alias(f"h{h:02d}") for h in range(24)]
+    lines = grouped.groupBy("_set", "date", "category", "day_name").agg(F.sum("_n").alias("_n"), F.max("_amount").alias("_amount"), *at_hour)
+    # A row per day, category and weekday is left, which one task can hold.
+    all_rows = F.sum("_n").over(Window.partitionBy("_set"))
+    lines = lines.withColumn("_share", percent("_n", all_rows))
+
+    def line(section: str, item: Column, value: Column | str) -> Column:
+        return F.struct(F.lit(section).alias("section"), item.cast("string").alias("item"), col(value).cast("double").alias("value"))
+
+    per_hour = F.array(*[line("heat_table", F.concat_ws(" ", "day_name", F.lit(f"{h:02d}")), f"h{h:02d}") for h in range(24)])
+    told = (
+        F.when(F.col("_set") == days, F.array(line("daily_revenue", F.col("date"), "_amount")))
+        .when(F.col("_set") == categories, F.array(line("category_shares", F.col("category"), "_share")))
+        .when(F.col("_set") == cells, per_hour)
+    )
+    spent = events.groupBy("user_id").agg(total("amount").alias("amount")).orderBy(F.desc("amount"), "user_id").limit(top)
+    return lines.select(F.inline(told)).union(spent.select(F.inline(F.array(line("top_users", F.col("user_id"), "amount")))))
 
 
 def live_metrics(events: DataFrame, date: Column) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.times import hour_label
@@ -79,26 +79,29 @@ def active_users(logs: DataFrame, n: int = 50) -> DataFrame:
 
 
 def summary_of_reports(logs: DataFrame) -> DataFrame:
-    """Figures computed from the reports above rather than from the logs."""
-    types, hours, addresses = by_log_type(logs), by_hour(logs), top_addresses(logs)
-    status = by_status(logs)
-    totals = types.agg(F.sum("total_events").alias("total_events"), F.sum("unique_ips").alias("total_unique_ips"))
-    per_type = hours.groupBy("log_type").agg(
-        F.try_divide(F.sum("events_per_hour"), rows()).alias("mean_per_hour"),
-        F.max("events_per_hour").alias("max_per_hour"),
+    """Figures over the groups of the reports above, from two aggregations: by hour and status, and by address."""
+    per_status = logs.groupBy("log_type", F.date_trunc("hour", "timestamp").alias("hour"), "status_code").agg(rows().alias("_n"))
+
+    def added(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("_n")))
+
+    rate = percent(added(F.col("status_code") >= 400), added(F.col("status_code").isNotNull()))
+    per_hour = per_status.groupBy("log_type", "hour").agg(F.sum("_n").alias("_n"))
+    hourly = per_hour.groupBy("log_type").agg(
+        F.try_divide(F.sum("_n"), rows()).alias("mean_per_hour"), F.max("_n").alias("max_per_hour")
     )
-    failures = F.sum(F.when(F.col("status_code") >= 400, F.col("status_count")))
-    top_ten = addresses.orderBy(F.desc("request_count"), "ip_address").limit(10)
-    ten = top_ten.agg(F.sum("request_count")).scalar()
+    seen = logs.groupBy("ip_address", "log_type").agg(rows().alias("_n"))
+    totals = seen.agg(F.sum("_n").alias("total_events"), F.count("ip_address").alias("total_unique_ips"))
+    counted = seen.groupBy("ip_address").agg(F.sum("_n").alias("request_count"))
+    busiest = counted.orderBy(F.desc("request_count"), "ip_address").limit(100)
+    # At most a hundred addresses are left.
+    first = F.row_number().over(Window.orderBy(F.desc("request_count"), "ip_address")) <= 10
+    share = percent(F.sum(F.when(F.col("_first"), F.col("request_count"))), F.sum("request_count"))
     return (
         totals.select(F.inline(_items("total_events", "total_unique_ips")))
-        .union(per_type.select(F.inline(_items("mean_per_hour", "max_per_hour", label="log_type"))))
-        .union(status.agg(percent(failures, F.sum("status_count")).alias("value")).select(F.lit("error_rate"), "value"))
-        .union(
-            addresses.agg(F.sum("request_count").alias("all")).select(
-                F.lit("top_10_ip_share"), percent(ten, "all")
-            )
-        )
+        .union(per_status.agg(rate.alias("error_rate")).select(F.inline(_items("error_rate"))))
+        .union(hourly.select(F.inline(_items("mean_per_hour", "max_per_hour", label="log_type"))))
+        .union(busiest.withColumn("_first", first).agg(share.alias("top_10_ip_share")).select(F.inline(_items("top_10_ip_share"))))
     )
 
 

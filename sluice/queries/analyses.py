@@ -285,23 +285,7 @@ def daily_sales(spark, folder):
     "ev",
 )
 def dashboard_data(spark, folder):
-    parts = analytics.dashboard(t.events(spark, folder))
-    chosen = {
-        "daily_revenue": ("date", "amount"),
-        "category_shares": ("category", "percentage"),
-        "top_users": ("user_id", "amount"),
-    }
-    out = None
-    for name, (item, value) in chosen.items():
-        lines = parts[name].select(
-            F.lit(name).alias("section"),
-            F.col(item).cast("string").alias("item"),
-            F.col(value).cast("double").alias("value"),
-        )
-        out = lines if out is None else out.union(lines)
-    hours = [f"{h:02d}" for h in range(24)]
-    cells = F.array(*[F.struct(F.concat_ws(" ", "day_name", F.lit(h)).alias("item"), F.col(f"h{h}").cast("double").alias("value")) for h in hours])
-    return out.union(parts["heat_table"].select(F.lit("heat_table"), F.inline(cells)))
+    return analytics.dashboard(t.events(spark, folder))
 
 
 LIVE = f"count(*) AS events, count(DISTINCT user_id) AS users, {TOTAL} AS amount"

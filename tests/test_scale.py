@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from sluice.functions.times import time_slice
 from sluice.functions.values import money
 from sluice.operators import joins, metrics, ordered, project, sessions, windows
-from sluice.plans import analytics
+from sluice.plans import analytics, log_reports
 from sluice.queries.catalog import QUERIES
 from sluice.sources import tables as t
 from sluice.streaming import windows as stream_windows
@@ -344,3 +344,9 @@ def test_steps_are_met_within_names_as_like_has_it(spark):
     for segment in (1, 2, 1000):
         got = {r["user_id"]: r["converted"] for r in sessions.behavior_paths(events_, segment=segment).collect()}
         assert got == {0: True, 1: False, 2: True, 3: True, 4: True}
+
+
+def test_reports_of_several_tables_read_the_rows_twice_at_most(spark):
+    rows = t.events(spark, SMALL)
+    reports = analytics.dashboard(rows), log_reports.summary_of_reports(rows), metrics.capacity_report(rows, "timestamp", F.col("response_size"), "user_id")
+    assert [scans(r, "events") <= 2 for r in reports] == [True] * 3

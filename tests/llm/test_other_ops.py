@@ -231,6 +231,22 @@ def test_archives_round_trip(spark):
     assert warc.summary(warc.round_trip(pages.limit(0))).count() == 0
 
 
+def test_archives_do_not_depend_on_how_chunks_meet_revisits(spark):
+    pages = spark.createDataFrame(PAGES * 2, "page_id long, url string, html string").repartition(5)
+    told = {}
+    for limit in ("10MB", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            chunks = warc.chunked(warc.records(pages))
+            told[limit] = sorted(map(tuple, warc.summary(warc.round_trip(pages)).collect()), key=repr)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        # A page is not shuffled whole, and a revisit not at all beyond its first chunk.
+        assert max(len(r["chunk"]) for r in chunks.collect()) <= warc.CHUNK
+        assert {r["chunk_no"] for r in chunks.where("record_type = 'revisit'").collect()} == {0}
+    assert told["10MB"] == told["-1"] == sorted(expected_pages() * 2, key=repr)
+
+
 def test_archives_are_gzip_members_with_standard_headers(spark):
     pages = spark.createDataFrame(PAGES[:5], "page_id long, url string, html string").coalesce(1)
     folder = scratch_path(spark, "warc-test")

@@ -91,7 +91,7 @@ def summary_of_reports(logs: DataFrame) -> DataFrame:
         F.try_divide(F.sum("_n"), rows()).alias("mean_per_hour"), F.max("_n").alias("max_per_hour")
     )
     seen = logs.groupBy("ip_address", "log_type").agg(rows().alias("_n"))
-    totals = seen.agg(F.sum("_n").alias("total_events"), F.count("ip_address").alias("total_unique_ips"))
+    totals = seen.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_events"), F.count("ip_address").alias("total_unique_ips"))
     counted = seen.groupBy("ip_address").agg(F.sum("_n").alias("request_count"))
     busiest = counted.orderBy(F.desc("request_count"), "ip_address").limit(100)
     # At most a hundred addresses are left.

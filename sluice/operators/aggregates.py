@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import types as T
 
 from sluice.functions.times import weekday_name
 from sluice.functions.values import mean, money, percent, rows, total
+from sluice.operators.ordered import quantiles
 from sluice.operators.project import ID_COLUMNS, NUMERIC, TIMES, columns_of
 
 
@@ -84,10 +87,16 @@ def weekday_counts(df: DataFrame, ts: str) -> DataFrame:
 
 
 def quartiles(df: DataFrame, columns: list[str], keys: list[str] | None = None) -> DataFrame:
+    """Exact quartiles of each column per key, or of the whole table."""
+    keys = keys or []
     marks = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    return df.groupBy(*(keys or [])).agg(
-        *[F.percentile_approx(c, p).alias(f"{c}_{n}") for c in columns for n, p in marks.items()]
-    )
+    found = [quantiles(df, keys, c, {f"{c}_{n}": p for n, p in marks.items()}) for c in columns]
+    out = found[0]
+    for more in found[1:]:
+        other = more.withColumnsRenamed({k: f"_{k}" for k in keys})
+        same = reduce(and_, [out[k].eqNullSafe(other[f"_{k}"]) for k in keys], F.lit(True))
+        out = out.join(other, same).drop(*[f"_{k}" for k in keys])
+    return out
 
 
 def sign_split(df: DataFrame, value: str) -> DataFrame:

@@ -330,6 +330,27 @@ def with_ranks(df: DataFrame, ranks: DataFrame, by: str) -> DataFrame:
     return df.join(ranked, F.col(by).eqNullSafe(F.col("_ranked"))).drop("_ranked")
 
 
+def quantiles(
+    df: DataFrame, keys: list[str], value: str, marks: dict[str, float], slice_rows: int = SLICE_ROWS
+) -> DataFrame:
+    """Exact quantiles, one row per key: the smallest value that at least this share of the known values does not exceed.
+
+    Rows are counted per value first, so ties shuffle as one row per task, and a key with very many values is cut into
+    slices. Null is no value; a key without values has null quantiles. ``marks`` names the quantiles.
+    """
+    named = df.groupBy(*keys, F.col(value).alias("_value")).agg(F.count(value).alias("_n"))
+    counted = settled(named.select(F.struct(*keys, F.lit(0)).alias("_key"), "_value", "_n"))
+    flagged, slices = hot_slices(counted, ["_key"], "_value", slice_rows=slice_rows)
+    scanned = ordered_scan(flagged, ["_key"], ["_value"], slices, sums={"_through": F.col("_n")})
+    known = counted.groupBy(F.col("_key").alias("_whole")).agg(F.sum("_n").alias("_all"))
+    reached = [
+        F.min(F.when(F.col("_through") >= F.greatest(F.lit(1), F.ceil(F.col("_all") * share)), F.col("_value"))).alias(name)
+        for name, share in marks.items()
+    ]
+    found = scanned.join(known, F.col("_key") == F.col("_whole")).groupBy("_key").agg(*reached)
+    return found.select(*[F.col("_key")[k].alias(k) for k in keys], *marks)
+
+
 def tiles(position: Column, count: Column, n: int) -> Column:
     """The NTILE(n) number of a row from its position and the row count."""
     small = F.floor(count / F.lit(n))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.times import time_slice
 from sluice.functions.values import money
-from sluice.operators import joins, metrics, ordered, project, sessions, windows
+from sluice.operators import aggregates, joins, metrics, ordered, project, sessions, windows
 from sluice.plans import analytics, log_reports
 from sluice.queries.catalog import QUERIES
 from sluice.sources import tables as t
@@ -350,3 +350,26 @@ def test_reports_of_several_tables_read_the_rows_twice_at_most(spark):
     rows = t.events(spark, SMALL)
     reports = analytics.dashboard(rows), log_reports.summary_of_reports(rows), metrics.capacity_report(rows, "timestamp", F.col("response_size"), "user_id")
     assert [scans(r, "events") <= 2 for r in reports] == [True] * 3
+
+
+def lower_quantile(values, share):
+    known = sorted(v for v in values if v is not None)
+    return known[max(1, math.ceil(len(known) * share)) - 1] if known else None
+
+
+def test_medians_and_quartiles_of_many_values_are_exact(spark):
+    draw = random.Random(3)
+    rows = [(i % 7, draw.choice(["a", None]), "t", draw.choice([None, 5.0, draw.lognormvariate(3, 1), draw.lognormvariate(3, 1)])) for i in range(100_000)]
+    rows += [(1, "none", "t", None), (1, "one", "t", -1.0), (1, "nan", "t", math.inf), (1, "nan", "t", -0.5), (1, "nan", "t", math.inf)]
+    table = spark.createDataFrame(rows, "user_id BIGINT, category STRING, event_type STRING, amount DOUBLE")
+    groups = {c: [r[3] for r in rows if r[1] == c] for c in ("a", None, "none", "one", "nan")}
+    medians = {c: lower_quantile(v, 0.5) for c, v in groups.items()}
+    assert {r["category"]: r["median_amount"] for r in analytics.business_summary(table).collect()} == medians
+    want = {c: tuple(lower_quantile(v, p) for p in (0.25, 0.5, 0.75)) for c, v in groups.items()}
+    both = aggregates.quartiles(table.withColumn("neg", -F.col("amount")), ["amount", "neg"], ["category"]).collect()
+    assert {r["category"]: (r["amount_q1"], r["amount_median"], r["amount_q3"]) for r in both} == want
+    assert {r["category"]: r["neg_median"] for r in both} == {c: lower_quantile([None if x is None else -x for x in v], 0.5) for c, v in groups.items()}
+    whole = aggregates.quartiles(table, ["amount", "user_id"]).collect()
+    assert [(r["amount_q3"], r["user_id_median"]) for r in whole] == [(lower_quantile([r[3] for r in rows], 0.75), 3)]
+    cut = ordered.quantiles(table, ["category"], "amount", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, slice_rows=9000)
+    assert {r["category"]: tuple(r)[1:] for r in cut.collect()} == want

@@ -18,6 +18,7 @@ from sluice.functions.times import time_slice
 from sluice.functions.values import money
 from sluice.operators import aggregates, joins, metrics, ordered, project, sessions, windows
 from sluice.plans import analytics, log_reports
+from sluice.queries import relational
 from sluice.queries.catalog import QUERIES
 from sluice.sources import tables as t
 from sluice.streaming import windows as stream_windows
@@ -373,3 +374,26 @@ def test_medians_and_quartiles_of_many_values_are_exact(spark):
     assert [(r["amount_q3"], r["user_id_median"]) for r in whole] == [(lower_quantile([r[3] for r in rows], 0.75), 3)]
     cut = ordered.quantiles(table, ["category"], "amount", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, slice_rows=9000)
     assert {r["category"]: tuple(r)[1:] for r in cut.collect()} == want
+
+
+def test_lines_are_grouped_apart_from_their_join(spark):
+    users = spark.range(40).selectExpr("id AS user_id", "concat('u', id) AS name")
+    orders = spark.range(3000).selectExpr("id AS order_id", "IF(id % 3 = 0, 0, id % 40) AS user_id", "CAST(id % 7 AS DECIMAL(18,2)) AS amount")
+    details = spark.range(9000).selectExpr("id DIV 3 AS order_id", "id % 3 AS line", "IF(id % 3 = 0, 0, id % 50) AS product_id", "1.0D AS quantity")
+    products = spark.range(50).selectExpr("id AS product_id", "concat('p', id) AS name", "'c' AS category")
+    lines = joins.order_lines(users, orders, details, products)
+    raw = lines.collect()
+    for make in (joins.purchases_per_user,):
+        # The join's stage ends where the lines are dealt out; grouping starts in the next one.
+        assert re.search(r"(?s)HashAggregate.*Exchange hashpartitioning\(order_id#\d+L?, product_id#\d+L?, 5\), REPARTITION_BY_NUM.*Join", plan(make(lines, parts=5)))
+        assert same(make(lines, parts=5), make(lines))
+    got = {r["user_id"]: (r["total_orders"], r["total_spent"], r["unique_products"]) for r in joins.purchases_per_user(lines, parts=5).collect()}
+    mine = {u: [r for r in raw if r["user_id"] == u] for u in range(40)}
+    assert got == {u: (len(m), float(sum(r["amount"] for r in m)), len({r["product_id"] for r in m})) for u, m in mine.items()}
+    pieces = lines.repartition(5, "order_id", "product_id").rdd.glom().map(len).collect()
+    assert max(pieces) < 9000 / 3  # user 0 and product 0 hold a third each
+
+
+def test_lines_are_dealt_out_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(relational.t, "order_details", lambda spark, folder: spark.range(20_000_000))
+    assert relational.line_parts(spark, "") == max(spark.sparkContext.defaultParallelism, 40)

@@ -383,7 +383,7 @@ def test_lines_are_grouped_apart_from_their_join(spark):
     products = spark.range(50).selectExpr("id AS product_id", "concat('p', id) AS name", "'c' AS category")
     lines = joins.order_lines(users, orders, details, products)
     raw = lines.collect()
-    for make in (joins.purchases_per_user,):
+    for make in (joins.purchases_per_user, joins.purchases_per_user_once, joins.purchased_products):
         # The join's stage ends where the lines are dealt out; grouping starts in the next one.
         assert re.search(r"(?s)HashAggregate.*Exchange hashpartitioning\(order_id#\d+L?, product_id#\d+L?, 5\), REPARTITION_BY_NUM.*Join", plan(make(lines, parts=5)))
         assert same(make(lines, parts=5), make(lines))

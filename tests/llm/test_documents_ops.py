@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from oracle_check import compare, connect
 from pyspark.sql import functions as F
@@ -83,6 +84,19 @@ def test_windows_of_frequent_minimisers_travel_alone(spark, monkeypatch):
     assert sorted(map(tuple, got), key=repr) == brute_repeats(rows)
 
 
+def test_words_are_hashed_in_blocks_wherever_they_stand(monkeypatch):
+    words = ["a", "b", "ab", "a\0", "12345678", "123456789", "é" * 9, "中" * 30, *("x" * n for n in range(3, 200))]
+    at_once = substring_dedup.block_hashes(pa.array(words, pa.large_string()))
+    assert len(set(at_once.tolist())) == len(words)
+    alone = [int(substring_dedup.block_hashes(pa.array([w], pa.string()))[0]) for w in words]
+    assert alone == at_once.tolist() == substring_dedup.block_hashes(pa.array(["skipped", *words, "z"]).slice(1, len(words))).tolist()
+    assert len(substring_dedup.block_hashes(pa.array([], pa.large_string()))) == 0
+    one_by_one = []
+    monkeypatch.setattr(substring_dedup, "word_hashes", lambda w, f=substring_dedup.word_hashes: one_by_one.append(len(w)) or f(w))
+    substring_dedup.Windows(pa.array([" ".join(words)] * 3), 13, 2)
+    assert one_by_one == [sum(len(w.encode()) > substring_dedup.LONG_WORD for w in words)]
+
+
 def test_windows_that_share_a_hash_stay_apart():
     import numpy as np
 

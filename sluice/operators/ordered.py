@@ -336,7 +336,8 @@ def quantiles(
     """Exact quantiles, one row per key: the smallest value that at least this share of the known values does not exceed.
 
     Rows are counted per value first, so ties shuffle as one row per task, and a key with very many values is cut into
-    slices. Null is no value; a key without values has null quantiles. ``marks`` names the quantiles.
+    slices. Null is no value; a key without values has null quantiles, and so has an empty table without keys.
+    ``marks`` names the quantiles.
     """
     named = df.groupBy(*keys, F.col(value).alias("_value")).agg(F.count(value).alias("_n"))
     counted = settled(named.select(F.struct(*keys, F.lit(0)).alias("_key"), "_value", "_n"))
@@ -347,8 +348,10 @@ def quantiles(
         F.min(F.when(F.col("_through") >= F.greatest(F.lit(1), F.ceil(F.col("_all") * share)), F.col("_value"))).alias(name)
         for name, share in marks.items()
     ]
-    found = scanned.join(known, F.col("_key") == F.col("_whole")).groupBy("_key").agg(*reached)
-    return found.select(*[F.col("_key")[k].alias(k) for k in keys], *marks)
+    both = scanned.join(known, F.col("_key") == F.col("_whole"))
+    if not keys:
+        return both.agg(*reached)
+    return both.groupBy("_key").agg(*reached).select(*[F.col("_key")[k].alias(k) for k in keys], *marks)
 
 
 def tiles(position: Column, count: Column, n: int) -> Column:

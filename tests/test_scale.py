@@ -372,6 +372,9 @@ def test_medians_and_quartiles_of_many_values_are_exact(spark):
     assert {r["category"]: r["neg_median"] for r in both} == {c: lower_quantile([None if x is None else -x for x in v], 0.5) for c, v in groups.items()}
     whole = aggregates.quartiles(table, ["amount", "user_id"]).collect()
     assert [(r["amount_q3"], r["user_id_median"]) for r in whole] == [(lower_quantile([r[3] for r in rows], 0.75), 3)]
+    none = table.filter("user_id < 0")
+    assert [tuple(r) for r in aggregates.quartiles(none, ["amount"]).collect()] == [(None, None, None)]
+    assert not aggregates.quartiles(none, ["amount"], ["category"]).collect() and not analytics.business_summary(none).collect()
     cut = ordered.quantiles(table, ["category"], "amount", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, slice_rows=9000)
     assert {r["category"]: tuple(r)[1:] for r in cut.collect()} == want
 

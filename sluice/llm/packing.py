@@ -95,6 +95,8 @@ class WordEncoder:
     """
 
     MOST = 400_000  # words remembered
+    # Characters encoded at once, as the tokenizer keeps some hundred bytes for each token, and words whose ids are put together at once.
+    AT_ONCE, BLOCK_WORDS = 1 << 18, 1 << 16
 
     def __init__(self, path: str, end: int):
         from tokenizers import Tokenizer
@@ -111,9 +113,14 @@ class WordEncoder:
         self.pool, self.ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def encoded(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for n in range(0, len(texts), 20_000):
-            for e in self.tokenizer.encode_batch_fast(texts[n : n + 20_000], add_special_tokens=False):
-                yield np.array(e.ids, np.uint32)
+        held, size = [], 0
+        for n, text in enumerate(texts, 1):
+            held.append(text)
+            size += len(text) + 8
+            if size >= self.AT_ONCE or n == len(texts):
+                for e in self.tokenizer.encode_batch_fast(held, add_special_tokens=False):
+                    yield np.array(e.ids, np.uint32)
+                held, size = [], 0
 
     def learn(self, words: pa.Array) -> None:
         """Encode new words: those of letters alone many to a text, told apart by the ids that end a word."""
@@ -167,12 +174,20 @@ class WordEncoder:
         """The ids of each text and the closing one."""
         words, sizes = split_words(texts)
         codes, distinct = coded(words)
+        del words
+        codes = codes.astype(np.int32)
         ids, length = self.ids_of(distinct)
-        ends = np.append(0, np.cumsum(np.append(length, 1)))
-        # After the words of each text comes the closing id.
-        codes = np.insert(codes, np.cumsum(sizes), len(distinct))
-        out, size = gathered(np.append(ids, self.end), ends, codes)
-        return np.split(out, np.cumsum(size)[np.cumsum(sizes + 1) - 1])[:-1]
+        ids, ends = np.append(ids, self.end), np.append(0, np.cumsum(np.append(length, 1)))
+        upto, done, out = np.cumsum(sizes), 0, []
+        while done < len(sizes):
+            held = int(upto[done - 1]) if done else 0
+            last = max(done + 1, int(np.searchsorted(upto, held + self.BLOCK_WORDS, "right")))
+            # After the words of each text comes the closing id.
+            block = np.insert(codes[held : upto[last - 1]], upto[done:last] - held, len(distinct))
+            found, size = gathered(ids, ends, block)
+            out += np.split(found, np.cumsum(size)[np.cumsum(sizes[done:last] + 1) - 1])[:-1]
+            done = last
+        return out
 
 
 @functools.lru_cache(maxsize=2)

@@ -32,6 +32,8 @@ HOT_SHARE = 1e-4
 BUCKET_WORDS, PARTITION_WORDS, FEWEST_BUCKETS = 500_000, 4_000_000, 512
 # Text that is worked on together; it bounds the memory of a worker, and copies in it travel once.
 BATCH_BYTES = 5 << 20
+# Words of super-k-mers that a worker writes out at once; they hold the words of a batch about three times over.
+PIECE_WORDS = 1 << 17
 
 LEVEL = 6
 LONG_WORD = 64
@@ -56,11 +58,12 @@ def grouped(codes: np.ndarray, hashes: np.ndarray, at: np.ndarray, window: int)
     by word; should two different windows share a hash, exact ranks replace the hashes.
     """
     order = np.argsort(hashes, kind="stable")
-    place = at[order]
-    same = np.zeros(len(at), bool)
-    same[1:] = hashes[order][1:] == hashes[order][:-1]
+    ordered, same = hashes[order], np.zeros(len(at), bool)
+    same[1:] = ordered[1:] == ordered[:-1]
+    del ordered
     here = np.flatnonzero(same)
-    if any((codes[place[here] + j] != codes[place[here - 1] + j]).any() for j in range(window)):
+    place, before = at[order[here]], at[order[here - 1]]
+    if any((codes[place + j] != codes[before + j]).any() for j in range(window)):
         ranks = np.zeros(len(at), np.int64)
         for j in range(window):
             _, ranks = np.unique(ranks * (int(codes.max()) + 1) + codes[at + j], return_inverse=True)
@@ -95,21 +98,91 @@ def block_hashes(distinct: pa.Array) -> np.ndarray:
     return out
 
 
+def coded_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """The code of each word, the distinct words, and the number of words per text; the words themselves are let go."""
+    words, sizes = split_words(texts)
+    codes, distinct = coded(words)
+    return codes.astype(np.int32), distinct, sizes
+
+
+def counted_up(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers ``first, first + 1, ...``, ``count`` of them, for each pair."""
+    out = np.repeat(first - (np.cumsum(count) - count), count)
+    out += np.arange(len(out))
+    return out
+
+
 class Windows:
-    """The windows of a list of texts, side by side in one array of words."""
+    """The windows of a list of texts, side by side in one array of words.
+
+    ``at`` is the word a window begins with, ``owner`` its text and ``place`` the number of that word in the text.
+    """
 
     def __init__(self, texts: pa.Array, window: int, part: int):
-        words, self.sizes = split_words(texts)
-        self.codes, self.distinct = coded(words)
+        self.codes, self.distinct, sizes = coded_words(texts)
         hashes = block_hashes(self.distinct)[self.codes]
-        self.doc = np.repeat(np.arange(len(texts)), self.sizes)
-        first = np.cumsum(self.sizes) - self.sizes
-        self.place = np.arange(len(self.codes)) - first[self.doc]
-        whole = self.place + window <= self.sizes[self.doc]
-        self.at = np.flatnonzero(whole)
+        count = np.maximum(sizes - window + 1, 0)
+        first = np.cumsum(sizes) - sizes
+        self.owner = np.repeat(np.arange(len(texts), dtype=np.int32), count)
+        self.at = counted_up(first, count)
         self.hash = run_hashes(hashes, window)[self.at]
         self.least = smallest(run_hashes(hashes, part), window - part + 1)[self.at]
 
+    def place(self, chosen: np.ndarray) -> np.ndarray:
+        """The number in its text of the word each of the chosen windows begins with."""
+        begin = np.flatnonzero(np.diff(self.owner, prepend=-1))
+        first = np.zeros(int(self.owner[-1]) + 1 if len(self.owner) else 0, np.int64)
+        first[self.owner[begin]] = self.at[begin]
+        return self.at[chosen] - first[self.owner[chosen]]
+
+
+def among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    """Which of the values the ascending array has."""
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
+def later(w: Windows, ids: np.ndarray, window: int) -> np.ndarray:
+    """Which windows also begin in a text of this batch with a smaller id."""
+    order, new = grouped(w.codes, w.hash, w.at, window)
+    begin = np.flatnonzero(new)
+    doc = ids[w.owner[order]]
+    late = np.empty(len(order), bool)
+    late[order] = doc > np.repeat(np.minimum.reduceat(doc, begin), np.diff(np.append(begin, len(order))))
+    return late
+
+
+def super_kmers(w: Windows, late: np.ndarray, hot: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of windows that travel together, by bucket: bucket, first window, number of windows."""
+    kept = np.flatnonzero(~late)
+    least, owner = w.least[kept], w.owner[kept]
+    alone = among(least, hot)
+    run = np.ones(len(kept), bool)
+    run[1:] = (least[1:] != least[:-1]) | (np.diff(w.at[kept]) != 1) | (owner[1:] != owner[:-1])
+    run |= alone
+    begin = np.flatnonzero(run)
+    count = np.diff(np.append(begin, len(kept)))
+    begin_at = kept[begin]
+    route = np.where(alone[begin], w.hash[begin_at], mixed(w.least[begin_at]))
+    bucket = (route % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return bucket[order], begin_at[order], count[order]
+
+
+def joined_words(codes: np.ndarray, distinct: pa.Array, first: np.ndarray, size: np.ndarray, cuts: np.ndarray) -> Iterator[bytes]:
+    """For the runs from each of ``cuts`` to the next the words of all of them, joined by one space."""
+    words = np.cumsum(np.add.reduceat(size, cuts)) if len(cuts) else cuts
+    ends, done = np.append(cuts, len(first)), 0
+    while done < len(cuts):
+        held = words[done - 1] if done else 0
+        upto = max(done + 1, int(np.searchsorted(words, held + PIECE_WORDS, "right")))
+        a, b = ends[done], ends[upto]
+        take = codes[counted_up(first[a:b], size[a:b])]
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, words[done:upto] - held), pa.int32()), distinct.take(pa.array(take)))
+        yield from pc.binary_join(lists, " ").view(pa.binary()).to_pylist()
+        done = upto
+
 
 def spans(doc: np.ndarray, mark: np.ndarray, place: np.ndarray, window: int) -> dict[str, np.ndarray]:
     """The words under the given windows as runs per document row; windows sorted by row and place."""
@@ -147,21 +220,24 @@ def unpacked(blob: bytes, arrays: int) -> tuple[int, list[np.ndarray], bytes]:
 def frequent(docs: DataFrame, window: int, part: int, share: float) -> tuple[list[int], int]:
     """The minimisers that hold at least ``share`` of all super-k-mers, and the number of words."""
 
+    def counted(texts: pa.Array) -> pa.RecordBatch:
+        w = Windows(texts, window, part)
+        new = np.ones(len(w.at), bool)
+        new[1:] = (w.least[1:] != w.least[:-1]) | (np.diff(w.at) != 1)
+        values, counts = np.unique(w.least[new], return_counts=True)
+        # What stays below this everywhere stays below the share in total.
+        often = counts >= share * new.sum()
+        return pa.record_batch(
+            {
+                "least": pa.array([None, *values[often].view(np.int64).tolist()], pa.int64()),
+                "runs": pa.array([int(new.sum()), *counts[often].tolist()], pa.int64()),
+                "words": pa.array([len(w.codes), *[0] * int(often.sum())], pa.int64()),
+            }
+        )
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text", BATCH_BYTES):
-            w = Windows(batch.column("text"), window, part)
-            new = np.ones(len(w.at), bool)
-            new[1:] = (w.least[1:] != w.least[:-1]) | (np.diff(w.at) != 1)
-            values, counts = np.unique(w.least[new], return_counts=True)
-            # What stays below this everywhere stays below the share in total.
-            often = counts >= share * new.sum()
-            yield pa.record_batch(
-                {
-                    "least": pa.array([None, *values[often].view(np.int64).tolist()], pa.int64()),
-                    "runs": pa.array([int(new.sum()), *counts[often].tolist()], pa.int64()),
-                    "words": pa.array([len(w.codes), *[0] * int(often.sum())], pa.int64()),
-                }
-            )
+            yield counted(batch.column("text"))
 
     # No more values than the inverse of the share can reach it, so the longest ones hold them all,
     # and the row of the totals, which is the longest.
@@ -196,56 +272,39 @@ def repeated_spans(
     """
     docs = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
     hot_list, words = frequent(docs, window, part, hot_share)
-    hot = np.array(hot_list, np.int64).view(np.uint64)
+    hot = np.sort(np.array(hot_list, np.int64).view(np.uint64))
     buckets = max(FEWEST_BUCKETS, words // BUCKET_WORDS)
 
+    def dealt(texts: pa.Array, ids: np.ndarray) -> tuple[list[int], list[bytes]]:
+        w = Windows(texts, window, part)
+        keys, blobs = [], []
+        if not len(w.at):
+            return keys, blobs
+        own, late = marks(texts, shared_ids), later(w, ids, window)
+        if late.any():
+            owner = w.owner[late]
+            told = spans(ids[owner], own[owner], w.place(np.flatnonzero(late)), window)
+            keys.append(int(told["doc_id"][0] % buckets))
+            blobs.append(packed(0, *told.values()))
+        bucket, begin, count = super_kmers(w, late, hot, buckets)
+        codes, distinct, first, size = w.codes, w.distinct.cast(pa.string()), w.at[begin], count + window - 1
+        owner, spot = w.owner[begin], w.place(begin)
+        who, mark = ids[owner], own[owner]
+        del w, late, begin, owner, count
+        cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        lines = joined_words(codes, distinct, first, size, cuts)
+        for line, (a, b) in zip(lines, itertools.pairwise(np.append(cuts, len(first)))):
+            keys.append(int(bucket[a]))
+            step = np.diff(who[a:b], prepend=0)
+            blobs.append(packed(1, step, mark[a:b], spot[a:b], size[a:b], text=line))
+        return keys, blobs
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text", BATCH_BYTES):
-            ids = np.asarray(batch.column("doc_id"), dtype=np.int64)
-            own = marks(batch.column("text"), shared_ids)
-            w = Windows(batch.column("text"), window, part)
-            if not len(w.at):
-                continue
-            owner = w.doc[w.at]
-            order, new = grouped(w.codes, w.hash, w.at, window)
-            begin = np.flatnonzero(new)
-            least_id = np.minimum.reduceat(ids[owner[order]], begin)
-            late = np.empty(len(order), bool)
-            late[order] = ids[owner[order]] > np.repeat(least_id, np.diff(np.append(begin, len(order))))
-            keys, blobs = [], []
-            if late.any():
-                told = spans(ids[owner[late]], own[owner[late]], w.place[w.at[late]], window)
-                keys.append(int(told["doc_id"][0] % buckets))
-                blobs.append(packed(0, *told.values()))
-            kept = np.flatnonzero(~late)
-            alone = np.isin(w.least[kept], hot)
-            run = np.ones(len(kept), bool)
-            run[1:] = (w.least[kept][1:] != w.least[kept][:-1]) | (np.diff(w.at[kept]) != 1) | (owner[kept][1:] != owner[kept][:-1])
-            run |= alone
-            begin = np.flatnonzero(run)
-            count = np.diff(np.append(begin, len(kept)))
-            begin_at = kept[begin]
-            route = np.where(alone[begin], w.hash[begin_at], mixed(w.least[begin_at]))
-            bucket = (route % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-            first, size = w.at[begin_at][order], count[order] + window - 1
-            line = np.repeat(np.arange(len(first)), size)
-            take = np.arange(len(line)) - np.repeat(np.cumsum(size) - size, size) + first[line]
-            texts = pc.binary_join(
-                pa.ListArray.from_arrays(
-                    pa.array(np.append(0, np.cumsum(np.add.reduceat(size, cuts))), pa.int32()),
-                    w.distinct.cast(pa.string()).take(pa.array(w.codes[take])),
-                ),
-                " ",
-            ).view(pa.binary()).to_pylist()
-            who, spot = ids[owner[begin_at]][order], w.place[w.at[begin_at]][order]
-            mark = own[owner[begin_at]][order]
-            for n, (a, b) in enumerate(itertools.pairwise(np.append(cuts, len(first)))):
-                keys.append(int(bucket[order[a]]))
-                step = np.diff(who[a:b], prepend=0)
-                blobs.append(packed(1, step, mark[a:b], spot[a:b], size[a:b], text=texts[n]))
-            yield pa.record_batch({"bucket": pa.array(keys, pa.int64()), "packed": pa.array(blobs, pa.binary())})
+            # What a batch needs is gone before the next one comes.
+            keys, blobs = dealt(batch.column("text"), np.asarray(batch.column("doc_id"), dtype=np.int64))
+            if keys:
+                yield pa.record_batch({"bucket": pa.array(keys, pa.int64()), "packed": pa.array(blobs, pa.binary())})
 
     def settle(blobs: list[bytes]) -> Iterator[dict[str, np.ndarray]]:
         metas, texts = [], []
@@ -259,21 +318,24 @@ def repeated_spans(
         if not metas:
             return
         ids, mark, spot, size = (np.concatenate(c) for c in zip(*metas))
-        words, _ = split_words(pa.array(texts, pa.large_binary()).view(pa.large_string()))
-        codes, distinct = coded(words)
-        first = np.cumsum(size) - size
-        line = np.repeat(np.arange(len(size)), size - window + 1)
-        step = np.arange(len(line)) - np.repeat(np.cumsum(size - window + 1) - (size - window + 1), size - window + 1)
-        at = first[line] + step
-        order, new = grouped(codes, run_hashes(block_hashes(distinct)[codes], window)[at], at, window)
+        metas.clear()
+        texts = pa.array(texts, pa.large_binary()).view(pa.large_string())
+        codes, distinct, _ = coded_words(texts)
+        del texts
+        first, count = np.cumsum(size) - size, size - window + 1
+        line, at = np.repeat(np.arange(len(size), dtype=np.int32), count), counted_up(first, count)
+        hashes = run_hashes(block_hashes(distinct)[codes], window)[at]
+        order, new = grouped(codes, hashes, at, window)
+        del codes, distinct, hashes
         begin = np.flatnonzero(new)
-        doc = ids[line]
-        least = np.repeat(np.minimum.reduceat(doc[order], begin), np.diff(np.append(begin, len(order))))
-        late = order[doc[order] > least]
-        place = spot[line[late]] + step[late]
-        late_order = np.lexsort((place, mark[line[late]], doc[late]))
-        late, place = late[late_order], place[late_order]
-        yield spans(doc[late], mark[line[late]], place, window)
+        doc = ids[line[order]]
+        least = np.repeat(np.minimum.reduceat(doc, begin), np.diff(np.append(begin, len(order))))
+        late = order[doc > least]
+        row = line[late]
+        place = spot[row] + at[late] - first[row]
+        late_order = np.lexsort((place, mark[row], ids[row]))
+        row, place = row[late_order], place[late_order]
+        yield spans(ids[row], mark[row], place, window)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (r for b in batches for r in zip(b.column("bucket").to_pylist(), b.column("packed").to_pylist()))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import io
+import itertools
 import math
 import re
 import zlib
@@ -126,6 +127,55 @@ def test_probes_come_in_the_order_of_success():
     assert [cost(s) for s in sets] == sorted(cost(s) for s in sets)
 
 
+def test_the_likeliest_probes_are_those_of_all_sets():
+    for f in np.random.default_rng(4).random((5, 8)):
+        every = sorted(sum(c) for c in itertools.product(*((0, x * x, (1 - x) ** 2) for x in f)))
+        sets = nearest.perturbations(f, 128)
+        assert len({tuple(s) for s in sets}) == 128
+        assert np.allclose([sum(f[p] ** 2 if d < 0 else (1 - f[p]) ** 2 for p, d in s) for s in sets], every[:128])
+
+
+def test_rows_and_queries_of_a_search_are_dealt_out_once(spark, monkeypatch):
+    """Not once per table or per bucket that a query visits."""
+    rng, seen = np.random.default_rng(2), []
+    all_ = vector_frame(spark, [(i, rng.normal(size=16).tolist()) for i in range(2000)])
+    kind = type(all_)
+    plain = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, *a, **b: seen.append(self.count()) or plain(self, *a, **b))
+    assert nearest.search(all_, all_.where("vec_id % 50 = 0")).count() == 200
+    assert max(seen) <= 2000 + 40 * spark.sparkContext.defaultParallelism
+
+
+@pytest.mark.parametrize("hashing, probes", [(vectors.PStable(3, 4, 1.5), 6), (vectors.PStable(4, 8, 0.6), 20)])
+def test_nearest_are_the_best_of_the_buckets_visited(spark, hashing, probes):
+    """In wide buckets and in narrow ones, over several tasks; with groups of equal and of parallel vectors."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(12, 6))
+    m = (centres[rng.integers(0, 12, 600)] + 0.3 * rng.normal(size=(600, 6))).astype(np.float32)
+    m[rng.random(600) < 0.1], m[rng.random(600) < 0.05] = m[0], m[0] * 2
+    all_ = vector_frame(spark, [(i, v.tolist()) for i, v in enumerate(m)])
+    got = defaultdict(list)
+    found = nearest.search(all_, all_.where("vec_id % 3 = 0"), k=4, hashing=hashing, probes=probes, block=32, held=700).collect()
+    for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])):
+        got[r["query_id"]].append(r["vec_id"])
+    places = hashing.places(vectors.unit(m.astype(float)))
+    cells = np.floor(places)
+    short = 0
+    for q in range(0, 600, 3):
+        near = set()
+        for t in range(hashing.tables):
+            for moves in nearest.perturbations(places[q, t] - cells[q, t], probes):
+                cell = cells[q, t].copy()
+                for p, step in moves:
+                    cell[p] += step
+                near |= set(np.flatnonzero((cells[:, t] == cell).all(axis=1)).tolist())
+        near -= {q}
+        short += len(near) < 4
+        near = near if len(near) >= 4 else set(range(600)) - {q}
+        assert got[q] == [i for _, i in sorted((-cosine(m[q], m[i]), i) for i in near)[:4]]
+    assert short or hashing.projections == 4
+
+
 def test_recall_on_the_whole_table(spark):
     rows = spark.read.parquet(f"{MEDIUM}/embeddings.parquet").select("vec_id", "embedding").collect()
     ids, m = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float64)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
@@ -121,6 +122,16 @@ def test_order_lines_and_summaries(shop):
     assert joins.purchased_products(lines).count() == 4
 
 
+def test_summary_of_a_user_lists_the_products(spark):
+    line = "user_id BIGINT, user_name STRING, order_id BIGINT, amount DECIMAL(18,2), product_id BIGINT, product_name STRING"
+    rows = [(1, "Ana", 10, 5, 7, "pen"), (1, "Ana", 10, 5, 8, "ink"), (1, "Ana", 11, 2, 7, "pen"), (1, "Ana", 11, 2, 9, None), (2, None, 12, None, 7, "nib"), (2, None, None, 1, 7, "pen")]
+    lines = spark.createDataFrame([(u, n, o, None if a is None else Decimal(a), p, name) for u, n, o, a, p, name in rows], line)
+    got = {r["user_id"]: tuple(r)[1:] for r in joins.purchases_per_user(lines).collect()}
+    assert got == {1: ("Ana", 4, 14.0, 3, ["ink", "pen", "pen"]), 2: (None, 1, 1.0, 1, ["nib", "pen"])}
+    unnamed = joins.purchases_per_user(lines.where("product_name IS NULL")).collect()
+    assert [r["purchased_products"] for r in unnamed] == [[]]
+
+
 def test_salted_join_equals_plain_join(spark):
     big = spark.range(3000).select(
         F.col("id"), F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40).alias("k")
